@@ -51,14 +51,17 @@ def _accepted(
 ) -> DataFrame:
     """The keys that get a slot: the earliest ones of a cell that fit and are not in its list yet.
 
-    Duplicates collapse before anything is ranked, and only the first ``slots`` keys per cell survive
-    each map task, so a cell with very many keys does not gather them in one place.
+    A list holds at most ``slots`` keys, so the first ``2 * slots`` different keys of a cell always
+    contain every key that can still be added; later ones need not be looked at. Duplicates collapse
+    first, spread by cell and key, and the ranking limits each map task to that many keys per cell
+    before they meet, so a cell with very many keys never gathers them in one place.
     """
-    first = keys.groupBy(*on, "pubkey").agg(F.min(order_by).alias("_order"))
+    different = keys.groupBy(*on, "pubkey").agg(F.min(order_by).alias("_order"))
+    in_order = Window.partitionBy(*on).orderBy("_order", "pubkey")
+    first = different.withColumn("_place", F.row_number().over(in_order)).filter(F.col("_place") <= 2 * slots)
     lists = df.select(*on, F.col(name).alias("_list"))
     fresh = first.join(lists, list(on)).filter(~F.array_contains("_list", F.col("pubkey")))
-    in_order = Window.partitionBy(*on).orderBy("_order", "pubkey")
-    ranked = fresh.withColumn("_rank", F.row_number().over(in_order)).filter(F.col("_rank") <= slots)
+    ranked = fresh.withColumn("_rank", F.row_number().over(in_order))
     return ranked.filter(F.col("_rank") <= slots - F.size(_filled("_list")))
 
 

@@ -216,7 +216,7 @@ def store_summary(spark, sf_dir):
 def write_profile(spark, sf_dir):
     path = scratch_path(spark, "profile")
     layout.write_profile(suggest_layout(spark, sf_dir), path)
-    return spark.read.text(path, wholetext=True).select(F.rtrim("value").alias("layout"))
+    return spark.read.text(path).select(F.col("value").alias("layout"))
 
 
 def ingest_with_status(spark, sf_dir):
@@ -425,7 +425,7 @@ def sample_verifiers(spark, sf_dir):
 
 
 def first_last_time(spark, sf_dir):
-    arrival = F.struct(-F.datediff("time", F.lit("1990-01-01")))
+    arrival = -F.datediff("time", F.lit("1990-01-01"))
     return stats.first_last_time(daily_grid(spark, sf_dir).withColumn("arrival", arrival), "arrival")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.missing import null_if_missing
-from tidegrid.session import broadcast_if_small, scratch_path
+from tidegrid.session import broadcast_if_small, scratch_path, settle
 
 
 class StoreNotFound(FileNotFoundError):
@@ -22,21 +22,21 @@ class SliceExists(ValueError):
     """A time step to be appended is already in the store."""
 
 
-def store_exists(spark: SparkSession, path: str) -> bool:
+def _open(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        spark.read.parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
-    return True
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The grid in a store; :class:`StoreNotFound` when there is none."""
-    if not store_exists(spark, path):
+    store = _open(spark, path)
+    if store is None:
         raise StoreNotFound(f"no store at {path}")
-    return spark.read.parquet(path)
+    return store
 
 
 def _laid_out(df: DataFrame, partition: str) -> DataFrame:
@@ -83,7 +83,7 @@ def write_append(df: DataFrame, path: str, partition: str = "day", key: str = "t
     """Add time steps the store does not have; :class:`SliceExists` when it has one of them."""
     store = read_store(df.sparkSession, path)
     df = _as_stored(df, store)
-    present = has_time(df.select(key, partition), _touched(store, df, partition), key)
+    present = has_time(df.select(key), _touched(store, df, partition), key)
     if not present.isEmpty():
         raise SliceExists(f"the store at {path} already has some of these time steps")
     _write(df, path, "append", partition, codec)
@@ -96,40 +96,46 @@ def write_upsert(df: DataFrame, path: str, partition: str = "day", key: str = "t
     they are first merged in a scratch folder, so the store never reads what it overwrites. A failed
     write is repaired by running it again. ``df`` is read more than once: persist a costly one.
     """
-    spark = df.sparkSession
-    store = read_store(spark, path)
+    _replace(df, read_store(df.sparkSession, path), path, partition, key, codec)
+
+
+def _replace(df: DataFrame, store: DataFrame, path: str, partition: str, key: str, codec: str) -> None:
     df = _as_stored(df, store)
     others = drop_time(_touched(store, df, partition), df.select(key), key)
     if not others.isEmpty():
-        staged = scratch_path(spark, "merge")
+        staged = scratch_path(df.sparkSession, "merge")
         _write(concat_time(others, df), staged, "overwrite", partition, codec)
-        df = spark.read.schema(df.schema).parquet(staged)
+        df = df.sparkSession.read.schema(df.schema).parquet(staged)
     _write(df, path, "overwrite", partition, codec, partitionOverwriteMode="dynamic")
 
 
 def write_store(df: DataFrame, path: str, partition: str = "day", key: str = "time", codec: str = "zstd") -> str:
     """Create the store or upsert into it; returns which."""
-    if store_exists(df.sparkSession, path):
-        write_upsert(df, path, partition, key, codec)
-        return "upserted"
-    write_create(df, path, partition, codec)
-    return "created"
+    store = _open(df.sparkSession, path)
+    if store is None:
+        write_create(df, path, partition, codec)
+        return "created"
+    _replace(df, store, path, partition, key, codec)
+    return "upserted"
 
 
-def _touched(store: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """Store rows in the partitions of the batch.
-
-    The first and last partition of the batch are two literals, which prune the scan; the semi-join
-    then leaves only the batch's own partitions.
-    """
+def _between(store: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """Store rows from the first to the last partition of the batch: two literals, which prune the scan."""
     first, last = batch.agg(F.min(partition), F.max(partition)).first()
-    within = store.filter(F.col(partition).between(F.lit(first), F.lit(last)))
-    return within.join(broadcast_if_small(batch.select(partition).distinct()), partition, "left_semi")
+    return store.filter(F.col(partition).between(F.lit(first), F.lit(last)))
+
+
+def _touched(store: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """Store rows in the partitions of the batch."""
+    partitions = broadcast_if_small(batch.select(partition).distinct())
+    return _between(store, partitions, partition).join(partitions, partition, "left_semi")
 
 
 def has_time(times: DataFrame, store: DataFrame, key: str = "time") -> DataFrame:
-    """The distinct time steps of ``times`` that the store has."""
-    wanted = times.select(key).distinct()
+    """The distinct time steps of ``times`` that the store has; only partitions in their range are read."""
+    wanted = settle(times.select(key).distinct())
+    if "day" in store.columns:
+        store = _between(store, wanted.select(F.to_date(key).alias("day")), "day")
     return wanted.join(store.select(key).distinct(), key, "left_semi")
 
 
