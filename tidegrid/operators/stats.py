@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -125,8 +127,10 @@ def sample_cells(
     draws = _draws(n, seed, KEY)
     smallest = df.groupBy("time").agg(*[F.min(d).alias(f"_smallest_{i}") for i, d in enumerate(draws)])
     joined = df.join(broadcast_if_small(smallest), "time")
-    hits = F.array(*[F.when(d == F.col(f"_smallest_{i}"), F.lit(i + 1)) for i, d in enumerate(draws)])
-    picked = joined.withColumn("draw", F.explode(F.array_compact(hits)))
+    chosen = [d == F.col(f"_smallest_{i}") for i, d in enumerate(draws)]
+    hits = F.array(*[F.when(c, F.lit(i + 1)) for i, c in enumerate(chosen)])
+    some = joined.filter(functools.reduce(operator.or_, chosen))
+    picked = some.withColumn("draw", F.explode(F.array_compact(hits)))
     return picked.select("time", "draw", *[c for c in columns if c in df.columns])
 
 

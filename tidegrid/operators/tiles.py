@@ -33,8 +33,10 @@ def tile_ids(df: DataFrame, config: Mapping | None = None, variable: str = "sst"
 def _dense(entries: Column, slots: int, kind: str) -> Column:
     """Values of ``array<struct<pos, value>>`` sorted by position, NULL in the gaps.
 
-    Linear in the tile: each entry brings the gap before it along. Two entries at one position fail.
+    A complete tile is taken as it is. Otherwise each entry brings the gap before it along, which stays
+    linear in the tile; two entries at one position fail.
     """
+    complete = entries["pos"] == F.sequence(F.lit(0), F.lit(slots - 1))
     null = F.lit(None).cast(kind)
 
     def with_gap(entry: Column, i: Column) -> Column:
@@ -44,7 +46,8 @@ def _dense(entries: Column, slots: int, kind: str) -> Column:
         return F.concat(F.array_repeat(null, gap), F.array(entry["value"]))
 
     tail = F.array_repeat(null, F.lit(slots - 1) - F.get(entries, F.size(entries) - 1)["pos"])
-    return F.concat(F.flatten(F.transform(entries, with_gap)), tail)
+    padded = F.concat(F.flatten(F.transform(entries, with_gap)), tail)
+    return F.when(complete, entries["value"]).otherwise(padded)
 
 
 def pack_tiles(
@@ -65,7 +68,7 @@ def pack_tiles(
         F.struct(position.cast("int").alias("pos"), F.col(variable).alias("value")).alias("_entry"),
     )
     gathered = cells.groupBy("time", "zlev", "tile_i", "tile_j").agg(
-        F.array_sort(F.collect_list("_entry")).alias("_entries")
+        F.sort_array(F.collect_list("_entry")).alias("_entries")
     )
     return gathered.withColumn("values", _dense(F.col("_entries"), slots, dict(df.dtypes)[variable])).drop("_entries")
 

@@ -15,7 +15,7 @@ from tidegrid.sources.files import (
     latest_per_time,
     with_file_time,
 )
-from tidegrid.sources.store import write_store
+from tidegrid.sources.store import Layout, write_store
 
 
 def convert_files(
@@ -34,7 +34,7 @@ def convert_files(
     latest = latest_per_time(with_file_time(files, suffix, name))
     ingested = ingest_with_status(latest, decode, on_error)
     try:
-        write_store(add_verifiers(add_fingerprints(ingested.grid, algorithm)), store_path)
+        write_store(add_verifiers(add_fingerprints(ingested.grid, algorithm)), store_path, Layout(gather=False))
         return settle(ingested.status)
     finally:
         ingested.release()

@@ -417,7 +417,8 @@ def sort_by_time(spark, sf_dir):
 
 
 def sample_cells(spark, sf_dir):
-    return stats.sample_cells(add_fingerprints(daily_grid(spark, sf_dir)))
+    picked = stats.sample_cells(daily_grid(spark, sf_dir), columns=HASHED)
+    return add_fingerprints(picked).select("time", "draw", "lat", "lon", "sst", "spatial_hash")
 
 
 def sample_verifiers(spark, sf_dir):

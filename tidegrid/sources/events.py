@@ -10,13 +10,14 @@ from tidegrid.functions.names import object_uri
 from tidegrid.functions.times import to_utc
 
 # The shape of the notification documents.
-OBJECT_EVENT = """
-Records array<struct<
+RECORDS = """
+array<struct<
     eventVersion string, eventSource string, awsRegion string, eventTime string, eventName string,
     s3 struct<bucket struct<name string, arn string>, object struct<key string, size bigint, eTag string>>,
     Sns struct<Message string>
 >>
 """
+OBJECT_EVENT = f"Records {RECORDS}"
 
 
 def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: str = "raise") -> DataFrame:
@@ -26,21 +27,22 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
     ignored. ``on_error='raise'`` fails on a document without usable records; ``'keep'`` keeps it as
     one row with NULL fields and ``parsed`` false.
     """
-    kept = [c for c in df.columns]
+    kept = df.columns
     source = _column(json)
-    outer = F.from_json(source, OBJECT_EVENT)
-    message = F.try_element_at(outer["Records"], F.lit(1))["Sns"]["Message"]
-    inner = F.from_json(message, OBJECT_EVENT)
-    records = F.when(message.isNotNull(), inner["Records"]).otherwise(outer["Records"])
+    opened = df.withColumn("_outer", F.from_json(source, OBJECT_EVENT)["Records"])
+    message = F.try_element_at("_outer", F.lit(1))["Sns"]["Message"]
+    inner = F.from_json(message, OBJECT_EVENT)["Records"]
+    opened = opened.withColumn("_records", F.when(message.isNotNull(), inner).otherwise(F.col("_outer")))
     if on_error == "raise":
         failure = F.raise_error(F.concat(F.lit("not an object event: "), F.coalesce(source, F.lit("NULL"))))
-        records = F.when(records.isNull(), failure.cast(_records_type())).otherwise(records)
+        records = F.coalesce("_records", failure.cast(RECORDS))
         explode = F.explode
     else:
+        records = F.col("_records")
         explode = F.explode_outer
     record = F.col("_record")
     bucket, key = record["s3"]["bucket"]["name"], record["s3"]["object"]["key"]
-    rows = df.select(*kept, explode(records).alias("_record"))
+    rows = opened.select(*kept, explode(records).alias("_record"))
     return rows.select(
         *kept,
         record["eventName"].alias("event_name"),
@@ -54,10 +56,6 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
     )
 
 
-def _records_type() -> str:
-    return OBJECT_EVENT.strip().removeprefix("Records ")
-
-
 def filter_object_events(events: DataFrame, suffix: str = ".nc") -> DataFrame:
     """Events that created an object whose key ends in ``suffix``."""
     return events.filter(F.col("event_name").startswith("ObjectCreated:") & F.col("key").endswith(suffix))

@@ -6,6 +6,8 @@ and not on the size of the store. Writes to one store come from one writer at a
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,31 +41,40 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return store
 
 
-def _laid_out(df: DataFrame, partition: str) -> DataFrame:
-    """Rows gathered by partition and sorted by position.
+@dataclass(frozen=True)
+class Layout:
+    """How rows are laid out in a store.
 
-    Rebalancing sizes tasks by bytes: small days share a task, a day larger than the advisory size
-    is split over several, so a dominating day is not one task's work.
+    ``gather`` moves the rows of a partition together before writing: rebalancing sizes tasks by bytes,
+    so small days share a task and a day larger than the advisory size is split over several. Turn it
+    off when each day already sits in one task, as after decoding daily files; nothing is shuffled then.
     """
-    order = [c for c in (partition, "time", "zlev", "lat_idx", "lon_idx") if c in df.columns]
-    return df.hint("rebalance", partition).sortWithinPartitions(*order)
+
+    partition: str = "day"
+    key: str = "time"
+    codec: str = "zstd"
+    gather: bool = True
+
+
+DAILY = Layout()
 
 
-def _write(df: DataFrame, path: str, mode: str, partition: str, codec: str, **options: str) -> None:
-    writer = _laid_out(df, partition).write.partitionBy(partition).mode(mode).option("compression", codec)
-    for name, value in options.items():
-        writer = writer.option(name, value)
-    writer.parquet(path)
+def _write(df: DataFrame, path: str, mode: str, layout: Layout, **options: str) -> None:
+    if layout.gather:
+        df = df.hint("rebalance", layout.partition)
+    order = [c for c in (layout.partition, "time", "zlev", "lat_idx", "lon_idx") if c in df.columns]
+    writer = df.sortWithinPartitions(*order).write.partitionBy(layout.partition).mode(mode)
+    writer.options(compression=layout.codec, **options).parquet(path)
 
 
-def write_create(df: DataFrame, path: str, partition: str = "day", codec: str = "zstd") -> None:
+def write_create(df: DataFrame, path: str, layout: Layout = DAILY) -> None:
     """A new store; fails when there is one."""
-    _write(df, path, "errorifexists", partition, codec)
+    _write(df, path, "errorifexists", layout)
 
 
-def write_overwrite(df: DataFrame, path: str, partition: str = "day", codec: str = "zstd") -> None:
+def write_overwrite(df: DataFrame, path: str, layout: Layout = DAILY) -> None:
     """A new store in place of any old one. ``df`` must not read from ``path``."""
-    _write(df, path, "overwrite", partition, codec)
+    _write(df, path, "overwrite", layout)
 
 
 def _as_stored(df: DataFrame, store: DataFrame) -> DataFrame:
@@ -79,43 +90,43 @@ def _as_stored(df: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
-def write_append(df: DataFrame, path: str, partition: str = "day", key: str = "time", codec: str = "zstd") -> None:
+def write_append(df: DataFrame, path: str, layout: Layout = DAILY) -> None:
     """Add time steps the store does not have; :class:`SliceExists` when it has one of them."""
     store = read_store(df.sparkSession, path)
     df = _as_stored(df, store)
-    present = has_time(df.select(key), _touched(store, df, partition), key)
+    present = has_time(df.select(layout.key), _touched(store, df, layout.partition), layout.key)
     if not present.isEmpty():
         raise SliceExists(f"the store at {path} already has some of these time steps")
-    _write(df, path, "append", partition, codec)
+    _write(df, path, "append", layout)
 
 
-def write_upsert(df: DataFrame, path: str, partition: str = "day", key: str = "time", codec: str = "zstd") -> None:
+def write_upsert(df: DataFrame, path: str, layout: Layout = DAILY) -> None:
     """Replace the time steps ``df`` has, append the new ones, leave all others as they are.
 
     Partitions ``df`` touches are replaced whole. When such a partition also holds other time steps,
     they are first merged in a scratch folder, so the store never reads what it overwrites. A failed
     write is repaired by running it again. ``df`` is read more than once: persist a costly one.
     """
-    _replace(df, read_store(df.sparkSession, path), path, partition, key, codec)
+    _replace(df, read_store(df.sparkSession, path), path, layout)
 
 
-def _replace(df: DataFrame, store: DataFrame, path: str, partition: str, key: str, codec: str) -> None:
+def _replace(df: DataFrame, store: DataFrame, path: str, layout: Layout) -> None:
     df = _as_stored(df, store)
-    others = drop_time(_touched(store, df, partition), df.select(key), key)
+    others = drop_time(_touched(store, df, layout.partition), df.select(layout.key), layout.key)
     if not others.isEmpty():
         staged = scratch_path(df.sparkSession, "merge")
-        _write(concat_time(others, df), staged, "overwrite", partition, codec)
+        _write(concat_time(others, df), staged, "overwrite", layout)
         df = df.sparkSession.read.schema(df.schema).parquet(staged)
-    _write(df, path, "overwrite", partition, codec, partitionOverwriteMode="dynamic")
+    _write(df, path, "overwrite", layout, partitionOverwriteMode="dynamic")
 
 
-def write_store(df: DataFrame, path: str, partition: str = "day", key: str = "time", codec: str = "zstd") -> str:
+def write_store(df: DataFrame, path: str, layout: Layout = DAILY) -> str:
     """Create the store or upsert into it; returns which."""
     store = _open(df.sparkSession, path)
     if store is None:
-        write_create(df, path, partition, codec)
+        write_create(df, path, layout)
         return "created"
-    _replace(df, store, path, partition, key, codec)
+    _replace(df, store, path, layout)
     return "upserted"
 
 

@@ -15,7 +15,7 @@ from tidegrid.plans.convert import convert_files
 from tidegrid.sources.events import dedup_events
 from tidegrid.sources.files import BINARY_FILE, Decoder
 from tidegrid.sources.listing import as_instant
-from tidegrid.sources.store import write_store
+from tidegrid.sources.store import Layout, write_store
 
 POLL_INTERVAL = "15 minutes"
 
@@ -114,7 +114,7 @@ def stream_daily_stats(
     def handle(batch: DataFrame) -> None:
         write_store(batch, store_path)
         stats = daily_stats(batch, variable).withColumn("year", F.year("time"))
-        write_store(stats, stats_path, partition="year")
+        write_store(stats, stats_path, Layout(partition="year"))
 
     return _start(stream, _once(handle), checkpoint, available_now, interval)
 
