@@ -48,9 +48,13 @@ def suggest_chunks(profile: DataFrame) -> DataFrame:
     )
 
 
+def _floating():
+    return F.bool_and(F.col("dtype").isin("float", "double"))
+
+
 def floating_profile(profile: DataFrame) -> DataFrame:
     """Is every variable of the profile of a floating type?"""
-    return profile.agg(F.bool_and(F.col("dtype").isin("float", "double")).alias("all_floating"))
+    return profile.agg(_floating().alias("all_floating"))
 
 
 def suggest_codec(profile: DataFrame) -> DataFrame:
@@ -58,13 +62,19 @@ def suggest_codec(profile: DataFrame) -> DataFrame:
 
     ``parquet_codec`` is the write option that comes closest; NULL codec fields mean no compression.
     """
-    floating = F.col("all_floating")
     return floating_profile(profile).select(
+        F.inline(F.array(_codec("all_floating"))),
+        F.when(F.col("all_floating"), "lz4_raw").otherwise("none").alias("parquet_codec"),
+    )
+
+
+def _codec(floating: str):
+    floating = F.col(floating)
+    return F.struct(
         F.when(floating, "blosc").alias("id"),
         F.when(floating, "lz4").alias("cname"),
         F.when(floating, 5).alias("clevel"),
         F.when(floating, 2).alias("shuffle"),
-        F.when(floating, "lz4_raw").otherwise("none").alias("parquet_codec"),
     )
 
 
@@ -74,27 +84,26 @@ def suggest_layout(profile: DataFrame, dataset: str = "custom") -> DataFrame:
     A profile has one row per variable and axis, so it is a handful of rows for any amount of data.
     """
     axes = F.array_sort(F.collect_list(F.struct("axis_no", "axis", "chunk")))
-    by_variable = suggest_chunks(profile).groupBy("variable_no", "variable").agg(axes.alias("axes"))
+    by_variable = (
+        suggest_chunks(profile)
+        .groupBy("variable_no", "variable", "dtype")
+        .agg(axes.alias("axes"), F.max("title").alias("title"))
+    )
     in_order = F.array_sort(F.collect_list(F.struct("variable_no", "variable", "axes")))
 
     def chunks(variable):
         sizes = F.map_from_entries(F.transform(variable["axes"], lambda x: F.struct(x["axis"], x["chunk"])))
         return F.struct(variable["variable"], F.struct(sizes.alias("chunks")))
 
-    variables = by_variable.agg(F.map_from_entries(F.transform(in_order, chunks)).alias("variables")).withColumn(
-        "_one", F.lit(1)
-    )
-    description = profile.agg(F.coalesce(F.max("title"), F.lit("Custom dataset")).alias("description"))
-    codec = suggest_codec(profile).select(
-        F.when(F.col("id").isNotNull(), F.struct("id", "cname", "clevel", "shuffle")).alias("compressor")
-    )
-    single = variables.join(description.withColumn("_one", F.lit(1)), "_one").join(
-        codec.withColumn("_one", F.lit(1)), "_one"
+    single = by_variable.agg(
+        F.map_from_entries(F.transform(in_order, chunks)).alias("variables"),
+        F.coalesce(F.max("title"), F.lit("Custom dataset")).alias("description"),
+        _floating().alias("_floating"),
     )
     document = F.struct(
         F.lit(dataset).alias("dataset"),
         "description",
-        "compressor",
+        F.when(F.col("_floating"), _codec("_floating")).alias("compressor"),
         F.struct("variables").alias("conversion"),
     )
     return single.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("layout"))

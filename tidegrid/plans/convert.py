@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegrid.functions.fingerprint import add_fingerprints
+from tidegrid.functions.times import instant_to_utc
 from tidegrid.operators.stats import daily_stats, running_mean
 from tidegrid.operators.verify import add_verifiers
 from tidegrid.session import settle
@@ -12,9 +14,9 @@ from tidegrid.sources.files import (
     Decoder,
     binary_files,
     ingest_with_status,
-    latest_per_time,
     with_file_time,
 )
+from tidegrid.sources.listing import advance_mark, discover_since, read_mark, stored_marks, write_mark
 from tidegrid.sources.store import Layout, write_store
 
 
@@ -29,10 +31,10 @@ def convert_files(
 ) -> DataFrame:
     """Decode files, fingerprint every cell, add empty verifier lists, and upsert the days.
 
-    ``files`` has ``path, modificationTime, content``. Returns the status of each file.
+    ``files`` has ``path, modificationTime, content``. Returns the status of each file. Each day sits
+    in the task that decoded it, so nothing is shuffled on the way to the store.
     """
-    latest = latest_per_time(with_file_time(files, suffix, name))
-    ingested = ingest_with_status(latest, decode, on_error)
+    ingested = ingest_with_status(with_file_time(files, suffix, name), decode, on_error)
     try:
         write_store(add_verifiers(add_fingerprints(ingested.grid, algorithm)), store_path, Layout(gather=False))
         return settle(ingested.status)
@@ -45,6 +47,29 @@ def convert_paths(spark: SparkSession, paths, store_path: str, decode: Decoder,
     return convert_files(binary_files(spark, paths, glob), store_path, decode, **options)
 
 
+def poll_convert(
+    spark: SparkSession,
+    path: str,
+    store_path: str,
+    state_path: str,
+    decode: Decoder,
+    start: str | None = None,
+    glob: str = "*.nc",
+    **options,
+) -> DataFrame:
+    """One poll: convert the files modified since the stored mark and move the mark.
+
+    The mark stops at the earliest file that failed, so that a later poll lists it again.
+    """
+    mark = settle(read_mark(stored_marks(spark, state_path), start))
+    listed = binary_files(spark, path, glob).withColumn("last_modified", instant_to_utc("modificationTime"))
+    files = discover_since(listed, mark)
+    status = convert_files(files, store_path, decode, **options)
+    outcome = status.select(instant_to_utc("modificationTime").alias("last_modified"), (F.col("status") != "failed").alias("ok"))
+    write_mark(advance_mark(outcome, mark), state_path)
+    return status
+
+
 def analyse(store: DataFrame, variable: str = "sst", sticky_nan: bool = False) -> DataFrame:
     """Daily statistics with day numbers and running means; the store is scanned once."""
     return running_mean(settle(daily_stats(store, variable)), sticky_nan=sticky_nan)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.functions.missing import _column
+from tidegrid.functions.missing import null_if_missing
 from tidegrid.functions.names import base_name, file_date, noon_of
 from tidegrid.functions.times import instant_to_utc
 from tidegrid.model import VARIABLES, conform
@@ -40,7 +40,11 @@ STATUS = T.StructType(
     ]
 )
 FILE = T.StructType(
-    [T.StructField("path", T.StringType()), T.StructField("file_time", T.TimestampNTZType())]
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("file_time", T.TimestampNTZType()),
+    ]
 )
 ROWS_PER_BATCH = 65536
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -66,17 +70,21 @@ def select_existing_files(requested: DataFrame, listing: DataFrame, on: str = "k
     return joined.select(*requested.columns, F.col("_present").isNotNull().alias("found"))
 
 
+def superseded(files: DataFrame) -> DataFrame:
+    """Files that a later one of the same time step replaces, e.g. preliminary by final ones."""
+    dated = files.select(*FILE.fieldNames()).filter(F.col("file_time").isNotNull())
+    newest = F.max_by("path", F.struct("modificationTime", "path"))
+    latest = dated.groupBy("file_time").agg(newest.alias("_latest"), F.count("*").alias("_n")).filter("_n > 1")
+    return dated.join(latest, "file_time").filter(F.col("path") != F.col("_latest")).select("path")
+
+
 def latest_per_time(files: DataFrame) -> DataFrame:
-    """One file per time step: the one modified last, so a final file replaces a preliminary one.
+    """One file per time step: the one modified last.
 
     Decided on names and dates before any file is read. Only the superseded files, usually few, take
     part in the final anti-join, so file contents are not shuffled.
     """
-    dated = files.select("path", "modificationTime", "file_time").filter(F.col("file_time").isNotNull())
-    newest = F.max_by("path", F.struct("modificationTime", "path"))
-    latest = dated.groupBy("file_time").agg(newest.alias("_latest"), F.count("*").alias("_n")).filter("_n > 1")
-    superseded = dated.join(latest, "file_time").filter(F.col("path") != F.col("_latest")).select("path")
-    return files.join(broadcast_if_small(superseded), "path", "left_anti")
+    return files.join(broadcast_if_small(superseded(files)), "path", "left_anti")
 
 
 def with_file_time(files: DataFrame, suffix: str = "", name: Column | None = None) -> DataFrame:
@@ -90,16 +98,16 @@ def _decode_files(decode: Decoder, on_error: str) -> Callable[[Iterator[pd.DataF
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, file_time, content in batch[["path", "file_time", "content"]].itertuples(index=False):
+            for path, modified, file_time, content in batch[[*FILE.fieldNames(), "content"]].itertuples(index=False):
                 started = time.monotonic()
+                file = {"path": path, "modificationTime": modified, "file_time": file_time}
                 status, error, cells = "ok", None, None
                 try:
                     if pd.isna(file_time):
                         raise ValueError(f"no valid date in the form .YYYYMMDD. in file name: {path}")
                     cells = decode(bytes(content))
-                    if "zlev" not in cells.columns:
-                        cells = cells.assign(zlev=1)
-                    cells = cells.reindex(columns=columns)
+                    absent = {c: 1 if c == "zlev" else None for c in columns if c not in cells.columns}
+                    cells = cells.assign(**absent)[columns]
                 except Exception as failure:
                     if on_error == "raise":
                         raise
@@ -107,18 +115,11 @@ def _decode_files(decode: Decoder, on_error: str) -> Callable[[Iterator[pd.DataF
                 count = 0 if cells is None else len(cells)
                 for start in range(0, count, ROWS_PER_BATCH):
                     piece = cells.iloc[start : start + ROWS_PER_BATCH].reset_index(drop=True)
-                    yield piece.assign(
-                        path=path, file_time=file_time, status=None, error=None, cells=None, seconds=None
-                    )
-                report = pd.DataFrame([dict.fromkeys(columns)]).assign(
-                    path=path,
-                    file_time=file_time,
-                    status=status,
-                    error=error,
-                    cells=count,
-                    seconds=time.monotonic() - started,
+                    yield piece.assign(**file, **dict.fromkeys(STATUS.fieldNames()))
+                report = pd.DataFrame([dict.fromkeys(columns)])
+                yield report.assign(
+                    **file, status=status, error=error, cells=count, seconds=time.monotonic() - started
                 )
-                yield report
 
     return run
 
@@ -130,7 +131,7 @@ def decode_files(files: DataFrame, decode: Decoder, on_error: str = "continue")
     ``on_error='raise'`` fails the job.
     """
     schema = T.StructType([*DECODED.fields, *FILE.fields, *STATUS.fields])
-    return files.select("path", "file_time", "content").mapInPandas(_decode_files(decode, on_error), schema)
+    return files.select(*FILE.fieldNames(), "content").mapInPandas(_decode_files(decode, on_error), schema)
 
 
 def decoded_cells(decoded: DataFrame) -> DataFrame:
@@ -142,11 +143,11 @@ def decoded_cells(decoded: DataFrame) -> DataFrame:
     grid = cells.withColumns(
         {"time": F.col("file_time"), "source_uri": F.col("path"), "day": F.to_date("file_time")}
     )
-    return grid.drop("path", "file_time", *STATUS.fieldNames())
+    return grid.drop(*FILE.fieldNames(), *STATUS.fieldNames())
 
 
 def decoded_status(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("status").isNotNull()).select("path", "file_time", *STATUS.fieldNames())
+    return decoded.filter(F.col("status").isNotNull()).select(*FILE.fieldNames(), *STATUS.fieldNames())
 
 
 @dataclass
@@ -164,11 +165,17 @@ class Ingested:
 def ingest_with_status(files: DataFrame, decode: Decoder, on_error: str = "continue") -> Ingested:
     """Decode each file once into a grid and a status table.
 
-    The decoded rows are kept on executor disks between the two; a lost executor's files are decoded
-    again.
+    Of several files of one time step the last one that could be decoded counts; the others have the
+    status ``superseded``. The decoded rows are kept on executor disks between grid and status; a lost
+    executor's files are decoded again.
     """
     decoded = decode_files(files, decode, on_error).persist(StorageLevel.DISK_ONLY)
-    return Ingested(conform(decoded_cells(decoded)), decoded_status(decoded), decoded)
+    report = decoded_status(decoded)
+    replaced = broadcast_if_small(superseded(report.filter(F.col("status") == "ok")))
+    cells = decoded_cells(decoded.join(replaced, "path", "left_anti"))
+    flagged = report.join(replaced.withColumn("_replaced", F.lit(True)), "path", "left")
+    status = flagged.withColumn("status", F.when(F.col("_replaced"), "superseded").otherwise(F.col("status")))
+    return Ingested(conform(cells), status.select(*report.columns), decoded)
 
 
 def ingest_files(
@@ -209,7 +216,7 @@ def time_mismatches(files_or_cells: DataFrame) -> DataFrame:
 def ingest_metrics(df: DataFrame, name: str = "ingest", variable: str = "sst"):
     """``(df, observation)``: row counts gathered while ``df`` is written, without a second pass."""
     observation = Observation(name)
-    total, valid = F.count(F.lit(1)), F.count(F.when(~F.isnan(_column(variable)), 1))
+    total, valid = F.count(F.lit(1)), F.count(null_if_missing(variable))
     return df.observe(observation, total.alias("cells"), valid.alias("valid_cells")), observation
 
 
