@@ -1,6 +1,7 @@
 import io
 import os
 import time
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pandas as pd
@@ -132,6 +133,16 @@ def test_polling_converts_new_files_and_retries_failures(spark, folder, path):
     assert read_mark(stored_marks(spark, marks)).first().mark == newest
 
 
+def test_old_files_are_not_opened(spark, folder):
+    save(folder, "grid.20250101.nc", 1.0, age=5 * 86400)
+    save(folder, "grid.20250102.nc", 2.0)
+    mark = spark.createDataFrame([(datetime.now(timezone.utc).replace(tzinfo=None) - timedelta(days=1),)], "mark timestamp_ntz")
+    recent = fs.modified_since(fs.binary_files(spark, folder), mark)
+    assert recent.select("content").count() == 1
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(modificationTime" in plan
+
+
 def test_existing_files(spark):
     requested = spark.createDataFrame([("a",), ("b",), ("a",)], "key string")
     listing = spark.createDataFrame([("a",), ("a",), ("c",)], "key string")

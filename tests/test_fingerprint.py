@@ -6,12 +6,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.fixtures import NAN, cell, dense, noon, raw_grid
+from tests.fixtures import NAN, cell, dense, noon, raw_grid, values
 from tidegrid.functions.blake3 import INITIAL, PERMUTATION, digest_messages
 from tidegrid.functions.fingerprint import add_fingerprints, cell_fingerprint, fingerprint_fallback
 from tidegrid.model import HASHED
 from tidegrid.operators.cellwise import apply_cellwise
-from tidegrid.operators.verify import compare_fingerprints, verify_fingerprints
+from tidegrid.operators.verify import compare_fingerprints, equal_days, verify_fingerprints
 
 MASK = 0xFFFFFFFF
 
@@ -109,15 +109,18 @@ def test_one_changed_value_changes_one_fingerprint(spark, algorithm):
     changed = store.withColumn("sst", F.when(touched, F.lit(-5.0)).otherwise(F.col("sst")).cast("float"))
     assert verify_fingerprints(store, algorithm).isEmpty()
     assert [(r.lat_idx, r.lon_idx) for r in verify_fingerprints(changed, algorithm).collect()] == [(1, 7)]
-    found = compare_fingerprints(
-        store.filter("not (lat_idx = 0 and lon_idx = 0 and day = date '2025-01-01')"),
-        changed.filter("not (lat_idx = 9 and lon_idx = 9 and day = date '2025-01-01')"),
-        algorithm,
-    )
-    assert sorted((r.status, r.lat_idx, r.lon_idx) for r in found.collect()) == [
-        ("changed", 1, 7),
-        ("extra", 9, 9),
-        ("missing", 0, 0),
+    stored = store.filter("not (lat_idx = 0 and lon_idx = 0 and day = date '2025-01-01')")
+    source = changed.filter("not (lat_idx = 9 and lon_idx = 9 and day = date '2025-01-01')")
+    for skip in (False, True):
+        found = compare_fingerprints(stored, source, algorithm, skip_equal_days=skip)
+        assert sorted((r.status, r.lat_idx, r.lon_idx) for r in found.collect()) == [
+            ("changed", 1, 7),
+            ("extra", 9, 9),
+            ("missing", 0, 0),
+        ]
+    assert values(equal_days(*[df.withColumnRenamed("spatial_hash", "fingerprint") for df in (store, store)]), "day") == [
+        (noon(1).date(),),
+        (noon(2).date(),),
     ]
 
 

@@ -80,26 +80,26 @@ def axis(df: DataFrame, label: str) -> DataFrame:
     return with_ordinal(settle(df.select(label).distinct()), label, f"{label}_idx")
 
 
-def _positions(df: DataFrame, length: DataFrame, name: str) -> DataFrame:
-    """Every row of ``df`` once for each position 0 .. n-1 of an axis with n labels."""
-    n = length.agg(F.count("*").alias("n")).scalar()
-    return df.filter(n > 0).withColumn(name, F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+def _along(df: DataFrame, axis_table: DataFrame, position: str) -> DataFrame:
+    """Every row of ``df`` once for each label of an axis.
 
+    A row generates the positions 0 .. n-1 itself and these find their labels by an equi-join, so
+    there is no product join and the rows stay in their tasks.
+    """
+    labels = broadcast_if_small(axis_table)
+    n = labels.count()
+    positions = F.sequence(F.lit(0).cast("bigint"), F.lit(max(n, 1) - 1).cast("bigint"))
+    return df.withColumn(position, F.explode(positions)).join(labels, position)
 
-def build_grid(lat_axis: DataFrame, lon_axis: DataFrame) -> DataFrame:
-    """The two-dimensional grid of two axes ``(lat, lat_idx)`` and ``(lon, lon_idx)``.
 
-    Each latitude generates its positions along the other axis, which then find their labels by an
-    equi-join; there is no product join.
-    """
-    positions = _positions(lat_axis, lon_axis, "lon_idx")
-    return positions.join(lon_axis, "lon_idx").select("lat_idx", "lon_idx", "lat", "lon")
+def build_grid(lat_axis: DataFrame, lon_axis: DataFrame) -> DataFrame:
+    """The two-dimensional grid of two axes ``(lat, lat_idx)`` and ``(lon, lon_idx)``."""
+    return _along(lat_axis, lon_axis, "lon_idx").select("lat_idx", "lon_idx", "lat", "lon")
 
 
 def expand_time(grid: DataFrame, time_axis: DataFrame) -> DataFrame:
     """The grid once for each step of an axis ``(time, time_idx)``."""
-    steps = _positions(grid, time_axis, "time_idx").join(time_axis, "time_idx")
-    return steps.select("time", *grid.columns)
+    return _along(grid, time_axis, "time_idx").select("time", *grid.columns)
 
 
 def align_variables(variables: dict[str, DataFrame], on: Sequence[str] = KEY, on_mismatch: str = "raise") -> DataFrame:

@@ -14,9 +14,10 @@ from tidegrid.sources.files import (
     Decoder,
     binary_files,
     ingest_with_status,
+    modified_since,
     with_file_time,
 )
-from tidegrid.sources.listing import advance_mark, discover_since, read_mark, stored_marks, write_mark
+from tidegrid.sources.listing import advance_mark, read_mark, stored_marks, write_mark
 from tidegrid.sources.store import Layout, write_store
 
 
@@ -62,8 +63,7 @@ def poll_convert(
     The mark stops at the earliest file that failed, so that a later poll lists it again.
     """
     mark = settle(read_mark(stored_marks(spark, state_path), start))
-    listed = binary_files(spark, path, glob).withColumn("last_modified", instant_to_utc("modificationTime"))
-    files = discover_since(listed, mark)
+    files = modified_since(binary_files(spark, path, glob), mark)
     status = convert_files(files, store_path, decode, **options)
     outcome = status.select(instant_to_utc("modificationTime").alias("last_modified"), (F.col("status") != "failed").alias("ok"))
     write_mark(advance_mark(outcome, mark), state_path)

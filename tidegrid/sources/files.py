@@ -6,6 +6,8 @@ import time
 import traceback
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
+from datetime import time as clock
 
 import pandas as pd
 from pyspark import StorageLevel
@@ -58,6 +60,15 @@ def binary_files(spark: SparkSession, paths: str | list[str], glob: str = "*.nc"
     return reader.load(paths)
 
 
+def modified_since(files: DataFrame, mark: DataFrame) -> DataFrame:
+    """Files modified on or after the date of a mark.
+
+    The bound is a literal on the plain column, which the source applies before it opens a file.
+    """
+    date = mark.first().mark.date()
+    return files.filter(F.col("modificationTime") >= F.lit(datetime.combine(date, clock(), timezone.utc)))
+
+
 def ensure_zlev(df: DataFrame) -> DataFrame:
     """Level 1 where the source has no level axis."""
     return df if "zlev" in df.columns else df.withColumn("zlev", F.lit(1))

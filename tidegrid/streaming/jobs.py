@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -18,9 +19,10 @@ from tidegrid.sources.listing import as_instant
 from tidegrid.sources.store import Layout, write_store
 
 POLL_INTERVAL = "15 minutes"
+FILES_AT_ONCE = 1000
 
 
-def stream_files(spark: SparkSession, path: str, glob: str = "*.nc", max_files: int = 1000) -> DataFrame:
+def stream_files(spark: SparkSession, path: str, glob: str = "*.nc", max_files: int = FILES_AT_ONCE) -> DataFrame:
     """New files below ``path``, each exactly once, as ``path, modificationTime, length``.
 
     Contents are not part of the stream; ``max_files`` sizes the batches, all files are taken in turn.
@@ -73,14 +75,20 @@ def stream_convert(
     available_now: bool = False,
     interval: str = POLL_INTERVAL,
 ) -> StreamingQuery:
-    """Convert each new file of :func:`stream_files` into the store; file statuses are appended."""
+    """Convert each new file of a stream with a ``path`` into the store; file statuses are appended.
+
+    The stream is :func:`stream_files` or the addresses of object events. Names pass through the
+    driver in slices of ``FILES_AT_ONCE``, oldest files first; contents never do.
+    """
+    order = [c for c in ("modificationTime", "event_time") if c in files.columns]
 
     def handle(batch: DataFrame) -> None:
         spark = batch.sparkSession
-        paths = [row.path for row in batch.select("path").collect()]  # at most max_files names
-        contents = spark.read.format("binaryFile").load(paths)
-        status = convert_files(contents, store_path, decode, suffix, name)
-        status.write.mode("append").parquet(status_path)
+        names = batch.orderBy(*order, "path").select("path").toLocalIterator()
+        for paths in itertools.batched((row.path for row in names), FILES_AT_ONCE):
+            contents = spark.read.format("binaryFile").load(list(paths))
+            status = convert_files(contents, store_path, decode, suffix, name)
+            status.write.mode("append").parquet(status_path)
 
     return _start(files, _once(handle), checkpoint, available_now, interval)
 
