@@ -10,7 +10,7 @@ QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"sample_cells", "sample_verifiers", "stream_convert", "add_fingerprints"}
+    assert set(QUERIES) - set(ORACLES) == {"sample_cells", "sample_verifiers", "add_fingerprints"}
 
 
 def test_entry(spark):

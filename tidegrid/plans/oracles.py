@@ -372,6 +372,11 @@ ORACLES = {
         FROM (SELECT count(*) FROM lineitem) AS t""",
     "suggest_layout": _layout(),
     "stream_files": from_grid(EVERY_FILE, MONTHLY),
+    "stream_convert": from_grid(
+        f"""SELECT {KEY}, sst, {CELL_HASH} AS spatial_hash, ['', '', '', '', '', '', '', '', '', ''] AS verifier_pubkeys
+            FROM grid""",
+        MONTHLY,
+    ),
     "stream_upsert": from_grid(ALL_VALUES, MONTHLY),
     "dedup_events": f"WITH {RECORDS} SELECT uri, etag, event_id FROM records",
     "late_files": f"""WITH {LISTING},

@@ -183,15 +183,16 @@ def write_create(spark, sf_dir):
 
 
 def write_append(spark, sf_dir):
-    grid, path = conform(monthly_grid(spark, sf_dir)), scratch_path(spark, "store")
+    grid, path = settle(conform(monthly_grid(spark, sf_dir))), scratch_path(spark, "store")
     st.write_create(grid.filter("day < date '1998-01-01'"), path)
     st.write_append(grid.filter("day >= date '1998-01-01'"), path)
     return wide(st.read_store(spark, path))
 
 
 def write_upsert(spark, sf_dir):
-    path = _written(spark, sf_dir)
-    newer = conform(monthly_grid(spark, sf_dir)).filter("year(day) = 1998").withColumn("sst", F.col("sst") + 100)
+    grid, path = settle(conform(monthly_grid(spark, sf_dir))), scratch_path(spark, "store")
+    st.write_create(grid, path)
+    newer = grid.filter("year(day) = 1998").withColumn("sst", F.col("sst") + 100)
     st.write_upsert(newer, path)
     st.write_upsert(newer, path)
     return wide(st.read_store(spark, path))
@@ -302,12 +303,12 @@ def squeeze(spark, sf_dir):
 
 
 def build_grid(spark, sf_dir):
-    cells = daily_grid(spark, sf_dir)
+    cells = settle(daily_grid(spark, sf_dir))
     return g.build_grid(g.axis(cells, "lat"), g.axis(cells, "lon"))
 
 
 def expand_time(spark, sf_dir):
-    cells = daily_grid(spark, sf_dir, **COARSE)
+    cells = settle(daily_grid(spark, sf_dir, **COARSE))
     plane = g.build_grid(g.axis(cells, "lat"), g.axis(cells, "lon"))
     return g.expand_time(plane, g.axis(cells, "time"))
 
@@ -620,11 +621,12 @@ def stream_convert(spark, sf_dir):
             decode_parquet,
             scratch_path(spark, "cp"),
             name=folder_name(),
+            algorithm="sha256",
             available_now=True,
         )
     )
     stored = st.read_store(spark, store)
-    return wide(stored, "sst", "spatial_hash")
+    return wide(stored, "sst", "spatial_hash", "verifier_pubkeys")
 
 
 def _grid_stream(spark, sf_dir, per_trigger: int):

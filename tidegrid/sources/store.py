@@ -94,7 +94,8 @@ def write_append(df: DataFrame, path: str, layout: Layout = DAILY) -> None:
     """Add time steps the store does not have; :class:`SliceExists` when it has one of them."""
     store = read_store(df.sparkSession, path)
     df = _as_stored(df, store)
-    present = has_time(df.select(layout.key), _touched(store, df, layout.partition), layout.key)
+    slices = _slices(df, layout)
+    present = _touched(store, slices, layout.partition).join(slices, [layout.partition, layout.key], "left_semi")
     if not present.isEmpty():
         raise SliceExists(f"the store at {path} already has some of these time steps")
     _write(df, path, "append", layout)
@@ -105,14 +106,15 @@ def write_upsert(df: DataFrame, path: str, layout: Layout = DAILY) -> None:
 
     Partitions ``df`` touches are replaced whole. When such a partition also holds other time steps,
     they are first merged in a scratch folder, so the store never reads what it overwrites. A failed
-    write is repaired by running it again. ``df`` is read more than once: persist a costly one.
+    write is repaired by running it again. ``df`` is read twice, for its time steps and for its rows.
     """
     _replace(df, read_store(df.sparkSession, path), path, layout)
 
 
 def _replace(df: DataFrame, store: DataFrame, path: str, layout: Layout) -> None:
     df = _as_stored(df, store)
-    others = drop_time(_touched(store, df, layout.partition), df.select(layout.key), layout.key)
+    slices = _slices(df, layout)
+    others = _touched(store, slices, layout.partition).join(slices, [layout.partition, layout.key], "left_anti")
     if not others.isEmpty():
         staged = scratch_path(df.sparkSession, "merge")
         _write(concat_time(others, df), staged, "overwrite", layout)
@@ -130,15 +132,20 @@ def write_store(df: DataFrame, path: str, layout: Layout = DAILY) -> str:
     return "upserted"
 
 
-def _between(store: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """Store rows from the first to the last partition of the batch: two literals, which prune the scan."""
-    first, last = batch.agg(F.min(partition), F.max(partition)).first()
+def _slices(df: DataFrame, layout: Layout) -> DataFrame:
+    """The time steps of a batch with their partitions."""
+    return broadcast_if_small(df.select(layout.partition, layout.key).distinct())
+
+
+def _between(store: DataFrame, partitions: DataFrame, partition: str) -> DataFrame:
+    """Store rows from the first to the last of some partitions: two literals, which prune the scan."""
+    first, last = partitions.agg(F.min(partition), F.max(partition)).first()
     return store.filter(F.col(partition).between(F.lit(first), F.lit(last)))
 
 
-def _touched(store: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """Store rows in the partitions of the batch."""
-    partitions = broadcast_if_small(batch.select(partition).distinct())
+def _touched(store: DataFrame, slices: DataFrame, partition: str) -> DataFrame:
+    """Store rows in the partitions of some time steps."""
+    partitions = broadcast_if_small(slices.select(partition).distinct())
     return _between(store, partitions, partition).join(partitions, partition, "left_semi")
 
 

@@ -72,6 +72,7 @@ def stream_convert(
     checkpoint: str,
     suffix: str = "",
     name: Column | None = None,
+    algorithm: str = "blake3",
     available_now: bool = False,
     interval: str = POLL_INTERVAL,
 ) -> StreamingQuery:
@@ -87,7 +88,7 @@ def stream_convert(
         names = batch.orderBy(*order, "path").select("path").toLocalIterator()
         for paths in itertools.batched((row.path for row in names), FILES_AT_ONCE):
             contents = spark.read.format("binaryFile").load(list(paths))
-            status = convert_files(contents, store_path, decode, suffix, name)
+            status = convert_files(contents, store_path, decode, suffix, name, algorithm=algorithm)
             status.write.mode("append").parquet(status_path)
 
     return _start(files, _once(handle), checkpoint, available_now, interval)
