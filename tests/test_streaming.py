@@ -110,14 +110,36 @@ def test_upsert_stream(spark, tmp_path, path):
 
 
 def test_redelivered_events(spark, tmp_path, path):
-    folder, out = str(tmp_path / "in"), path("out")
+    """Copies in one batch and in a later one are dropped; an old event that comes late is kept."""
+    folder, out, checkpoint = str(tmp_path / "in"), path("out"), path("cp")
     at = dt.datetime(2024, 1, 1)
-    rows = [("a", "e", at), ("a", "e", at + dt.timedelta(minutes=5)), ("b", "e", at)]
     schema = "uri string, etag string, event_time timestamp_ntz"
-    spark.createDataFrame(rows, schema).write.json(folder)
-    stream = spark.readStream.schema(schema).json(folder)
-    finish(jobs.stream_dedup(stream, out, path("cp"), available_now=True))
-    assert values(spark.read.parquet(out), "uri") == [("a",), ("b",)]
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).repartition(4).write.mode("append").json(folder)
+        stream = spark.readStream.schema(schema).json(folder)
+        finish(jobs.stream_dedup(stream, out, checkpoint, available_now=True))
+        return values(spark.read.parquet(out), "uri", "event_time")
+
+    copies = [("a", "e", at)] * 30 + [("b", "e", at + dt.timedelta(minutes=5))]
+    first = [("a", at), ("b", at + dt.timedelta(minutes=5))]
+    assert run(copies) == first
+    old = at - dt.timedelta(days=900)
+    assert run([("a", "e", at), ("c", "e", old)]) == [*first, ("c", old)]
+
+
+def test_a_very_late_file_is_taken(spark, tmp_path, path):
+    folder, out, checkpoint = str(tmp_path / "in"), path("out"), path("cp")
+
+    def run():
+        writer = jobs.stream_files(spark, folder).writeStream.format("parquet").option("path", out)
+        finish(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        return spark.read.parquet(out).count()
+
+    save(folder, "grid.20250102.nc", 1.0)
+    assert run() == 1
+    save(folder, "grid.20250101.nc", 1.0, age=400 * 86400)
+    assert run() == 2
 
 
 def test_late_files(spark):

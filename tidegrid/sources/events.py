@@ -70,13 +70,19 @@ def lookup_config(events: DataFrame, configs: DataFrame, on: str = "bucket") ->
     return events.join(configs, on, "left")
 
 
-def dedup_events(events: DataFrame, delay: str = "1 hour", on=("uri", "etag")) -> DataFrame:
+def dedup_events(events: DataFrame, delay: str = "1 hour", on=("uri", "etag"), salts: int = 32) -> DataFrame:
     """Drop re-deliveries of one object version.
 
-    On a stream the state of a key is kept until ``delay`` past its event time; a batch is deduplicated
-    as a whole.
+    A batch is deduplicated as a whole. A stream drops what arrives again within ``delay``; time is the
+    time of arrival, so an old event that comes late is not lost. Copies are first dropped within
+    ``salts`` groups of input partitions, so that an object delivered very often is spread over tasks
+    and only one copy per group goes on to the second step.
     """
+    keys = list(on)
     if not events.isStreaming:
-        return events.dropDuplicates(list(on))
-    zoned = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    return zoned.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(on))
+        return events.dropDuplicates(keys)
+    arrived = events.withColumns(
+        {"_arrived": F.current_timestamp(), "_salt": F.spark_partition_id() % salts}
+    ).withWatermark("_arrived", delay)
+    spread = arrived.dropDuplicatesWithinWatermark([*keys, "_salt"])
+    return spread.dropDuplicatesWithinWatermark(keys).drop("_arrived", "_salt")

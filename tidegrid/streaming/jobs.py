@@ -22,10 +22,14 @@ POLL_INTERVAL = "15 minutes"
 FILES_AT_ONCE = 1000
 
 
-def stream_files(spark: SparkSession, path: str, glob: str = "*.nc", max_files: int = FILES_AT_ONCE) -> DataFrame:
+def stream_files(
+    spark: SparkSession, path: str, glob: str = "*.nc", max_files: int = FILES_AT_ONCE, max_age: str = "3650d"
+) -> DataFrame:
     """New files below ``path``, each exactly once, as ``path, modificationTime, length``.
 
     Contents are not part of the stream; ``max_files`` sizes the batches, all files are taken in turn.
+    A file is taken however late it comes, unless it is older than the newest one by ``max_age``, the
+    time for which names are remembered.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -33,6 +37,7 @@ def stream_files(spark: SparkSession, path: str, glob: str = "*.nc", max_files:
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", max_age)
         .load(path)
     )
     return files.select("path", "modificationTime", "length")
