@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.functions.blake3 import digest_words, hex_bytes
-from tidegrid.functions.missing import _column, sentinel_if_missing
+from tidegrid.functions.missing import as_column, sentinel_if_missing
 from tidegrid.model import HASHED, SENTINEL
 
 SCALE = 10000
@@ -55,7 +55,7 @@ def cell_fingerprint(
     columns: Sequence[Column | str] = HASHED, algorithm: str = "blake3"
 ) -> Column:
     """Fingerprint of (lat, lon, sst, err, ice, anom) as 64 hex digits."""
-    lat, lon, *values = [_column(c) for c in columns]
+    lat, lon, *values = [as_column(c) for c in columns]
     if algorithm == "blake3":
         return _blake3(lat.cast("float"), lon.cast("float"), *[v.cast("float") for v in values])
     if algorithm == "sha256":
@@ -71,7 +71,7 @@ def fingerprint_fallback(
     One value that is not a number (NULL or unreadable text) makes all four variables the sentinel;
     NaN, which is a number, makes only its own variable the sentinel.
     """
-    lat, lon, *values = [_column(c) for c in columns]
+    lat, lon, *values = [as_column(c) for c in columns]
     numbers = [v.try_cast("double") for v in values]
     readable = F.lit(True)
     for number in numbers:

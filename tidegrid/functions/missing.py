@@ -8,23 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _column(value: Column | str) -> Column:
+def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
 def is_missing(value: Column | str) -> Column:
-    value = _column(value)
+    value = as_column(value)
     return value.isNull() | F.isnan(value)
 
 
 def null_if_missing(value: Column | str) -> Column:
     """NaN becomes NULL, which Spark's aggregates skip; NaN itself would win ``max`` and stick in ``avg``."""
-    value = _column(value)
+    value = as_column(value)
     return F.when(~F.isnan(value), value)
 
 
 def sentinel_if_missing(value: Column | str, sentinel: float = -999.0) -> Column:
-    value = _column(value)
+    value = as_column(value)
     return F.when(is_missing(value), F.lit(sentinel)).otherwise(value)
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.functions.missing import _column, is_missing
+from tidegrid.functions.missing import as_column, is_missing
 from tidegrid.functions.times import iso_text
 
 
 def two_decimals(value: Column | str) -> Column:
     """Half-up to two decimals as text, built from whole hundredths so engines agree; missing is ``nan``."""
-    value = _column(value).cast("double")
+    value = as_column(value).cast("double")
     hundredths = F.round(F.abs(value) * 100).cast("bigint")
     sign = F.when((value < 0) & (hundredths > 0), F.lit("-")).otherwise(F.lit(""))
     whole = F.floor(hundredths / 100).cast("string")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.fingerprint import add_fingerprints, cell_fingerprint
-from tidegrid.functions.missing import _column
+from tidegrid.functions.missing import as_column
 from tidegrid.model import HASHED, KEY, MAX_VERIFIERS
 from tidegrid.session import broadcast_if_small
 
@@ -72,7 +72,7 @@ def add_verifiers(df: DataFrame, slots: int = MAX_VERIFIERS, name: str = "verifi
 
 
 def _filled(verifiers: Column | str) -> Column:
-    return F.filter(_column(verifiers), lambda v: v != "")
+    return F.filter(as_column(verifiers), lambda v: v != "")
 
 
 def _accepted(

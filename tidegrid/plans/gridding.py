@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.names import noon_of
@@ -51,6 +51,6 @@ def grid_observations(
     )
 
 
-def file_name(time: str = "time", prefix: str = "grid") -> F.Column:
+def file_name(time: str = "time", prefix: str = "grid") -> Column:
     """``<prefix>.YYYYMMDD.nc`` of a time step."""
     return F.concat(F.lit(f"{prefix}."), format_day(time), F.lit(".nc"))

@@ -38,6 +38,7 @@ def from_grid(select: str, grid: str = DAILY) -> str:
     return f"WITH {grid} {select}"
 
 
+DAY_TEXT = "strftime(day, '%Y-%m-%d')"
 ALL_VALUES = f"SELECT {KEY}, sst, anom, err, ice FROM grid"
 
 LISTING = """
@@ -95,7 +96,7 @@ DAILY_MEANS = "daily AS (SELECT time, min(sst) AS daily_min, max(sst) AS daily_m
 CHANGED = """
     source AS (SELECT * FROM grid WHERE year(time) <> 2000),
     store AS (
-        SELECT * EXCLUDE (sst), CASE WHEN year(time) = 1999 AND lat_idx % 13 = 0 THEN sst + 1 ELSE sst END AS sst
+        SELECT * EXCLUDE (sst), CASE WHEN year(time) = 1999 AND err > CAST(0.05 AS DOUBLE) THEN sst + 1 ELSE sst END AS sst
         FROM grid WHERE year(time) <> 1996
     )"""
 
@@ -140,23 +141,23 @@ ORACLES = {
     "filter_object_events": f"""WITH {RECORDS}
         SELECT event_id, uri, event_name FROM records WHERE event_name LIKE 'ObjectCreated:%' AND key LIKE '%.nc'""",
     "ingest_files": from_grid(ALL_VALUES, MONTHLY),
-    "read_store": from_grid(f"SELECT {KEY}, day, sst, anom, err, ice FROM grid", MONTHLY),
+    "read_store": from_grid(f"SELECT {KEY}, {DAY_TEXT} AS day, sst, anom, err, ice FROM grid", MONTHLY),
     "select_existing_files": """
         SELECT 'docs/d.' || doc_id || '.nc' AS key, doc_id IN (SELECT doc_id FROM labels) AS found FROM documents""",
-    "write_create": from_grid("SELECT day, count(*) AS cells, sum(sst) AS sum_sst FROM grid GROUP BY day", MONTHLY),
+    "write_create": from_grid(f"SELECT {DAY_TEXT} AS day, count(*) AS cells, sum(sst) AS sum_sst FROM grid GROUP BY 1", MONTHLY),
     "write_append": from_grid(ALL_VALUES, MONTHLY),
     "write_upsert": from_grid(
         f"SELECT {KEY}, CASE WHEN year(time) = 1998 THEN sst + 100 ELSE sst END AS sst, anom, err, ice FROM grid",
         MONTHLY,
     ),
-    "write_overwrite": from_grid(f"{ALL_VALUES} WHERE lat_idx % 2 = 0", MONTHLY),
+    "write_overwrite": from_grid(f"{ALL_VALUES} WHERE year(time) >= 1998", MONTHLY),
     "store_summary": from_grid(
-        f"""SELECT day, count(*) AS cells, count(sst) AS valid_cells,
+        f"""SELECT {DAY_TEXT} AS day, count(*) AS cells, count(sst) AS valid_cells,
             min(lat_idx) AS first_lat_idx, max(lat_idx) AS last_lat_idx,
             min(lon_idx) AS first_lon_idx, max(lon_idx) AS last_lon_idx,
             min(sst) AS min_value, max(sst) AS max_value,
             bit_xor(CAST('0x' || substr({CELL_HASH}, 1, 15) AS BIGINT)) AS checksum
-            FROM grid GROUP BY day""",
+            FROM grid GROUP BY 1""",
         MONTHLY,
     ),
     "write_profile": _layout(),
@@ -180,7 +181,7 @@ ORACLES = {
     "select_first_time": from_grid(f"{ALL_VALUES} WHERE time = (SELECT min(time) FROM grid)", MONTHLY),
     "point_by_index": from_grid(
         f"""SELECT {KEY}, s_name AS name, lat, lon, sst FROM grid JOIN supplier
-            ON lat_idx = s_suppkey % 720 AND lon_idx = s_nationkey AND s_suppkey % 10 <> 9"""
+            ON lat_idx = s_suppkey % 720 AND lon_idx = s_nationkey AND s_nationkey <= 20"""
     ),
     "point_by_label": from_grid(
         f"""SELECT {KEY}, s_name AS name, sst FROM grid JOIN supplier
@@ -275,7 +276,7 @@ ORACLES = {
             UNION ALL SELECT {KEY}, sst, anom, err, NULL FROM grid WHERE year(time) >= 1998"""
     ),
     "upsert_logical": from_grid(
-        f""", batch AS (SELECT {KEY}, sst + 100 AS sst FROM grid WHERE year(time) = 1998 AND lat_idx % 2 = 0)
+        f""", batch AS (SELECT {KEY}, sst + 100 AS sst FROM grid WHERE year(time) = 1998 AND sst > 25)
         SELECT {KEY}, sst FROM grid WHERE time NOT IN (SELECT time FROM batch)
         UNION ALL SELECT {KEY}, sst FROM batch"""
     ),
@@ -303,7 +304,7 @@ ORACLES = {
                 || CASE WHEN microsecond(instant) % 1000000 = 0 THEN '' ELSE strftime(instant, '.%f') END
                 || '+00:00' AS iso
         FROM instants""",
-    "date_part": "SELECT event_id, CAST(ts AS DATE) AS date FROM events",
+    "date_part": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS date FROM events",
     "format_day": "SELECT event_id, strftime(ts, '%Y%m%d') AS day FROM events",
     "object_uri": """
         WITH parts AS (SELECT page_id, regexp_replace(url, '^https?://', '') AS rest FROM pages)
@@ -322,7 +323,7 @@ ORACLES = {
             CASE WHEN bad THEN {fingerprint('lat', 'lon', '-999.0', '-999.0', '-999.0', '-999.0')}
                  ELSE {CELL_HASH} END AS spatial_hash
         FROM raw""",
-    "empty_verifiers": from_grid(f"SELECT {KEY}, ['', '', '', '', '', '', '', '', '', ''] AS verifier_pubkeys FROM grid"),
+    "empty_verifiers": from_grid(f"SELECT {KEY}, ',,,,,,,,,' AS verifier_pubkeys FROM grid"),
     "append_verifier": from_grid(
         f""", firsts AS (
             SELECT date_trunc('month', l_shipdate)::TIMESTAMP + INTERVAL 12 HOUR AS time,
@@ -333,7 +334,7 @@ ORACLES = {
             SELECT *, row_number() OVER (PARTITION BY time, lat_idx, lon_idx ORDER BY seq, pubkey) AS rank FROM firsts),
         lists AS (
             SELECT time, lat_idx, lon_idx, list(pubkey ORDER BY rank) AS keys FROM ranked WHERE rank <= 10 GROUP BY 1, 2, 3)
-        SELECT {KEY}, list_concat(keys, list_transform(range(10 - len(keys)), lambda x: '')) AS verifier_pubkeys
+        SELECT {KEY}, array_to_string(keys, ',') || repeat(',', 10 - len(keys)) AS verifier_pubkeys
         FROM grid JOIN lists USING (time, lat_idx, lon_idx)""",
         COARSE_MONTHLY,
     ),
@@ -359,7 +360,7 @@ ORACLES = {
         present AS (SELECT DISTINCT time, zlev, tile_i, tile_j FROM slots),
         every AS (SELECT * FROM present CROSS JOIN range(48) AS r(pos))
         SELECT time, zlev, CAST(tile_i AS INTEGER) AS tile_i, CAST(tile_j AS INTEGER) AS tile_j,
-            list(sst ORDER BY pos) AS "values"
+            string_agg(coalesce(CAST(CAST(sst AS INTEGER) AS VARCHAR), '-'), ',' ORDER BY pos) AS "values"
         FROM every LEFT JOIN slots USING (time, zlev, tile_i, tile_j, pos) GROUP BY ALL""",
         COARSE,
     ),
@@ -373,7 +374,7 @@ ORACLES = {
     "suggest_layout": _layout(),
     "stream_files": from_grid(EVERY_FILE, MONTHLY),
     "stream_convert": from_grid(
-        f"""SELECT {KEY}, sst, {CELL_HASH} AS spatial_hash, ['', '', '', '', '', '', '', '', '', ''] AS verifier_pubkeys
+        f"""SELECT {KEY}, sst, {CELL_HASH} AS spatial_hash, ',,,,,,,,,' AS verifier_pubkeys
             FROM grid""",
         MONTHLY,
     ),

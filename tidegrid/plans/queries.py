@@ -59,6 +59,14 @@ def wide(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[k for k in KEY if k in types], *shown)
 
 
+def iso_day(day):
+    return F.date_format(day, "yyyy-MM-dd")
+
+
+def joined(verifiers):
+    return F.array_join(verifiers, ",")
+
+
 def object_listing(spark, sf_dir) -> DataFrame:
     """Objects named after events; clicks are text files, all others grid files."""
     suffix = F.when(F.col("event_type") == "click", ".txt").otherwise(".nc")
@@ -161,7 +169,8 @@ def _written(spark, sf_dir, name="store"):
 
 
 def read_store(spark, sf_dir):
-    return wide(st.read_store(spark, _written(spark, sf_dir)), "day", *VARIABLES)
+    stored = st.read_store(spark, _written(spark, sf_dir))
+    return wide(stored.withColumn("day", iso_day("day")), "day", *VARIABLES)
 
 
 def select_existing_files(spark, sf_dir):
@@ -177,7 +186,7 @@ def select_existing_files(spark, sf_dir):
 
 def write_create(spark, sf_dir):
     path = _written(spark, sf_dir)
-    return st.read_store(spark, path).groupBy("day").agg(
+    return st.read_store(spark, path).groupBy(iso_day("day").alias("day")).agg(
         F.count("*").alias("cells"), F.sum(F.col("sst").cast("double")).alias("sum_sst")
     )
 
@@ -200,7 +209,7 @@ def write_upsert(spark, sf_dir):
 
 def write_overwrite(spark, sf_dir):
     path = _written(spark, sf_dir)
-    st.write_overwrite(conform(monthly_grid(spark, sf_dir).filter("lat_idx % 2 = 0")), path)
+    st.write_overwrite(conform(monthly_grid(spark, sf_dir)).filter("year(day) >= 1998"), path)
     return wide(st.read_store(spark, path))
 
 
@@ -210,7 +219,7 @@ def store_summary(spark, sf_dir):
     summary = scratch_path(spark, "summary")
     st.write_summary(st.read_store(spark, path), summary)
     return spark.read.parquet(summary).withColumns(
-        {"min_value": F.col("min_value").cast("double"), "max_value": F.col("max_value").cast("double")}
+        {"day": iso_day("day"), "min_value": F.col("min_value").cast("double"), "max_value": F.col("max_value").cast("double")}
     )
 
 
@@ -261,7 +270,7 @@ def select_first_time(spark, sf_dir):
 
 def point_by_index(spark, sf_dir):
     points = table(spark, sf_dir, "supplier").select(
-        F.when(F.col("s_suppkey") % 10 == 9, F.lit(5000)).otherwise(F.col("s_suppkey") % 720 - 720).alias("lat_idx"),
+        F.when(F.col("s_nationkey") > 20, F.lit(5000)).otherwise(F.col("s_suppkey") % 720 - 720).alias("lat_idx"),
         F.col("s_nationkey").alias("lon_idx"),
         F.col("s_name").alias("name"),
     )
@@ -347,8 +356,8 @@ def lookup_config(spark, sf_dir):
 
 
 def _changed(cells: DataFrame) -> DataFrame:
-    """A store that lacks one year and has other values on every 13th latitude of another."""
-    touched = (F.year("time") == 1999) & (F.col("lat_idx") % 13 == 0)
+    """A store that lacks one year and has other values where the error of another year is large."""
+    touched = (F.year("time") == 1999) & (null_if_missing("err") > 0.05)
     kept = cells.filter(F.year("time") != 1996)
     return kept.withColumn("sst", F.when(touched, F.col("sst") + 1).otherwise(F.col("sst")))
 
@@ -438,7 +447,7 @@ def concat_time(spark, sf_dir):
 
 def upsert_logical(spark, sf_dir):
     cells = daily_grid(spark, sf_dir)
-    batch = cells.filter("year(time) = 1998 and lat_idx % 2 = 0").withColumn("sst", F.col("sst") + 100)
+    batch = cells.filter((F.year("time") == 1998) & (null_if_missing("sst") > 25)).withColumn("sst", F.col("sst") + 100)
     return wide(st.upsert_logical(cells, batch), "sst")
 
 
@@ -489,7 +498,7 @@ def to_utc(spark, sf_dir):
 
 
 def date_part(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", times.date_part("ts").alias("date"))
+    return table(spark, sf_dir, "events").select("event_id", iso_day(times.date_part("ts")).alias("date"))
 
 
 def format_day(spark, sf_dir):
@@ -523,7 +532,7 @@ def fingerprint_fallback_query(spark, sf_dir):
 
 
 def empty_verifiers(spark, sf_dir):
-    return verify.add_verifiers(daily_grid(spark, sf_dir)).select(*KEY, F.col("verifier_pubkeys"))
+    return verify.add_verifiers(daily_grid(spark, sf_dir)).select(*KEY, joined("verifier_pubkeys").alias("verifier_pubkeys"))
 
 
 def _verifier_keys(spark, sf_dir):
@@ -542,7 +551,7 @@ def _verifier_keys(spark, sf_dir):
 def append_verifier(spark, sf_dir):
     cells = verify.add_verifiers(monthly_grid(spark, sf_dir, **COARSE))
     appended = verify.append_verifier(cells, _verifier_keys(spark, sf_dir))
-    return appended.select(*KEY, "verifier_pubkeys")
+    return appended.select(*KEY, joined("verifier_pubkeys").alias("verifier_pubkeys"))
 
 
 def format_stat(spark, sf_dir):
@@ -569,7 +578,8 @@ def _packed(spark, sf_dir):
 
 
 def pack_tiles(spark, sf_dir):
-    return _packed(spark, sf_dir).withColumn("values", F.transform("values", lambda v: v.cast("double")))
+    whole = F.transform("values", lambda v: v.cast("int").cast("string"))
+    return _packed(spark, sf_dir).withColumn("values", F.array_join(whole, ",", "-"))
 
 
 def unpack_tiles(spark, sf_dir):
@@ -626,7 +636,7 @@ def stream_convert(spark, sf_dir):
         )
     )
     stored = st.read_store(spark, store)
-    return wide(stored, "sst", "spatial_hash", "verifier_pubkeys")
+    return wide(stored.withColumn("verifier_pubkeys", joined("verifier_pubkeys")), "sst", "spatial_hash", "verifier_pubkeys")
 
 
 def _grid_stream(spark, sf_dir, per_trigger: int):
@@ -647,7 +657,7 @@ def stream_upsert(spark, sf_dir):
 def dedup_events(spark, sf_dir):
     source, out = scratch_path(spark, "events"), scratch_path(spark, "unique")
     parsed = parsed_events(spark, sf_dir)
-    parsed.unionByName(parsed.filter("event_id % 10 = 0")).write.parquet(source)
+    parsed.unionByName(parsed).write.parquet(source)
     stream = spark.readStream.schema(parsed.schema).parquet(source)
     finished(jobs.stream_dedup(stream, out, scratch_path(spark, "cp"), available_now=True))
     return spark.read.parquet(out).select("uri", "etag", "event_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.functions.missing import _column
+from tidegrid.functions.missing import as_column
 from tidegrid.functions.names import object_uri
 from tidegrid.functions.times import to_utc
 
@@ -28,7 +28,7 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
     one row with NULL fields and ``parsed`` false.
     """
     kept = df.columns
-    source = _column(json)
+    source = as_column(json)
     opened = df.withColumn("_outer", F.from_json(source, OBJECT_EVENT)["Records"])
     message = F.try_element_at("_outer", F.lit(1))["Sns"]["Message"]
     inner = F.from_json(message, OBJECT_EVENT)["Records"]
