@@ -2,12 +2,14 @@ import datetime as dt
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from tests.fixtures import cell, grid, noon, values
 from tests.test_discovery import record
 from tests.test_files import decode, save
 from tidegrid.model import GRID
 from tidegrid.operators.stats import running_mean
-from tidegrid.sources import events as ev
+from tidegrid.plans.convert import convert_listed, event_files, report
 from tidegrid.sources.store import read_store
 from tidegrid.streaming import jobs
 
@@ -65,12 +67,28 @@ def test_notifications_to_store(spark, tmp_path, path):
     with open(os.path.join(inbox, "1.json"), "w") as out:
         out.write(json.dumps(doc) + "\n")
     notices = spark.readStream.schema("value string").text(inbox).withColumnRenamed("value", "json")
-    found = ev.filter_object_events(ev.parse_object_events(notices))
-    files = found.selectExpr(f"replace(uri, 's3://b/x.nc', '{saved}') AS path")
+    files = event_files(notices).withColumn("path", F.replace("path", F.lit("s3://b/x.nc"), F.lit(saved)))
     finish(jobs.stream_convert(files, store, status, decode, checkpoint, available_now=True))
     assert read_store(spark, store).count() == 6
 
 
+def test_notified_files_in_a_batch(spark, tmp_path, path):
+    folder, store, status = str(tmp_path / "in"), path("store"), path("status")
+    saved = [save(folder, f"grid.2025010{d}.nc", float(d)) for d in (1, 2)]
+    doc = {"Records": [record("1.nc"), record("2.nc"), record("2.nc"), record("x.txt")]}
+    found = event_files(spark.createDataFrame([(json.dumps(doc),)], "json string"))
+    assert found.count() == 2
+    for number, target in enumerate(saved, 1):
+        found = found.withColumn("path", F.replace("path", F.lit(f"s3://b/{number}.nc"), F.lit(target)))
+    convert_listed(found, store, status, decode)
+    assert values(read_store(spark, store).select("time", "sst").distinct(), "time", "sst") == [(noon(1), 1.0), (noon(2), 2.0)]
+    assert spark.read.parquet(status).count() == 2
+    shown = report(read_store(spark, store)).orderBy("time").collect()
+    assert [r.date for r in shown] == ["20250101", "20250102"]
+    assert (shown[1]["min"], shown[1]["mean"], shown[1].running_mean) == ("2.00°C", "2.00°C", "1.50°C")
+    assert shown[1].components == "Day 1: 1.00°C + Day 2: 2.00°C = 1.50°C"
+
+
 def day_batches(spark, folder):
     return spark.readStream.schema(GRID).option("maxFilesPerTrigger", 1).json(folder)
 

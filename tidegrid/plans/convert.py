@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.fingerprint import add_fingerprints
-from tidegrid.functions.times import instant_to_utc
-from tidegrid.operators.stats import daily_stats, running_mean
+from tidegrid.functions.text import format_stat
+from tidegrid.functions.times import format_day, instant_to_utc
+from tidegrid.operators.stats import daily_stats, running_components, running_mean
 from tidegrid.operators.verify import add_verifiers
 from tidegrid.session import settle
+from tidegrid.sources.events import dedup_events, filter_object_events, parse_object_events
 from tidegrid.sources.files import (
     Decoder,
     binary_files,
@@ -20,6 +24,8 @@ from tidegrid.sources.files import (
 from tidegrid.sources.listing import advance_mark, read_mark, stored_marks, write_mark
 from tidegrid.sources.store import Layout, write_store
 
+FILES_AT_ONCE = 1000
+
 
 def convert_files(
     files: DataFrame,
@@ -48,6 +54,26 @@ def convert_paths(spark: SparkSession, paths, store_path: str, decode: Decoder,
     return convert_files(binary_files(spark, paths, glob), store_path, decode, **options)
 
 
+def convert_listed(files: DataFrame, store_path: str, status_path: str, decode: Decoder, **options) -> None:
+    """Convert the files named in ``path`` and append their statuses to a table.
+
+    Names pass through the driver in slices of ``FILES_AT_ONCE``, oldest files first where their dates
+    are known; contents never do.
+    """
+    spark = files.sparkSession
+    order = [c for c in ("modificationTime", "event_time") if c in files.columns]
+    names = files.orderBy(*order, "path").select("path").toLocalIterator()
+    for paths in itertools.batched((row.path for row in names), FILES_AT_ONCE):
+        contents = spark.read.format("binaryFile").load(list(paths))
+        convert_files(contents, store_path, decode, **options).write.mode("append").parquet(status_path)
+
+
+def event_files(documents: DataFrame, json: str = "json", suffix: str = ".nc", on_error: str = "raise") -> DataFrame:
+    """Files named by object events, as ``path, event_time``; re-deliveries dropped. Batch or stream."""
+    created = filter_object_events(parse_object_events(documents, json, on_error), suffix)
+    return dedup_events(created).select(F.col("uri").alias("path"), "event_time")
+
+
 def poll_convert(
     spark: SparkSession,
     path: str,
@@ -73,3 +99,16 @@ def poll_convert(
 def analyse(store: DataFrame, variable: str = "sst", sticky_nan: bool = False) -> DataFrame:
     """Daily statistics with day numbers and running means; the store is scanned once."""
     return running_mean(settle(daily_stats(store, variable)), sticky_nan=sticky_nan)
+
+
+def report(store: DataFrame, variable: str = "sst", unit: str = "°C") -> DataFrame:
+    """What a person reads: per day minimum, maximum, average, running average and its components as text."""
+    daily = settle(daily_stats(store, variable))
+    numbered = running_mean(daily).select(
+        "time",
+        "day_number",
+        format_day("time").alias("date"),
+        *[format_stat(f"daily_{c}", 0, unit).alias(c) for c in ("min", "max", "mean")],
+        format_stat("running_mean", 0, unit).alias("running_mean"),
+    )
+    return numbered.join(running_components(daily, unit=unit), ["time", "day_number"])

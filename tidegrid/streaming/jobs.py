@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -12,14 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions.times import instant_to_utc
 from tidegrid.operators.stats import daily_stats
-from tidegrid.plans.convert import convert_files
+from tidegrid.plans.convert import FILES_AT_ONCE, convert_listed
 from tidegrid.sources.events import dedup_events
 from tidegrid.sources.files import BINARY_FILE, Decoder
 from tidegrid.sources.listing import as_instant
 from tidegrid.sources.store import Layout, write_store
 
 POLL_INTERVAL = "15 minutes"
-FILES_AT_ONCE = 1000
 
 
 def stream_files(
@@ -83,18 +81,11 @@ def stream_convert(
 ) -> StreamingQuery:
     """Convert each new file of a stream with a ``path`` into the store; file statuses are appended.
 
-    The stream is :func:`stream_files` or the addresses of object events. Names pass through the
-    driver in slices of ``FILES_AT_ONCE``, oldest files first; contents never do.
+    The stream is :func:`stream_files`, or the addresses in object events (``event_files``).
     """
-    order = [c for c in ("modificationTime", "event_time") if c in files.columns]
 
     def handle(batch: DataFrame) -> None:
-        spark = batch.sparkSession
-        names = batch.orderBy(*order, "path").select("path").toLocalIterator()
-        for paths in itertools.batched((row.path for row in names), FILES_AT_ONCE):
-            contents = spark.read.format("binaryFile").load(list(paths))
-            status = convert_files(contents, store_path, decode, suffix, name, algorithm=algorithm)
-            status.write.mode("append").parquet(status_path)
+        convert_listed(batch, store_path, status_path, decode, suffix=suffix, name=name, algorithm=algorithm)
 
     return _start(files, _once(handle), checkpoint, available_now, interval)
 
