@@ -12,7 +12,7 @@ from tidegrid.operators.verify import verify_fingerprints
 from tidegrid.plans.convert import convert_paths, poll_convert
 from tidegrid.sources import files as fs
 from tidegrid.sources.listing import list_objects, read_mark, stored_marks
-from tidegrid.sources.store import read_store
+from tidegrid.sources.store import StoreNotFound, read_store
 
 LAT, LON = np.array([-89.875, -89.625]), np.array([0.125, 0.375, 0.625])
 
@@ -143,6 +143,26 @@ def test_old_files_are_not_opened(spark, folder):
     assert "GreaterThanOrEqual(modificationTime" in plan
 
 
+def test_poll_without_files(spark, folder, path):
+    store, marks = path("store"), path("marks")
+    os.makedirs(folder)
+    assert poll_convert(spark, folder, store, marks, decode, start="2020-01-01").count() == 0
+    with pytest.raises(StoreNotFound):
+        read_store(spark, store)
+    assert stored_marks(spark, marks).count() == 0  # an unchanged mark is not written
+    save(folder, "grid.20250101.nc", 1.0)
+    assert poll_convert(spark, folder, store, marks, decode).count() == 1
+    assert poll_convert(spark, folder, store, marks, decode).count() == 1  # the same day comes back
+    assert read_store(spark, store).count() == 6
+    assert stored_marks(spark, marks).count() == 1
+
+
+def test_a_failing_file_can_stop_the_batch(spark, folder, path):
+    save(folder, "nodate.nc", 1.0)
+    with pytest.raises(Exception, match="no valid date"):
+        convert_paths(spark, folder, path("store"), decode, on_error="raise")
+
+
 def test_existing_files(spark):
     requested = spark.createDataFrame([("a",), ("b",), ("a",)], "key string")
     listing = spark.createDataFrame([("a",), ("a",), ("c",)], "key string")

@@ -92,7 +92,7 @@ def poll_convert(
     files = modified_since(binary_files(spark, path, glob), mark)
     status = convert_files(files, store_path, decode, **options)
     outcome = status.select(instant_to_utc("modificationTime").alias("last_modified"), (F.col("status") != "failed").alias("ok"))
-    write_mark(advance_mark(outcome, mark), state_path)
+    write_mark(advance_mark(outcome, mark), state_path, mark)
     return status
 
 

@@ -182,7 +182,11 @@ def ingest_with_status(files: DataFrame, decode: Decoder, on_error: str = "conti
     """
     decoded = decode_files(files, decode, on_error).persist(StorageLevel.DISK_ONLY)
     report = decoded_status(decoded)
-    replaced = broadcast_if_small(superseded(report.filter(F.col("status") == "ok")))
+    try:
+        replaced = broadcast_if_small(superseded(report.filter(F.col("status") == "ok")))
+    except Exception:
+        decoded.unpersist()
+        raise
     cells = decoded_cells(decoded.join(replaced, "path", "left_anti"))
     flagged = report.join(replaced.withColumn("_replaced", F.lit(True)), "path", "left")
     status = flagged.withColumn("status", F.when(F.col("_replaced"), "superseded").otherwise(F.col("status")))

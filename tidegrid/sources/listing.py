@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.times import EPOCH, instant_to_utc
+from tidegrid.session import settle
 
 SUFFIX = ".nc"
 
@@ -68,9 +69,17 @@ def stored_marks(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "mark timestamp_ntz")
 
 
-def write_mark(mark: DataFrame, path: str) -> None:
-    """Append a mark. Marks never go down, so the largest one is the current one."""
-    mark.select("mark").coalesce(1).write.mode("append").parquet(path)
+def write_mark(mark: DataFrame, path: str, old: DataFrame | None = None) -> bool:
+    """Append a mark unless it is the old one; returns whether it was written.
+
+    Marks never go down, so the largest one is the current one.
+    """
+    new = mark.first().mark
+    if old is not None and old.first().mark == new:
+        return False
+    written = mark.sparkSession.createDataFrame([(new,)], "mark timestamp_ntz")
+    written.coalesce(1).write.mode("append").parquet(path)
+    return True
 
 
 def max_modified(listing: DataFrame) -> DataFrame:
@@ -117,9 +126,9 @@ def poll_state(
     ``handle(files)`` does the work and may return the files with an ``ok`` column; the mark then
     stops at the earliest failure.
     """
-    mark = read_mark(stored_marks(spark, state_path), start)
+    mark = settle(read_mark(stored_marks(spark, state_path), start))
     files = discover_since(listing, mark, suffix)
     handled = handle(files) if handle else None
     new_mark = advance_mark(files if handled is None else handled, mark)
-    write_mark(new_mark, state_path)
+    write_mark(new_mark, state_path, mark)
     return read_mark(stored_marks(spark, state_path), start)

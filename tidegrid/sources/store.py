@@ -125,8 +125,8 @@ def _replace(df: DataFrame, store: DataFrame, path: str, layout: Layout) -> None
 def write_store(df: DataFrame, path: str, layout: Layout = DAILY) -> str:
     """Create the store or upsert into it; returns which."""
     store = _open(df.sparkSession, path)
-    if store is None:
-        write_create(df, path, layout)
+    if store is None:  # nothing there, or only what an empty batch left
+        _write(df, path, "append", layout)
         return "created"
     _replace(df, store, path, layout)
     return "upserted"
