@@ -5,11 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from tests.fixtures import dense, noon
 from tidegrid.functions.fingerprint import add_fingerprints
 from tidegrid.operators import grid as g
 from tidegrid.operators import stats, tiles, verify
+from tidegrid.plans.queries import QUERIES
 from tidegrid.sources import store as st
 
 
@@ -73,9 +73,9 @@ def test_tiles_are_gathered_in_the_map_task(store):
     assert plan.count("Exchange") == 1 and "partial_collect_list" in plan
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_product_joins(spark, sf_dir, name):
     if name.startswith(("write", "stream", "ingest")):
         pytest.skip("reads back what it wrote")
-    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
