@@ -51,7 +51,24 @@ select page_id, cast(octet_length(encode(html)) as bigint) payload_bytes,
 from five window same as (partition by html)
 """
 
+JACCARD = f"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex({lowered("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda w: w <> '') w
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) > 4 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end) g
+  from w),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id a, b.doc_id b, count(*) k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+reach as (select doc_id, doc_id r from documents union select reach.doc_id, e.b from reach join e on e.a = reach.r)
+select doc_id, coalesce(any_value(n), 0) n_shingles, min(r) component_id from reach left join n using (doc_id) group by 1
+"""
+
 LLM_ORACLES = {
+    "op1_jaccard_join": JACCARD,
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op8_exact_dedup": DEDUP,
     "op9_warc": WARC,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontam, dedup, langid, packing, warc
+from tidegrid.llm import decontam, dedup, jaccard, langid, packing, suffix, warc
 from tidegrid.llm.common import table
 from tidegrid.llm.oracles import LLM_ORACLES  # noqa: F401
 from tidegrid.session import scratch_path
@@ -17,6 +17,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard_join(spark, sf_dir) -> DataFrame:
+    classes, _ = jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_best_fit_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -25,6 +30,10 @@ def op3_benchmark_decontamination(spark, sf_dir) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_array_dedup(spark, sf_dir) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark, sf_dir) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -49,8 +58,10 @@ def op9_warc(spark, sf_dir) -> DataFrame:
 LLM_QUERIES = {
     f.__name__: f
     for f in (
+        op1_jaccard_join,
         op2_best_fit_packing,
         op3_benchmark_decontamination,
+        op4_suffix_array_dedup,
         op6_language_id,
         op8_exact_dedup,
         op9_warc,
