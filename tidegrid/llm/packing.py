@@ -8,9 +8,9 @@ packed together in one task in the same way, and so on up a tree. Only underfull
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,44 +24,60 @@ SIZE = 2048
 SLACK = 8  # a bin with at most so many free tokens is done
 FAN_IN = 8  # tasks whose underfull bins meet in one task of the next round
 MOST = 400_000  # items that one task packs at once; a task with more packs them in several lots
-MEMO, MEMO_CHARS = 400_000, 40  # words a task remembers, and the longest of them
+MEMO, MEMO_CHARS = 1_000_000, 40  # parts of texts a process remembers, and the longest of them
+MARKS = ".,;:!?*$%&#|()[]{}<>=+-/\"_~^@"
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Encoder(dict):
+    """Token ids of texts as little-endian 32-bit bytes; a dictionary of the parts it has met.
 
-    return Tokenizer.from_file(path)
-
-
-class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes, remembering words it has met.
-
-    Only for tokenizers that drop white space and never look past it, as word-level BPE does: then the
-    ids of a text are those of its parts between spaces, tabs and line ends, one after the other.
+    Only for tokenizers that drop white space, never look past it and read ASCII letters in lower case, as
+    word-level BPE does. Then the ids of a text are those of its parts between spaces, tabs and line ends, one
+    after the other, and a part that is letters with punctuation behind has the ids of the two.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.memo = tokenizer(path), {"": b""}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    def encode_all(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        super().__init__({"": b""})
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def ids(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha() and part.islower():  # one word to the tokenizer, and spelled as its bytes
+            found = [token.id for token in self.tokenizer.model.tokenize(part)]
+        else:
+            found = self.tokenizer.encode(part, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def __missing__(self, part: str) -> bytes:
+        word = part.rstrip(MARKS)
+        lower = word.lower() if word.isascii() else word
+        if word.isalpha() and (lower != part):
+            found = self[lower] + self[part[len(word) :]]
+        else:
+            found = self.ids(part)
+        if len(part) <= MEMO_CHARS:
+            self[part] = found
+        return found
 
     def encode(self, text: str) -> bytes:
+        if len(self) > MEMO:
+            self.clear()
+            self[""] = b""
         parts = text.replace("\n", " ").replace("\t", " ").split(" ")
-        memo = self.memo
-        new = [p for p in set(parts) if p not in memo]
-        if new:
-            if len(memo) > MEMO:
-                memo = self.memo = {"": b""}
-                new = list(set(parts) - {""})
-            own = dict(zip(new, self.encode_all(new)))
-            memo.update((p, ids) for p, ids in own.items() if len(p) <= MEMO_CHARS)
-            return b"".join([own[p] if p in own else memo[p] for p in parts])
-        return b"".join([memo[p] for p in parts])
+        return b"".join(map(self.__getitem__, parts))
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python process: tasks that run in it one after the other share what it has met."""
+    import tokenizers
+
+    known = vars(tokenizers).setdefault("_encoders_by_path", {})
+    if path not in known:
+        known[path] = Encoder(path)
+    return known[path]
 
 
 def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -99,7 +115,7 @@ def pack_locally(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id:
     """
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = Encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
+        ids_of, end = encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
         first = TaskContext.get().partitionId() << 32
         lot: list[tuple] = []
 
@@ -115,7 +131,7 @@ def pack_locally(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id:
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encoder.encode(text or "") + end
+                ids = ids_of.encode(text or "") + end
                 for piece, start in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[start : start + 4 * size]
                     lot.append((None if pd.isna(doc_id) else int(doc_id), piece, start // 4, len(part) // 4, zlib.crc32(part)))
