@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontam, dedup, jaccard, langid, packing, suffix, warc
+from tidegrid.llm import decontam, dedup, jaccard, langid, licenses, lm, packing, pii, suffix, warc
 from tidegrid.llm.common import table
 from tidegrid.llm.oracles import LLM_ORACLES  # noqa: F401
+from tidegrid.llm.tokens import tokenizer_path
 from tidegrid.session import scratch_path
 
-
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+KEY = "a key for examples"
 
 
 def op1_jaccard_join(spark, sf_dir) -> DataFrame:
@@ -34,10 +32,18 @@ def op4_suffix_array_dedup(spark, sf_dir) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark, sf_dir) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents"), KEY)
+
+
 def op6_language_id(spark, sf_dir) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_lm_scoring(spark, sf_dir) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir) -> DataFrame:
     return dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -55,6 +61,14 @@ def op9_warc(spark, sf_dir) -> DataFrame:
     )
 
 
+def op10_license_scans(spark, sf_dir) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.TEMPLATES)
+
+
+def pipeline(spark, sf_dir) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -62,8 +76,12 @@ LLM_QUERIES = {
         op2_best_fit_packing,
         op3_benchmark_decontamination,
         op4_suffix_array_dedup,
+        op5_pii,
         op6_language_id,
+        op7_lm_scoring,
         op8_exact_dedup,
         op9_warc,
+        op10_license_scans,
+        pipeline,
     )
 }
