@@ -4,9 +4,10 @@ All sets are put in one order: n-grams that very many documents share come last,
 their hashes. Two sets that are similar enough share an n-gram among their first ones, the prefix, so the join is
 dealt out by prefix n-grams: a first level of the tree of ordered sets. What meets there is only the
 hash and the size of a set. In a run of sets that share an n-gram, every set is compared with one of fitting size, not each with
-each. The sets found equal enough become classes; a second and third round compare members of a run that are still
-in different classes, the last one all of them. So every link between different classes is looked for,
-and links inside a class that is already known are not.
+each. The sets found similar enough become classes; further rounds compare members of a run that are still
+in different classes, at last all of them. So every link between different classes is looked for,
+and links inside a class that is already known are not. Of the pairs, only those are compared whose signatures of
+fixed size leave a chance: they bound the overlap from above.
 
 Comparing is done in blocks of one set against others, which are held in a prefix tree: sets that begin alike
 share the path and the overlap counted on it, and a path is left when even all of its remaining n-grams could not
@@ -29,14 +30,16 @@ from tidegrid.llm.components import star_components
 
 WORDS = 5
 SHARE = (3, 4)  # similarity as a fraction
-COMMON = 1 << 17  # at most so many n-grams are put last
-COMMON_LEAST = 16  # those found in so many documents
+COMMON = 1 << 18  # at most so many n-grams are put last, 8 bytes each
+COMMON_STEPS = 1000  # counts above are one step
 FLUSH = 2_000_000  # n-grams counted together in a task
 LEAVES = 64  # sets of a block that are compared together
 BROADCAST_IDS = 1_000_000  # ids of 16 bytes that may be sent to every task
 PIECE = 4 << 20  # bytes of a text handled at once
 LONG_RUN = 200_000  # rows of a run handled at once
 STEP = 256  # n-grams of a path between two looks at the bound
+BITS = 1024  # of a set's signature
+ROUNDS = 4  # of comparing; all but the last take one set of a run against the others
 U64 = np.uint64
 
 
@@ -117,6 +120,24 @@ def fingerprint(grams: np.ndarray) -> int:
     return int(mixed(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
+def signature(grams: np.ndarray) -> bytes:
+    """For each of BITS places, whether an odd number of n-grams falls there. Two sets differ at least in as many n-grams
+    as their signatures differ in bits."""
+    return np.packbits(np.bincount((grams >> U64(20)) % U64(BITS), minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
+def could_be(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Whether sets of sizes ``n`` and ``m`` with these signatures (rows of 64-bit numbers) can be similar enough."""
+    over, under = share
+    apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    both = n.astype(np.int64) + m
+    return (both - apart) // 2 >= -(-both * over // (over + under))
+
+
+def signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64)
+
+
 def prefix_length(size: int, share: tuple[int, int]) -> int:
     """So many first n-grams, that a set with none of them cannot be similar enough."""
     over, under = share
@@ -124,36 +145,53 @@ def prefix_length(size: int, share: tuple[int, int]) -> int:
 
 
 def describe(docs: DataFrame, words: int) -> DataFrame:
-    """A row ``doc_id, text_key, n, fp`` per document, and rows ``gram, times`` of n-grams met often in a task."""
+    """A row ``doc_id, text_key, n, fp, bits`` per document, and rows ``gram, times`` of n-grams met often in a task."""
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, held = [], 0
 
         def often() -> pa.RecordBatch:
             grams, times = np.unique(np.concatenate(kept), return_counts=True)
-            grams, times = grams[times > 2].view(np.int64), times[times > 2]
+            grams, times = grams[times > 1].view(np.int64), times[times > 1]
             none = pa.nulls(len(grams), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(grams), pa.array(times)], names)
+            no_bits = pa.nulls(len(grams), pa.binary())
+            return pa.RecordBatch.from_arrays([none, none, none, none, no_bits, pa.array(grams), pa.array(times)], names)
 
-        names = ["doc_id", "text_key", "n", "fp", "gram", "times"]
+        names = ["doc_id", "text_key", "n", "fp", "bits", "gram", "times"]
         for batch in batches:
-            sizes, fps = [], []
+            sizes, fps, bits = [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingle_set(text, words)
                 sizes.append(len(grams))
                 fps.append(fingerprint(grams))
+                bits.append(signature(grams))
                 kept.append(grams)
                 held += len(grams)
                 if held > FLUSH:
                     yield often()
                     kept, held = [], 0
             none = pa.nulls(len(sizes), pa.int64())
-            own = [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(fps, pa.int64())]
+            own = [batch.column("doc_id"), batch.column("text_key")]
+            own += [pa.array(sizes, pa.int64()), pa.array(fps, pa.int64()), pa.array(bits, pa.binary())]
             yield pa.RecordBatch.from_arrays([*own, none, none], names)
         if kept:
             yield often()
 
-    return docs.mapInArrow(described, "doc_id bigint, text_key bigint, n bigint, fp bigint, gram bigint, times bigint")
+    schema = "doc_id bigint, text_key bigint, n bigint, fp bigint, bits binary, gram bigint, times bigint"
+    return docs.mapInArrow(described, schema)
+
+
+def common_grams(about: DataFrame) -> np.ndarray:
+    """The n-grams met most often, ascending, at most COMMON: as many whole steps of the count as fit."""
+    often = about.filter("gram is not null").groupBy("gram").agg(F.sum("times").alias("times"))
+    often = stored(often, "jaccard-common")
+    left, least = COMMON, COMMON_STEPS + 1
+    steps = often.groupBy(F.least("times", F.lit(COMMON_STEPS)).alias("step")).agg(F.count(F.lit(1)).alias("grams"))
+    for times, grams in steps.sort(F.desc("step")).collect():
+        if grams > left:
+            break
+        left, least = left - grams, times
+    return np.sort(often.filter(F.col("times") >= least).select("gram").toArrow()["gram"].to_numpy().view(np.uint64))
 
 
 def prefixes(docs: DataFrame, common: np.ndarray, words: int, share: tuple[int, int]) -> DataFrame:
@@ -293,6 +331,20 @@ def path_overlaps(one: np.ndarray, others: list[np.ndarray], share: tuple[int, i
     return out
 
 
+def possible(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The ``pairs`` (``hub, fp``) whose sizes and signatures allow that they are similar enough."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = signatures(batch.column("a")), signatures(batch.column("b"))
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            yield batch.select(["hub", "fp"]).filter(pa.array(could_be(a, b, n, m, share)))
+
+    one = sets.select(F.col("fp").alias("hub"), F.col("bits").alias("a"), F.col("n").alias("m"))
+    other = sets.select("fp", F.col("bits").alias("b"), "n")
+    return pairs.join(one, "hub").join(other, "fp").mapInArrow(kept, "hub bigint, fp bigint")
+
+
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     """``hub, fp, overlap`` for the ``pairs`` (``hub, fp``) that are similar enough.
 
@@ -345,11 +397,13 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, shar
     return placed.mapInPandas(compared, "hub bigint, fp bigint, overlap bigint")
 
 
-def cross_pairs(runs: DataFrame, classes: DataFrame, share: tuple[int, int], one_each: int | None) -> DataFrame:
+def cross_pairs(
+    runs: DataFrame, classes: DataFrame, sets: DataFrame, share: tuple[int, int], one_each: int | None
+) -> DataFrame:
     """Pairs ``hub, fp`` of sets in one run, of fitting sizes and different classes.
 
     With ``one_each``, a run's sets are only paired with one of them, drawn by a hash with that seed; else all.
-    A run is taken in blocks of sets against those not smaller, so that memory is bounded by the block.
+    Of all pairs, only those are written whose signatures allow it.
     """
     rows = runs.select("gram", "n", "fp").join(classes, F.col("fp") == F.col("node"), "left")
     rows = rows.select("gram", "n", "fp", F.coalesce("root", "fp").alias("root"))
@@ -367,6 +421,7 @@ def cross_pairs(runs: DataFrame, classes: DataFrame, share: tuple[int, int], one
         carry = None
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "n", "fp", "root")]
+            new.append(signatures(batch.column("bits")))
             parts = new if carry is None else [np.concatenate(x) for x in zip(carry, new)]
             last = int(np.searchsorted(parts[0], parts[0][-1])) if len(parts[0]) else 0
             yield from pairs(*[x[:last] for x in parts])
@@ -374,7 +429,7 @@ def cross_pairs(runs: DataFrame, classes: DataFrame, share: tuple[int, int], one
         if carry is not None:
             yield from pairs(*carry)
 
-    def pairs(gram, n, fp, root):
+    def pairs(gram, n, fp, root, bits):
         first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))) if len(gram) else []
         ends = np.append(first[1:], len(gram)) if len(gram) else []
         got, held = [], 0
@@ -382,7 +437,7 @@ def cross_pairs(runs: DataFrame, classes: DataFrame, share: tuple[int, int], one
             for row in range(start, end):
                 stop = row + 1 + int(np.searchsorted(n[row + 1 : end].astype(np.int64) * share[0], int(n[row]) * share[1], side="right"))
                 other = np.flatnonzero(root[row + 1 : stop] != root[row]) + row + 1
-                other = other[fp[other] != fp[row]]
+                other = other[could_be(bits[other], bits[row], n[other], n[row], share)] if len(other) else other
                 if len(other):
                     got.append((np.full(len(other), fp[row]), fp[other]))
                     held += len(other)
@@ -397,6 +452,7 @@ def cross_pairs(runs: DataFrame, classes: DataFrame, share: tuple[int, int], one
         both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["hub", "fp"])
 
+    rows = rows.join(sets.select("fp", "bits"), "fp").select("gram", "n", "fp", "root", "bits")
     dealt = rows.repartition("gram").sortWithinPartitions("gram", "n", "fp")
     return dealt.mapInArrow(paired, "hub bigint, fp bigint").distinct()
 
@@ -417,23 +473,21 @@ def jaccard_join(
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     about = stored(describe(rows, words), "jaccard-sets")
-    per_doc = about.filter("fp is not null").select("doc_id", "text_key", "n", "fp")
-    often = about.filter("gram is not null").groupBy("gram").agg(F.sum("times").alias("times")).filter(F.col("times") >= COMMON_LEAST)
-    often = often.orderBy(F.desc("times"), "gram").limit(COMMON).select("gram").toPandas()["gram"]
-    common = np.sort(often.to_numpy(np.int64).view(np.uint64))
+    per_doc = about.filter("fp is not null").select("doc_id", "text_key", "n", "fp", "bits")
+    common = common_grams(about)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
-    sets = per_doc.filter("n > 0").groupBy("fp").agg(first, F.min("n").alias("n"))
-    sets = stored(sets.select("fp", "first.doc_id", "first.text_key", "n"), "jaccard-firsts")
+    sets = per_doc.filter("n > 0").groupBy("fp").agg(first, F.min("n").alias("n"), F.min("bits").alias("bits"))
+    sets = stored(sets.select("fp", "first.doc_id", "first.text_key", "n", "bits"), "jaccard-firsts")
 
     runs = stored(runs_of(prefixes(rows.select("text"), common, words, share), share), "jaccard-runs")
     tried = links = None
-    for step in range(3):
+    for step in range(ROUNDS):
         if step == 0:
             pairs = runs.filter("hub <> fp").select(F.least("hub", "fp").alias("hub"), F.greatest("hub", "fp").alias("fp")).distinct()
         else:
-            pairs = cross_pairs(runs, star_components(links, "hub", "fp"), share, step if step == 1 else None)
+            pairs = cross_pairs(runs, star_components(links, "hub", "fp"), sets, share, step if step < ROUNDS - 1 else None)
             pairs = pairs.join(tried, ["hub", "fp"], "left_anti")
-        pairs = stored(pairs, "jaccard-pairs")
+        pairs = stored(pairs if step == ROUNDS - 1 else possible(pairs, sets, share), "jaccard-pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
         new = stored(similar(rows, sets, pairs, words, share), "jaccard-links")
         links = new if links is None else links.unionAll(new)
