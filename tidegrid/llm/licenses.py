@@ -50,7 +50,8 @@ def gram_list(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def band_salts(bands: int) -> np.ndarray:
-    return np.random.default_rng(3).integers(0, 1 << 64, bands, dtype=np.uint64)
+    """Odd numbers; hashes multiplied by one of them are in a new order."""
+    return np.random.default_rng(3).integers(0, 1 << 64, bands, dtype=np.uint64) | U64(1)
 
 
 def scan_licenses(
@@ -84,14 +85,14 @@ def scan_licenses(
     if sum(len(own) for group in by_shape.values() for _, own in group) > MOST_SHINGLES:
         raise ValueError(f"more than {MOST_SHINGLES} shingles in templates")
     least_of = {
-        shape: [[int(mixed(own ^ salt).min()) for _, own in group] for salt in salts] for shape, group in by_shape.items()
+        shape: [[int((own * salt).min()) for _, own in group] for salt in salts] for shape, group in by_shape.items()
     }
 
     def candidates(grams: np.ndarray, lengths: list[tuple[int, int]]) -> set[tuple[int, int, int]]:
         """First shingle of a window, its length and the number of a template of that length, where they share a band."""
         found = set()
         for band, salt in enumerate(salts):
-            hashes = mixed(grams ^ salt)
+            hashes = grams * salt
             for shape in lengths:
                 starts = np.arange(0, len(grams), shape[1])
                 least = np.minimum.reduceat(hashes, starts) if shape[1] > 1 else hashes
