@@ -10,13 +10,18 @@ from tidegrid.functions.times import iso_text
 
 
 def two_decimals(value: Column | str) -> Column:
-    """Half-up to two decimals as text, built from whole hundredths so engines agree; missing is ``nan``."""
+    """Half-up to two decimals as text, built from whole hundredths so engines agree; missing is ``nan``.
+
+    Infinity is ``inf`` or ``-inf``. What rounds to zero has no sign.
+    """
     value = as_column(value).cast("double")
-    hundredths = F.round(F.abs(value) * 100).cast("bigint")
+    infinite = F.abs(value) == float("inf")
+    hundredths = F.round(F.abs(F.when(~infinite, value)) * 100).cast("bigint")
     sign = F.when((value < 0) & (hundredths > 0), F.lit("-")).otherwise(F.lit(""))
     whole = F.floor(hundredths / 100).cast("string")
     part = F.lpad((hundredths % 100).cast("string"), 2, "0")
-    return F.when(is_missing(value), F.lit("nan")).otherwise(F.concat(sign, whole, F.lit("."), part))
+    text = F.when(is_missing(value), F.lit("nan")).when(infinite, F.when(value > 0, "inf").otherwise("-inf"))
+    return text.otherwise(F.concat(sign, whole, F.lit("."), part))
 
 
 def format_stat(value: Column | str, width: int = 10, unit: str = "") -> Column:

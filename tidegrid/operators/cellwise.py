@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,31 +10,19 @@ from pyspark.sql import functions as F
 
 
 def apply_cellwise(
-    df: DataFrame,
-    function: Callable,
-    columns: Sequence[str],
-    name: str,
-    return_type: str = "double",
-    vectorized: bool = True,
+    df: DataFrame, function: Callable, columns: Sequence[str], name: str, return_type: str = "double", vectorized: bool = True
 ) -> DataFrame:
     """Add ``name = function(*columns)``.
 
     A vectorized function gets pandas Series of a whole Arrow batch; otherwise it is called once per
     cell with plain values, the slow way.
     """
-    if vectorized:
 
-        def whole_batch(*series: pd.Series) -> pd.Series:
-            return function(*series)
+    def whole_batch(*series: pd.Series) -> pd.Series:
+        return function(*series) if vectorized else pd.Series([function(*cell) for cell in zip(*series)], dtype=object)
 
-    else:
-
-        def whole_batch(*series: pd.Series) -> pd.Series:
-            return pd.Series([function(*cell) for cell in zip(*series)], dtype=object)
-
-    def batches(parts):
+    def batches(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for part in parts:
             yield whole_batch(*part) if isinstance(part, tuple) else whole_batch(part)
 
-    udf = F.pandas_udf(batches, return_type, functionType=F.PandasUDFType.SCALAR_ITER)
-    return df.withColumn(name, udf(*columns))
+    return df.withColumn(name, F.pandas_udf(batches, return_type)(*columns))

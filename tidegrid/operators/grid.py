@@ -105,7 +105,7 @@ def expand_time(grid: DataFrame, time_axis: DataFrame) -> DataFrame:
 def align_variables(variables: dict[str, DataFrame], on: Sequence[str] = KEY, on_mismatch: str = "raise") -> DataFrame:
     """One grid of separate variables, each a DataFrame of the key and a column of its own name.
 
-    All tables go through one shuffle on the cell key. A cell some variable lacks is an error;
+    All tables go through one shuffle on the cell key. A cell a variable has twice is an error. A cell some variable lacks is an error;
     ``on_mismatch='inner'`` leaves such cells out and ``'outer'`` fills them with NULL.
     """
     names = list(variables)
@@ -114,7 +114,10 @@ def align_variables(variables: dict[str, DataFrame], on: Sequence[str] = KEY, on
         others = [F.lit(None).cast(dict(variables[n].dtypes)[n]).alias(n) if n != name else F.col(n) for n in names]
         part = table.select(*on, F.lit(1 << names.index(name)).alias("_has"), *others)
         stacked = part if stacked is None else stacked.unionByName(part)
-    merged = stacked.groupBy(*on).agg(F.bit_or("_has").alias("_has"), *[F.max(n).alias(n) for n in names])
+    merged = stacked.groupBy(*on).agg(F.bit_or("_has").alias("_has"), F.count("_has").alias("_n"), *[F.max(n).alias(n) for n in names])
+    twice = F.concat(F.lit("a variable has twice the cell "), F.to_json(F.struct(*on)))
+    once = F.when(F.col("_n") == F.bit_count("_has"), F.col("_has")).otherwise(F.raise_error(twice).cast("int"))
+    merged = merged.withColumn("_has", once).drop("_n")
     complete = F.col("_has") == (1 << len(names)) - 1
     if on_mismatch == "raise":
         problem = F.concat(F.lit("variables do not share the cell "), F.to_json(F.struct(*on)))

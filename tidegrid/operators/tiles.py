@@ -14,10 +14,10 @@ AXES = ["time", "zlev", "lat", "lon"]
 
 def chunk_sizes(config: Mapping | None, variable: str, axes=AXES) -> dict[str, int] | None:
     """Chunk sizes of a variable for the axes it has; None when the configuration leaves it whole."""
-    if not config or "variables" not in config:
-        return {a: DEFAULT_CHUNKS[a] for a in axes}
-    chunks = config["variables"].get(variable, {}).get("chunks", {})
-    return {a: size for a, size in chunks.items() if a in axes} or None
+    layouts = dict(config or {}).get("variables", {variable: {"chunks": DEFAULT_CHUNKS}})
+    wanted = [layout.get("chunks", {}) for name, layout in layouts.items() if name == variable]
+    sizes = {axis: chunks[axis] for chunks in wanted for axis in axes if axis in chunks}
+    return sizes or None
 
 
 def tile_ids(df: DataFrame, config: Mapping | None = None, variable: str = "sst") -> DataFrame:

@@ -111,7 +111,9 @@ def append_verifier(
     in_order = F.array_sort(F.collect_list(F.struct("_rank", "pubkey")))
     added = accepted.groupBy(*on).agg(F.transform(in_order, lambda x: x["pubkey"]).alias("_added"))
     filled = F.concat(_filled(name), F.coalesce(F.col("_added"), F.array().cast("array<string>")))
-    padded = F.slice(F.concat(filled, empty_verifiers(slots)), 1, slots)
+    # A list that is longer already is not shortened.
+    length = F.greatest(F.lit(slots), F.size(_filled(name)), F.size(name))
+    padded = F.slice(F.concat(filled, empty_verifiers(slots), F.array_repeat(F.lit(""), F.size(name))), F.lit(1), length)
     return df.join(added, list(on), "left").withColumn(name, padded).drop("_added")
 
 

@@ -24,7 +24,7 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
     """One row per object record of the JSON documents in ``json``; other columns are kept.
 
     When the first record is an envelope, its message is the document and later envelope records are
-    ignored. ``on_error='raise'`` fails on a document without usable records; ``'keep'`` keeps it as
+    ignored. ``on_error='raise'`` fails on a document without records or with one that lacks a bucket or key; ``'keep'`` keeps it as
     one row with NULL fields and ``parsed`` false.
     """
     kept = df.columns
@@ -35,7 +35,9 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
     opened = opened.withColumn("_records", F.when(message.isNotNull(), inner).otherwise(F.col("_outer")))
     if on_error == "raise":
         failure = F.raise_error(F.concat(F.lit("not an object event: "), F.coalesce(source, F.lit("NULL"))))
-        records = F.coalesce("_records", failure.cast(RECORDS))
+        usable = F.exists("_records", lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
+        usable = (F.size("_records") > 0) & ~usable
+        records = F.when(usable, F.col("_records")).otherwise(failure.cast(RECORDS))
         explode = F.explode
     else:
         records = F.col("_records")
@@ -57,8 +59,9 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
 
 
 def filter_object_events(events: DataFrame, suffix: str = ".nc") -> DataFrame:
-    """Events that created an object whose key ends in ``suffix``."""
-    return events.filter(F.col("event_name").startswith("ObjectCreated:") & F.col("key").endswith(suffix))
+    """Events that created an object whose key ends in ``suffix``; one without a name counts as such."""
+    created = F.col("event_name").isNull() | F.col("event_name").startswith("ObjectCreated:")
+    return events.filter(created & F.col("key").endswith(suffix))
 
 
 def lookup_config(events: DataFrame, configs: DataFrame, on: str = "bucket") -> DataFrame:
@@ -76,13 +79,17 @@ def dedup_events(events: DataFrame, delay: str = "1 hour", on=("uri", "etag"), s
     A batch is deduplicated as a whole. A stream drops what arrives again within ``delay``; time is the
     time of arrival, so an old event that comes late is not lost. Copies are first dropped within
     ``salts`` groups of input partitions, so that an object delivered very often is spread over tasks
-    and only one copy per group goes on to the second step.
+    and only one copy per group goes on to the second step. Where an event has no etag, its own time tells
+    versions apart.
     """
     keys = list(on)
+    if "etag" in keys and "event_time" in events.columns:
+        events = events.withColumn("_version", F.when(F.col("etag").isNull(), F.col("event_time").cast("string")))
+        keys.append("_version")
     if not events.isStreaming:
-        return events.dropDuplicates(keys)
+        return events.dropDuplicates(keys).drop("_version")
     arrived = events.withColumns(
         {"_arrived": F.current_timestamp(), "_salt": F.spark_partition_id() % salts}
     ).withWatermark("_arrived", delay)
     spread = arrived.dropDuplicatesWithinWatermark([*keys, "_salt"])
-    return spread.dropDuplicatesWithinWatermark(keys).drop("_arrived", "_salt")
+    return spread.dropDuplicatesWithinWatermark(keys).drop("_arrived", "_salt", "_version")

@@ -21,13 +21,13 @@ POLL_INTERVAL = "15 minutes"
 
 
 def stream_files(
-    spark: SparkSession, path: str, glob: str = "*.nc", max_files: int = FILES_AT_ONCE, max_age: str = "3650d"
+    spark: SparkSession, path: str, glob: str = "*.nc", max_files: int = FILES_AT_ONCE, max_age: str = "100000d"
 ) -> DataFrame:
     """New files below ``path``, each exactly once, as ``path, modificationTime, length``.
 
     Contents are not part of the stream; ``max_files`` sizes the batches, all files are taken in turn.
     A file is taken however late it comes, unless it is older than the newest one by ``max_age``, the
-    time for which names are remembered.
+    time for which names are remembered. The default is longer than any modification time can lie back.
     """
     files = (
         spark.readStream.format("binaryFile")
