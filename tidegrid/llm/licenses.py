@@ -22,6 +22,7 @@ from tidegrid.llm.jaccard import U64, mixed, text_words
 WORDS = 5
 SHARE = 0.75
 BANDS = 32
+TOGETHER = 1 << 16  # words hashed together, so that they stay in the processor's cache
 MOST_SHINGLES = 1_000_000  # of all templates together; they are sent to every task
 
 # Names and wordings of licences as they are published.
@@ -67,8 +68,8 @@ def scan_licenses(
 
     Words are split at white space and A-Z count as a-z. A template of fewer than ``words`` words is one shingle of all
     of them. ``containment`` is the share of the template's distinct shingles in the stretch, at least ``share``;
-    a stretch starts and ends with such a shingle and is at most twice as long as the template. Overlapping stretches
-    of one template are given once, the fullest and then the first. Null and empty texts hold nothing; a template
+    a stretch starts and ends with such a shingle and is at most twice as long as the template. Of overlapping
+    stretches of one template the first is given, of those that start together the fullest. Null and empty texts hold nothing; a template
     without a word is an error, and so are templates of more than MOST_SHINGLES shingles. Rows that repeat give
     repeated results. Other columns are ignored.
     """
@@ -88,17 +89,37 @@ def scan_licenses(
         shape: [[int((own * salt).min()) for _, own in group] for salt in salts] for shape, group in by_shape.items()
     }
 
-    def candidates(grams: np.ndarray, lengths: list[tuple[int, int]]) -> set[tuple[int, int, int]]:
-        """First shingle of a window, its length and the number of a template of that length, where they share a band."""
-        found = set()
+    longest = max(length for _, length in by_shape)
+
+    def candidates(texts: list[np.ndarray], lengths: list[tuple[int, int]]) -> list[set[tuple[int, int, int]]]:
+        """Per text the first shingle of a window, its length and the number of a template of that length, where they share a band.
+
+        The texts lie in one array, each followed by at least one longest block of the largest hash, so that every
+        length divides the place of a text and no window joins two of them. Minima of blocks come from those of half as long ones.
+        """
+        sizes = np.array([len(grams) for grams in texts])
+        places = np.concatenate(([0], np.cumsum(-(-sizes // longest) * longest + longest)))
+        laid = np.zeros(places[-1], dtype=np.uint64)
+        empty = np.ones(places[-1], dtype=bool)
+        for grams, place in zip(texts, places):
+            laid[place : place + len(grams)] = grams
+            empty[place : place + len(grams)] = False
+        found = [set() for _ in texts]
         for band, salt in enumerate(salts):
-            hashes = grams * salt
-            for shape in lengths:
-                starts = np.arange(0, len(grams), shape[1])
-                least = np.minimum.reduceat(hashes, starts) if shape[1] > 1 else hashes
-                least = np.minimum(least, np.append(least[1:], least[-1]))
-                for number, value in enumerate(least_of[shape][band]):
-                    found.update((int(starts[i]), shape[1], number) for i in np.flatnonzero(least == U64(value)))
+            least, length = laid * salt, 1
+            least[empty] = ~U64(0)
+            while True:
+                for shape in (x for x in lengths if x[1] == length):
+                    window = np.minimum(least[:-1], least[1:])
+                    for number, value in enumerate(least_of[shape][band]):
+                        starts = np.flatnonzero(window == U64(value)) * length
+                        owners = np.searchsorted(places, starts, side="right") - 1
+                        for owner, start in zip(owners.tolist(), (starts - places[owners]).tolist()):
+                            if start < sizes[owner]:
+                                found[owner].add((start, length, number))
+                if length == longest:
+                    break
+                least, length = np.minimum(least[::2], least[1::2]), 2 * length
         return found
 
     def stretch(grams: np.ndarray, start: int, length: int, own: np.ndarray) -> tuple | None:
@@ -110,26 +131,40 @@ def scan_licenses(
         have = len(np.unique(part[hits])) / len(own)
         return (have, start + int(hits[0]), start + int(hits[-1])) if have >= share else None
 
+    def matches(texts: list[np.ndarray]) -> list[list[tuple[str, int, int, float]]]:
+        """Per text, given as its words, the templates it holds: name, first word, number of words, share."""
+        hits = [{} for _ in texts]
+        for size in {shape[0] for shape in by_shape}:
+            long_enough = [i for i, words in enumerate(texts) if len(words) >= size]
+            grams = [gram_list(texts[i], size) for i in long_enough]
+            lengths = [shape for shape in by_shape if shape[0] == size]
+            for i, own_grams, windows in zip(long_enough, grams, candidates(grams, lengths) if grams else []):
+                for start, length, number in windows:
+                    name, own = by_shape[size, length][number]
+                    if place := stretch(own_grams, start, length, own):
+                        hits[i].setdefault(name, []).append((place, size))
+        return [list(separate(own)) for own in hits]
+
+    def separate(hits: dict[str, list]) -> Iterator[tuple[str, int, int, float]]:
+        """Of overlapping stretches of one template, the first."""
+        for name, places in sorted(hits.items()):
+            end = -1
+            for (have, first, last), size in sorted(places, key=lambda h: (h[0][1], -h[0][0], h[0][2])):
+                if first > end:
+                    yield name, first, last - first + size, have
+                    end = last
+
     def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows, ids, texts, held = [], [], [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                found = text_words(text) if text else np.empty(0, np.uint64)
-                hits: dict[str, list] = {}
-                for size in {shape[0] for shape in by_shape}:
-                    if len(found) < size:
-                        continue
-                    grams = gram_list(found, size)
-                    shapes = [shape for shape in by_shape if shape[0] == size]
-                    for start, length, number in candidates(grams, shapes):
-                        name, own = by_shape[size, length][number]
-                        hits.setdefault(name, []).append((stretch(grams, start, length, own), size))
-                for name, places in sorted(hits.items()):
-                    end = -1
-                    for (have, first, last), size in sorted((h for h in places if h[0]), key=lambda h: (h[0][1], -h[0][0], h[0][2])):
-                        if first > end:
-                            rows.append((doc_id, name, first, last - first + size, have))
-                            end = last
+                ids.append(doc_id)
+                texts.append(text_words(text) if text else np.empty(0, np.uint64))
+                held += len(texts[-1])
+                if held > TOGETHER:
+                    rows += [(i, *hit) for i, hits in zip(ids, matches(texts)) for hit in hits]
+                    ids, texts, held = [], [], 0
+            rows += [(i, *hit) for i, hits in zip(ids, matches(texts)) for hit in hits]
             yield pd.DataFrame(rows, columns=["doc_id", "license", "first_word", "n_words", "containment"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
