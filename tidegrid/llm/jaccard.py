@@ -35,7 +35,7 @@ COMMON_STEPS = 1000  # counts above are one step
 FLUSH = 2_000_000  # n-grams counted together in a task
 LEAVES = 64  # sets of a block that are compared together
 BROADCAST_IDS = 1_000_000  # ids of 16 bytes that may be sent to every task
-PIECE = 4 << 20  # bytes of a text handled at once
+PIECE = 1 << 17  # bytes of a text handled at once, so that what is computed of them stays in the processor's cache
 LONG_RUN = 200_000  # rows of a run handled at once
 STEP = 256  # n-grams of a path between two looks at the bound
 BITS = 1024  # of a set's signature
@@ -45,9 +45,12 @@ U64 = np.uint64
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    x = x ^ (x >> U64(30))
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(27)
+    x *= U64(0x94D049BB133111EB)
+    x ^= x >> U64(31)
+    return x
 
 
 @lru_cache(maxsize=1)
@@ -60,7 +63,7 @@ def byte_tables() -> tuple[np.ndarray, np.ndarray]:
     return values, space
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of a fixed odd number and of its inverse, modulo 2^64."""
     base = 0x9E3779B97F4A7C15
@@ -72,14 +75,23 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(data: np.ndarray) -> np.ndarray:
     """A hash of every word of the text's bytes."""
+    if len(data) == 0:
+        return np.empty(0, np.uint64)
     values, space = byte_tables()
+    data = data.astype(np.intp)
     gap = space[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([1], gap, [1])).astype(np.int8)))
+    edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    if not gap[0]:
+        edge = np.append(0, edge)
+    if not gap[-1]:
+        edge = np.append(edge, len(data))
     starts, ends = edge[::2], edge[1::2]
     if len(starts) == 0:
         return np.empty(0, np.uint64)
-    up, down = powers(1 << max(12, int(len(data)).bit_length()))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[data] * up[: len(data)], dtype=np.uint64)))
+    up, down = powers(max(PIECE, 1 << len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.multiply(values[data], up[: len(data)], out=sums[1:])
+    np.add.accumulate(sums, out=sums)
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
@@ -100,6 +112,13 @@ def text_words(text: str) -> np.ndarray:
     return np.concatenate([word_hashes(data[a:b]) for a, b in zip(cuts, cuts[1:])])
 
 
+def distinct_counts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, ascending, and how often each occurs."""
+    values = np.sort(values)
+    starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.empty(0, np.int64)
+    return values[starts], np.diff(starts, append=len(values))
+
+
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     """The hashes of the text's distinct n-grams of words, ascending."""
     found = text_words(text) if text else np.empty(0, np.uint64)
@@ -108,16 +127,16 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     size = min(words, len(found))
     total = np.full(len(found) - size + 1, size, dtype=np.uint64)
     for place in range(size):
-        factor = pow(0xD6E8FEB86659FD93, place + 1, 1 << 64)
-        total = total + found[place : place + len(total)] * U64(factor)
-    return np.unique(mixed(total))
+        total *= U64(0xD6E8FEB86659FD93)
+        total += found[place : place + len(total)]
+    return distinct_counts(mixed(total))[0]
 
 
 def fingerprint(grams: np.ndarray) -> int:
-    """A hash of a set, from a sum over its members."""
-    with np.errstate(over="ignore"):
-        total = np.sum(mixed(grams ^ U64(0xA0761D6478BD642F)), dtype=np.uint64) + U64(len(grams))
-    return int(mixed(np.array([total], dtype=np.uint64)).view(np.int64)[0])
+    """A hash of a set, from a sum over its members, which are well mixed themselves."""
+    total = np.add.reduce(grams, keepdims=True)
+    total += U64(len(grams))
+    return int(mixed(total).view(np.int64)[0])
 
 
 def signature(grams: np.ndarray) -> bytes:
@@ -151,7 +170,7 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
         kept, held = [], 0
 
         def often() -> pa.RecordBatch:
-            grams, times = np.unique(np.concatenate(kept), return_counts=True)
+            grams, times = distinct_counts(np.concatenate(kept))
             grams, times = grams[times > 1].view(np.int64), times[times > 1]
             none = pa.nulls(len(grams), pa.int64())
             no_bits = pa.nulls(len(grams), pa.binary())

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import stored
-from tidegrid.llm.jaccard import text_words
+from tidegrid.llm.jaccard import distinct_counts, text_words
 
 VOCABULARY = 1 << 16
 FREQUENT = 1 << 10
@@ -43,7 +43,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield rows(held)
 
     def rows(held):
-        words, times = np.unique(np.concatenate(held), return_counts=True)
+        words, times = distinct_counts(np.concatenate(held))
         return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times)], ["word", "times"])
 
     return docs.mapInArrow(counted, "word bigint, times bigint").groupBy("word").agg(F.sum("times").alias("times"))
@@ -68,7 +68,7 @@ class Vocabulary:
 
     def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The different pairs of neighbours as one number each, and how often each occurs."""
-        return np.unique(numbers[:-1] * self.width + numbers[1:], return_counts=True)
+        return distinct_counts(numbers[:-1] * self.width + numbers[1:])
 
     def dense(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether both words are frequent, and then the place in the table of such pairs."""
