@@ -22,12 +22,12 @@ def verify_fingerprints(store: DataFrame, algorithm: str = "blake3", name: str =
 def equal_days(first: DataFrame, second: DataFrame) -> DataFrame:
     """Days on which two fingerprinted grids have the same cells, judged by a roll-up of each day.
 
-    A roll-up is the number of cells and two order-independent 64-bit hashes over key and fingerprint;
-    it combines before the shuffle and leaves one row per day.
+    A roll-up is the number of cells and two sums of 64-bit hashes over key and fingerprint; it combines
+    before the shuffle and leaves one row per day. Sums, unlike XOR, also tell repeated cells apart.
     """
 
     def rolled(df: DataFrame) -> DataFrame:
-        hashes = [F.bit_xor(F.xxhash64(*KEY, "fingerprint", F.lit(i))).alias(f"h{i}") for i in range(2)]
+        hashes = [F.sum(F.xxhash64(*KEY, "fingerprint", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
         return df.groupBy(F.to_date("time").alias("day")).agg(F.count("*").alias("cells"), *hashes)
 
     return rolled(first).join(rolled(second), ["day", "cells", "h0", "h1"], "left_semi").select("day")
@@ -44,7 +44,7 @@ def compare_fingerprints(
 
     Both sides are joined on the whole cell key, which spreads any dominating day. With
     ``skip_equal_days`` days with equal roll-ups are left out first, so that a mostly equal pair is
-    read twice but hardly shuffled; two different days pass as equal only if 128 bits collide.
+    read twice but hardly shuffled; two different days pass as equal only if both sums of hashes collide.
     """
     kept = store.select(*KEY, F.col(name).alias("fingerprint"))
     fresh = add_fingerprints(source, algorithm, "fingerprint").select(*KEY, "fingerprint")

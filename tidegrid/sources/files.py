@@ -205,20 +205,29 @@ def ingest_files(
 
     Without a decoder the files are Parquet grids and Spark reads them column by column; with one,
     ``decode(bytes)`` turns a whole binary file into a pandas DataFrame on the executors. The time is
-    noon of the date in the file name; ``name`` overrides which part of ``path`` is the name.
+    noon of the date in the file name; ``name`` overrides which part of ``path`` is the name. Of several
+    files of one time step the one modified last counts.
     """
     if decode is not None:
         files = with_file_time(binary_files(spark, paths, glob or "*.nc"), suffix, name)
         return conform(decoded_cells(decode_files(latest_per_time(files), decode, "raise")))
     reader = spark.read.option("recursiveFileLookup", "true")
     grid = (reader.option("pathGlobFilter", glob) if glob else reader).parquet(paths)
-    path = F.col("_metadata.file_path")
-    grid = grid.select("*", path.alias("path"))
+    path, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    grid = grid.select("*", path.alias("path"), modified.alias("modificationTime"))
     named = base_name("path") if name is None else name
     time_of_name = noon_of(file_date(named, suffix, on_error="raise"))
     own_time = [F.col("time").alias("source_time")] if "time" in grid.columns else []
-    columns = [c for c in grid.columns if c not in ("time", "day", "path", "source_uri")]
-    dated = grid.select(*columns, *own_time, time_of_name.alias("time"), F.col("path").alias("source_uri"))
+    columns = [c for c in grid.columns if c not in ("time", "day", "path", "modificationTime", "source_uri")]
+    # The parts of a folder that carries the name are one file: a path counts up to the name.
+    rest = F.call_function("substring_index", F.col("path"), named, F.lit(-1))
+    grid = grid.withColumn("_file", F.left("path", F.length("path") - F.length(rest)))
+    parts = with_file_time(grid.select("_file", "path", "modificationTime").distinct(), suffix, name)
+    whole = parts.groupBy(F.col("_file").alias("path")).agg(
+        F.max("modificationTime").alias("modificationTime"), F.max("file_time").alias("file_time")
+    )
+    replaced = broadcast_if_small(superseded(whole).withColumnRenamed("path", "_file"))
+    dated = grid.join(replaced, "_file", "left_anti").select(*columns, *own_time, time_of_name.alias("time"), F.col("path").alias("source_uri"))
     return conform(ensure_zlev(dated))
 
 
