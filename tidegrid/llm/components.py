@@ -11,22 +11,19 @@ from tidegrid.llm.common import stored
 def star_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root``: for every node that has an edge and is not a root, the smallest node of its component.
 
-    Alternates the two star operations until the edges stay as they are: every neighbour larger than a
-    node is linked to the smallest neighbour of that node, then every smaller neighbour is. The edges end as one star per
-    component. Each round is grouped with partial minima and written to the shared folder; nothing is
-    gathered per node, so a node may have any number of edges. Nulls and loops are ignored.
+    Alternates the two star operations until the edges are stars: every neighbour larger than a
+    node is linked to the smallest neighbour of that node, then every smaller neighbour is. They are stars when no node with a
+    smaller neighbour has another edge. Each round is grouped with partial minima and written to the shared folder;
+    nothing is gathered per node, so a node may have any number of edges. Nulls and loops are ignored.
     """
     now = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
     now = stored(now.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))).distinct(), "edges")
-    mark = None
     while True:
-        about = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if mark == about or not about[0]:
-            return now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-        mark = about
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(now.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        nodes = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("edges")), "nodes")
+        if nodes.filter("m < u and edges > 1").isEmpty():
+            return now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
+        large = both.filter("v > u").join(nodes, "u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo"))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = stored(small.unionAll(least.select("hi", "m")).distinct(), "edges")

@@ -499,19 +499,20 @@ def jaccard_join(
     sets = stored(sets.select("fp", "first.doc_id", "first.text_key", "n", "bits"), "jaccard-firsts")
 
     runs = stored(runs_of(prefixes(rows.select("text"), common, words, share), share), "jaccard-runs")
-    tried = links = None
+    tried = links = classes = None
     for step in range(ROUNDS):
         if step == 0:
             pairs = runs.filter("hub <> fp").select(F.least("hub", "fp").alias("hub"), F.greatest("hub", "fp").alias("fp")).distinct()
         else:
-            pairs = cross_pairs(runs, star_components(links, "hub", "fp"), sets, share, step if step < ROUNDS - 1 else None)
+            pairs = cross_pairs(runs, classes, sets, share, step if step < ROUNDS - 1 else None)
             pairs = pairs.join(tried, ["hub", "fp"], "left_anti")
         pairs = stored(pairs if step == ROUNDS - 1 else possible(pairs, sets, share), "jaccard-pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
         new = stored(similar(rows, sets, pairs, words, share), "jaccard-links")
         links = new if links is None else links.unionAll(new)
+        joined = new.select("hub", "fp")
+        classes = star_components(joined if classes is None else joined.unionAll(classes.select("root", "node")), "hub", "fp")
 
-    classes = star_components(links, "hub", "fp")
     degree = links.select(F.col("hub").alias("fp")).unionAll(links.select("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
     named = sets.join(classes, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
