@@ -39,7 +39,7 @@ PIECE = 1 << 17  # bytes of a text handled at once, so that what is computed of
 LONG_RUN = 200_000  # rows of a run handled at once
 STEP = 256  # n-grams of a path between two looks at the bound
 BITS = 1024  # of a set's signature
-ROUNDS = 4  # of comparing; all but the last take one set of a run against the others
+ROUNDS = 3  # of comparing; all but the last take one set of a run against the others
 U64 = np.uint64
 
 
