@@ -249,6 +249,40 @@ def test_scores_with_every_pair_rare(spark, sf_dir):
     assert all(math.isclose(a[i].log_score, b[i].log_score, rel_tol=1e-9) and a[i].n_seen == b[i].n_seen for i in a)
 
 
+def plain_scores(texts, order, alpha=0.4):
+    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    split = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) for t in texts]
+    grams = [collections.Counter(tuple(d[i : i + n]) for n in range(1, order + 1) for i in range(len(d) - n + 1)) for d in split]
+    counts, total, out = sum(grams, collections.Counter()), sum(map(len, split)), []
+    for d, own in zip(split, grams):
+        other, score, seen = (lambda g: counts[g] - own[g]), 0.0, 0
+        for i in range(len(d)):
+            longest = min(order, i + 1)
+            n = next((n for n in range(longest, 1, -1) if other(tuple(d[i - n + 1 : i + 1])) > 0), 1)
+            gram = tuple(d[i - n + 1 : i + 1])
+            share = other(gram) / other(gram[:-1]) if n > 1 else max(other(gram), 1) / max(1, total - len(d))
+            score += math.log(share) + (longest - n) * math.log(alpha)
+            seen += n > 1
+        out.append((len(d), seen, score))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_of_all_words(spark, order):
+    """140,000 different words, a pair in every second text, and texts that agree in longer n-grams."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in range(k, 490_000, 7)) for k in (0, 0, 3)]
+    texts += ["the end " + " ".join(f"v{i}" for i in rng.integers(0, 40, 60)) + " the end" for _ in range(60)]
+    texts += ["a b c d", "x b c d", "a b c e", "a", "", None, "Q", "q"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = plain_scores(texts, order)
+    for chunk_bytes in (400, lm.CHUNK):
+        got = by_id(lm.score_documents(df, order=order, chunk_bytes=chunk_bytes))
+        assert len(got) == len(texts)
+        for i, (n, seen, score) in enumerate(want):
+            assert (got[i].n_words, got[i].n_seen) == (n, seen) and math.isclose(got[i].log_score, score, rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_archives(spark, path, none):
     rows = [(3, "http://x/\r\ny", "<p>"), (1, None, "<p>"), (2, "u", None), (4, "u", ""), (5, "u", "é" * 70_000), (None, "u", "<p>"), (6, "u", "WARC/1.1\r\n\r\n")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

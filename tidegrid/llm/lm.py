@@ -1,11 +1,12 @@
-"""Scoring documents by how well the rest of the corpus predicts their words: stupid backoff over pairs of words.
-
-The score of a word is the share of times it follows the word before it, in all other documents; where it never does
-there, it is ALPHA times its share of all words. Word counts give a vocabulary of fixed size, all other words count as
-one. The counts of words, and of pairs of the most frequent words, are tables of fixed size that every task gets. All
-other pairs of words meet in a table that is partitioned by a hash of the pair: a row for each pair and document,
-summed to the pair's count, joined back to the rows and added up per document. A pair that is more frequent
-than the last of the frequent words is among the pairs that are sent, so no partition is ruled by one pair.
+"""Scoring documents by how well the rest of the corpus predicts their words: stupid backoff over n-grams of words.
+
+The score of a word is the share of times it follows the words before it, in all other documents: the longest n-gram
+that another document has counts, and each shorter one costs a factor of ALPHA. Every word and every n-gram has its own
+count. Texts are written in chunks of a bounded size. A chunk sends its different n-grams, counted, to the hash ranges
+they belong to: one row holds what a chunk has in a range. A range adds up the counts and answers every row with
+those of the other chunks, in the order of its n-grams. With them a chunk scores its documents, without each one's own.
+So an n-gram is sent once by each chunk that has it, however many of its documents do, and no list of words or
+n-grams is held in one place.
 """
 
 from __future__ import annotations
@@ -14,16 +15,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrid.llm.common import stored
-from tidegrid.llm.jaccard import distinct_counts, text_words
+from tidegrid.llm.jaccard import U64, byte_tables, distinct_counts, mixed, text_words
 
-VOCABULARY = 1 << 16
-FREQUENT = 1 << 10
+ORDER = 3
 ALPHA = 0.4
 FLUSH = 2_000_000
+CHUNK = 7 << 20  # bytes of text in a chunk; a longer text is one of its own
+RANGES = 1024  # hash ranges at least
+RANGE_BYTES = 4 << 20  # bytes of text for each range and order: about 700,000 n-grams of each order
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -49,178 +54,209 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(counted, "word bigint, times bigint").groupBy("word").agg(F.sum("times").alias("times"))
 
 
-class Vocabulary:
-    """Word numbers, 0 for the most frequent; words outside have the last one."""
+def how_many_words(text: str) -> int:
+    """As many as text_words finds, without their hashes."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    gap = byte_tables()[1][data]
+    return int(np.count_nonzero(gap[:-1] & ~gap[1:])) + int(len(gap) > 0 and not gap[0])
 
-    def __init__(self, words: np.ndarray, times: np.ndarray, total: int, frequent: int):
-        order = np.argsort(words)
-        self.sorted, self.rank = words[order], order
-        self.other, self.frequent = len(words), min(frequent, len(words))
-        self.counts = np.append(times, total - times.sum())
-        self.total, self.width = total, len(words) + 1
 
-    def numbers(self, text: str | None) -> np.ndarray:
-        words = text_words(text) if text else np.empty(0, np.uint64)
-        if not len(words) or not self.other:
-            return np.full(len(words), self.other, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.sorted, words), self.other - 1)
-        return np.where(self.sorted[at] == words, self.rank[at], self.other)
+def chunks_of(rows: DataFrame, size: int) -> DataFrame:
+    """``chunk, bytes, words, ids, texts``: one row for neighbouring documents of ``size`` bytes together."""
 
-    def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The different pairs of neighbours as one number each, and how often each occurs."""
-        return distinct_counts(numbers[:-1] * self.width + numbers[1:])
-
-    def dense(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether both words are frequent, and then the place in the table of such pairs."""
-        a, b = pairs // self.width, pairs % self.width
-        return (a < self.frequent) & (b < self.frequent), a * self.frequent + b
-
-
-def frequent_pairs(docs: DataFrame, known: Vocabulary) -> np.ndarray:
-    """The counts of all pairs of frequent words."""
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 33
+        held, total = [], 0
+        for batch in batches:
+            lengths = np.diff(np.frombuffer(batch.column("text").buffers()[1], np.int32)[batch.column("text").offset :][: batch.num_rows + 1])
+            start = 0
+            for at, length in enumerate(lengths.tolist()):
+                total += length
+                if total >= size:
+                    held.append(batch.slice(start, at + 1 - start))
+                    yield row(chunk, total, held)
+                    chunk, held, total, start = chunk + 1, [], 0, at + 1
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+        if held:
+            yield row(chunk, total, held)
+
+    def row(chunk, total, held):
+        ids, texts = (pa.concat_arrays([x.column(c) for x in held]) for c in ("doc_id", "text"))
+        texts = texts.to_pylist()
+        words = sum(how_many_words(text) for text in texts)
+        arrays = [pa.array([x], pa.int64()) for x in (chunk, total, words)]
+        arrays += [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([folded(texts)], pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["chunk", "bytes", "words", "ids", "texts"])
+
+    ids = T.ArrayType(rows.schema["doc_id"].dataType)
+    fields = [("chunk", T.LongType()), ("bytes", T.LongType()), ("words", T.LongType()), ("ids", ids), ("texts", T.BinaryType())]
+    return rows.mapInArrow(gathered, T.StructType([T.StructField(*f) for f in fields]))
+
+
+def folded(texts: list[str]) -> bytes:
+    """Texts compressed together, since they are stored and sent once more."""
+    data = [text.encode("utf-8", "surrogatepass") for text in texts]
+    whole = np.array([len(data), *map(len, data)], dtype=np.int64).tobytes() + b"".join(data)
+    return len(whole).to_bytes(8, "little") + pa.Codec("zstd", compression_level=9).compress(whole, asbytes=True)
+
+
+def unfolded(blob: bytes) -> list[str]:
+    whole = pa.Codec("zstd").decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), asbytes=True)
+    n = int.from_bytes(whole[:8], "little")
+    ends = (8 + 8 * n + np.cumsum(np.frombuffer(whole, np.int64, n, 8))).tolist()
+    return [whole[a:b].decode("utf-8", "surrogatepass") for a, b in zip([8 + 8 * n, *ends], ends)]
+
+
+class Grams:
+    """The n-grams of a chunk: hashes of all orders one after the other, and of each order the places where they end."""
+
+    def __init__(self, texts: list[str], order: int, known: np.ndarray | None):
+        found = [text_words(text) if text else np.empty(0, np.uint64) for text in texts]
+        self.lengths = np.array([len(x) for x in found], dtype=np.int64)
+        words = np.concatenate([np.empty(0, np.uint64), *found])
+        if known is not None:
+            at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
+            words = np.where(known[at] == words, words, U64(0)) if len(known) else np.zeros_like(words)
+        self.doc = np.repeat(np.arange(len(found)), self.lengths)
+        self.place = np.arange(len(words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.ends = [np.flatnonzero(self.place >= n - 1) for n in range(1, order + 1)]
+        hashes = []
+        for n, ends in enumerate(self.ends, 1):
+            total = np.full(len(ends), n, dtype=np.uint64)
+            for back in range(n - 1, -1, -1):
+                total *= U64(0xD6E8FEB86659FD93)
+                total += words[ends - back]
+            hashes.append(mixed(total))
+        self.hashes = np.concatenate(hashes)
+
+
+def counted_grams(chunks: DataFrame, order: int, ranges: int, known: np.ndarray | None) -> DataFrame:
+    """``range, chunk, grams, times``: a chunk's different n-grams of a hash range, ascending, and how often it has each."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(known.frequent**2, dtype=np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                numbers = known.numbers(text)
-                both = (numbers[:-1] < known.frequent) & (numbers[1:] < known.frequent)
-                np.add.at(table, numbers[:-1][both] * known.frequent + numbers[1:][both], 1)
-        place = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(table[place])], ["place", "times"])
+            for chunk, texts in zip(batch.column("chunk").to_pylist(), batch.column("texts")):
+                grams, times = distinct_counts(Grams(unfolded(texts.as_py()), order, known).hashes)
+                number = ((grams >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
+                starts = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1]))) if len(number) else np.empty(0, np.int64)
+                steps = np.diff(grams, prepend=U64(0))
+                steps[starts] = grams[starts]
+                arrays = [pa.array(number[starts]), pa.array(np.full(len(starts), chunk, dtype=np.int64))]
+                arrays += [squeezed(x, np.append(starts, len(grams))) for x in (steps, times)]
+                yield pa.RecordBatch.from_arrays(arrays, ["range", "chunk", "grams", "times"])
 
-    sums = docs.mapInArrow(counted, "place bigint, times bigint").groupBy("place").agg(F.sum("times").alias("times")).toPandas()
-    table = np.zeros(known.frequent**2, dtype=np.int64)
-    table[sums["place"].to_numpy(np.int64)] = sums["times"].to_numpy(np.int64)
-    return table
+    return chunks.select("chunk", "texts").mapInArrow(counted, "range bigint, chunk bigint, grams binary, times binary")
 
 
-def contributions(docs: DataFrame, known: Vocabulary, table: np.ndarray, alpha: float) -> DataFrame:
-    """Rows ``doc, pair, n, gain`` for pairs that are not among the frequent, and one with a null pair per document.
+def squeezed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The 64-bit ``values`` between every two bounds, compressed: first bytes, then second bytes, and so on."""
+    codec, out = pa.Codec("zstd", compression_level=1), []
+    for start, end in zip(bounds.tolist(), bounds[1:].tolist()):
+        planes = np.ascontiguousarray(values[start:end]).view(np.uint8).reshape(-1, 8).T.tobytes()
+        out.append((end - start).to_bytes(4, "little") + codec.compress(planes, asbytes=True))
+    return pa.array(out, pa.binary())
 
-    The latter has in ``n`` the number of words, in ``seen`` the frequent pairs that others have, and in ``gain`` the score as if no
-    other pair were in another document; a pair's ``gain`` is what it adds if it is, besides the logarithm of its count.
-    """
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()):
-                pairs, n, gain, base, seen, words = score(known.numbers(text))
-                docs_ = np.full(len(pairs) + 1, doc, dtype=np.int64)
-                held.append((docs_, np.append(pairs, -1), np.append(n, words), np.append(np.zeros(len(pairs), np.int64), seen), np.append(gain, base)))
-                size += len(docs_)
-                if size > FLUSH:
-                    yield rows(held)
-                    held, size = [], 0
-        if held:
-            yield rows(held)
-
-    def score(numbers):
-        others = max(1, known.total - len(numbers))
-        own = np.bincount(numbers, minlength=0) if len(numbers) else np.zeros(1, np.int64)
-
-        def alone(word):
-            return np.log(np.maximum(known.counts[word] - own[word], 1) / others)
-
-        base = float(alone(numbers[:1]).sum())
-        pairs, n = known.pairs(numbers)
-        if len(pairs) == 0:
-            return pairs, n, np.empty(0), base, 0, len(numbers)
-        first, second = pairs // known.width, pairs % known.width
-        backed = n * (np.log(alpha) + alone(second))
-        # As often as the first word occurs elsewhere; only used where the pair does as well.
-        gain = -n * np.log(np.maximum(known.counts[first] - own[first], 1)) - backed
-        dense, place = known.dense(pairs)
-        elsewhere = np.where(dense, table[np.where(dense, place, 0)] - n, 0) if len(table) else np.zeros(len(n), np.int64)
-        met = elsewhere > 0
-        base += float(backed.sum() + (gain[met] + n[met] * np.log(elsewhere[met])).sum())
-        return pairs[~dense], n[~dense], gain[~dense], base, int(n[met].sum()), len(numbers)
-
-    def rows(held):
-        doc, pair, n, seen, gain = (np.concatenate(x) for x in zip(*held))
-        arrays = [pa.array(doc), pa.array(pair, mask=pair < 0), pa.array(n), pa.array(seen), pa.array(gain)]
-        return pa.RecordBatch.from_arrays(arrays, ["doc", "pair", "n", "seen", "gain"])
+def restored(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:4], "little")
+    planes = pa.Codec("zstd").decompress(blob[4:], decompressed_size=8 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(np.uint64).ravel()
 
-    return docs.mapInArrow(scored, "doc bigint, pair bigint, n bigint, seen bigint, gain double")
 
+def others_of(counted: DataFrame) -> DataFrame:
+    """``chunk, range, others``: for every row of :func:`counted_grams`, how often the other chunks have each of its n-grams."""
 
-def met_elsewhere(rows: DataFrame) -> DataFrame:
-    """``doc, n, seen, gain`` added up over the pairs of a partition that other documents have too.
+    def added(table: pa.Table) -> pa.Table:
+        steps, counts = ([restored(x) for x in table.column(c).to_pylist()] for c in ("grams", "times"))
+        grams, times = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps]), np.concatenate(counts)
+        order = np.argsort(grams)
+        grams = grams[order]
+        starts = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
+        totals = np.empty(len(grams), dtype=np.uint64)
+        totals[order] = np.repeat(np.add.reduceat(times[order], starts), np.diff(starts, append=len(grams)))
+        bounds = np.concatenate(([0], np.cumsum([len(x) for x in steps])))
+        return pa.table({"chunk": table.column("chunk"), "range": table.column("range"), "others": squeezed(totals - times, bounds)})
 
-    Rows are dealt out and sorted by pair. Only the rows of one pair, which is not a frequent one, are held at once.
-    """
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry, held, size = None, [], 0
-        for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "doc", "n", "gain")]
-            part = new if carry is None else [np.concatenate(x) for x in zip(carry, new)]
-            last = int(np.searchsorted(part[0], part[0][-1])) if len(part[0]) else 0
-            held.append(scored(*[x[:last] for x in part]))
-            size += last
-            carry = [x[last:] for x in part]
-            if size > FLUSH:
-                yield per_doc(held)
-                held, size = [], 0
-        if carry is not None:
-            held.append(scored(*carry))
-            yield per_doc(held)
-
-    def scored(pair, doc, n, gain):
-        if len(pair) == 0:
-            return doc, n, gain
-        start = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-        total = np.repeat(np.add.reduceat(n, start), np.diff(np.append(start, len(pair))))
-        met = total > n
-        return doc[met], n[met], gain[met] + n[met] * np.log(total[met] - n[met])
-
-    def per_doc(held):
-        doc, n, gain = (np.concatenate(x) for x in zip(*held))
-        docs, at = np.unique(doc, return_inverse=True)
-        sums = [np.bincount(at, weights=w, minlength=len(docs)) if len(docs) else np.empty(0) for w in (n, gain)]
-        arrays = [pa.array(docs), pa.array(sums[0].astype(np.int64)), pa.array(sums[1])]
-        return pa.RecordBatch.from_arrays(arrays, ["doc", "seen", "gain"])
-
-    dealt = rows.select("pair", "doc", "n", "gain").repartition("pair").sortWithinPartitions("pair")
-    return dealt.mapInArrow(summed, "doc bigint, seen bigint, gain double")
+    return counted.groupBy("range").applyInArrow(added, "chunk bigint, range bigint, others binary")
 
 
 def score_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: int = VOCABULARY,
-    frequent: int = FREQUENT,
+    vocabulary: int | None = None,
+    frequent: int | None = None,
     alpha: float = ALPHA,
+    order: int = ORDER,
+    chunk_bytes: int = CHUNK,
 ) -> DataFrame:
     """``doc_id, n_words, n_seen, log_score, mean_log_score`` for every row of ``docs``.
 
-    Words are split at white space, A-Z count as a-z. Counts are those of all rows but the scored one; rows that repeat count for
-    each other. ``n_seen`` words follow the one before them in another row too. A word that no other row has
-    counts as met once. The first word has no word before it and is scored by its share. A null or empty text has no words, a score
-    of 0 and a null mean. Of words with equal counts the vocabulary takes those with the smaller hash. Other columns
-    are ignored. Every task gets ``vocabulary`` counts and ``frequent`` squared pair counts.
+    Words are split at white space, A-Z count as a-z. N-grams have up to ``order`` words, at least 2. Counts are those of
+    all rows but the scored one; rows that repeat count for each other. ``n_seen`` words follow the one before them in
+    another row too. A word that no other row has counts as met once. The first word has no word before it and is
+    scored by its share. A null or empty text has no words, a score of 0 and a null mean. Other columns are ignored.
+
+    All words count as they are. Only a caller who gives a ``vocabulary`` has all but so many most frequent words (of equal
+    counts, those with the smaller hash) scored as one word. ``frequent`` is taken for older callers and changes nothing.
+    N-grams are told apart by 64-bit hashes.
     """
+    if order < 2:
+        raise ValueError(f"n-grams of at least 2 words, not {order}")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col).cast("string"), text).alias("doc"), text.alias("text"))
-    counts = stored(word_counts(rows.select("text")), "lm-words")
-    total = counts.agg(F.sum("times")).first()[0] or 0
-    top = counts.orderBy(F.desc("times"), "word").limit(vocabulary).toPandas()
-    known = Vocabulary(top["word"].to_numpy(np.int64).view(np.uint64), top["times"].to_numpy(np.int64), total, frequent)
-    table = frequent_pairs(rows.select("text"), known)
-    parts = contributions(rows.select("doc", "text"), known, table, alpha)
-    pairs = met_elsewhere(parts.filter("pair is not null")).groupBy("doc").agg(F.sum("seen").alias("met"), F.sum("gain").alias("added"))
-    base = parts.filter("pair is null").select("doc", "n", "seen", "gain")
-    # Rows that repeat have one key: their sums are together, and each gets its part.
-    base = base.groupBy("doc").agg(F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"), F.min("seen").alias("seen"), F.min("gain").alias("gain"))
-    found = rows.select("doc", "doc_id").join(base, "doc").join(pairs, "doc", "left")
-    score = F.col("gain") + F.coalesce(F.col("added") / F.col("copies"), F.lit(0.0))
-    seen = F.col("seen") + F.coalesce((F.col("met") / F.col("copies")).cast("bigint"), F.lit(0))
-    return found.select(
-        "doc_id",
-        F.col("n").alias("n_words"),
-        seen.cast("bigint").alias("n_seen"),
-        score.alias("log_score"),
-        F.when(F.col("n") > 0, score / F.col("n")).alias("mean_log_score"),
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    # Rows are large: the writer looks at its memory after a few, not after 100.
+    chunks = stored(chunks_of(rows, chunk_bytes), "lm-chunks", **{"parquet.page.size.row.check.min": "2"})
+    size, total = chunks.agg(F.sum("bytes"), F.sum("words")).first()
+    ranges = max(RANGES, -(-(size or 0) * order // RANGE_BYTES))
+    total, known = total or 0, None
+    if vocabulary is not None:
+        top = word_counts(rows.select("text")).orderBy(F.desc("times"), "word").limit(vocabulary).toPandas()
+        known = np.sort(top["word"].to_numpy(np.int64).view(np.uint64))
+    answers = others_of(counted_grams(chunks, order, ranges, known))
+
+    def scored(chunk: pa.Table, answer: pa.Table) -> pa.Table:
+        ids = chunk.column("ids").combine_chunks().flatten()
+        grams = Grams(unfolded(chunk.column("texts")[0].as_py()), order, known)
+        blobs = answer.column("others").to_pylist()
+        counts = [restored(blobs[i]) for i in np.argsort(answer.column("range").to_numpy())]
+        scores, seen = score(grams, np.concatenate([np.empty(0, np.uint64), *counts]).astype(np.int64))
+        n = pa.array(grams.lengths)
+        mean = pa.array(scores / np.maximum(grams.lengths, 1), mask=grams.lengths == 0)
+        return pa.table({"doc_id": ids, "n_words": n, "n_seen": pa.array(seen), "log_score": pa.array(scores), "mean_log_score": mean})
+
+    def score(grams: Grams, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.concatenate([grams.doc[ends] for ends in grams.ends])
+        by = np.argsort(grams.hashes, kind="stable")  # equal n-grams stay in the order of their documents
+        hashes, owner, grams.hashes = grams.hashes[by], owner[by], None
+        first = np.concatenate(([True], hashes[1:] != hashes[:-1])) if len(by) else np.empty(0, bool)
+        if np.count_nonzero(first) != len(counts):
+            raise ValueError("the counts are not those of the chunk's n-grams")
+        counts = counts + np.diff(np.flatnonzero(first), append=len(by))
+        starts = np.flatnonzero(first | np.concatenate(([True], owner[1:] != owner[:-1]))) if len(by) else np.empty(0, np.int64)
+        own = np.diff(starts, append=len(by))
+        other = np.empty(len(by), dtype=np.int64)
+        other[by] = np.repeat(counts[np.cumsum(first)[starts] - 1] - own, own)
+        del by, hashes, owner, first, starts, own, counts
+        # Per order, how often other documents have the n-gram that ends at a place.
+        elsewhere, at = [], 0
+        for ends in grams.ends:
+            elsewhere.append(np.zeros(len(grams.doc), dtype=np.int64))
+            elsewhere[-1][ends] = other[at : at + len(ends)]
+            at += len(ends)
+        longest = np.minimum(grams.place + 1, order)
+        others = np.maximum(1, total - grams.lengths)[grams.doc]
+        gain = np.log(np.maximum(elsewhere[0], 1) / others) + (longest - 1) * np.log(alpha)
+        for n in range(2, order + 1):
+            met = np.flatnonzero(elsewhere[n - 1] > 0)
+            # Where the n-gram is, what it begins with is as well.
+            before = np.maximum(elsewhere[n - 2][met - 1], 1)
+            gain[met] = np.log(elsewhere[n - 1][met] / before) + (longest[met] - n) * np.log(alpha)
+        size = len(grams.lengths)
+        seen = np.bincount(grams.doc[elsewhere[1] > 0], minlength=size).astype(np.int64)
+        return np.bincount(grams.doc, weights=gain, minlength=size).astype(np.float64), seen
+
+    out = T.StructType([rows.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("n_seen", T.LongType()),
+                        T.StructField("log_score", T.DoubleType()), T.StructField("mean_log_score", T.DoubleType())])
+    return chunks.select("chunk", "ids", "texts").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, out)
