@@ -10,31 +10,57 @@ from tidegrid.llm.common import stored, table
 from tidegrid.llm.tokens import tokenizer_path
 
 
-def keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is among the distinct, non-null ``ids``."""
-    return docs.join(ids, "doc_id", "left_semi")
+ROW = "__row"  # a number for each row, so that rows with equal, repeated or null ids are told apart
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a different ROW in every row, written, so that it stays the same."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), f"pipeline-{name}-rows")
+
+
+def keep(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows whose ROW is among the distinct ones of ``chosen``, as they were before they were numbered."""
+    return rows.join(chosen, ROW, "left_semi").drop(ROW)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is recognized; those without a letter go."""
-    return langid.identify(docs).filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    """Documents in which a language is recognized; those without a letter go.
+
+    If no row has a language to learn from, all documents with a letter stay.
+    """
+    learned = langid.language_vectors(docs.filter(~langid.held_out()))
+    if not learned:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    return langid.predict_language(docs, learned).filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the one with the largest id stays."""
-    return keep(docs, dedup.exact_dedup(docs, keep="largest").filter("kept").select("doc_id"))
+    """Of rows with equal texts one stays: of those with the largest id, a null id being the smallest, the last.
+
+    An id with several texts has a row for each that stays.
+    """
+    rows = numbered(docs, "exact")
+    found = dedup.exact_dedup(rows.withColumn("__id", F.struct("doc_id", ROW)), id_col="__id", keep="largest")
+    return keep(rows, found.filter("kept").select(F.col(f"doc_id.{ROW}").alias(ROW)))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar sets of n-grams, the one with the smallest id stays."""
-    classes, _ = jaccard.jaccard_join(docs)
-    return keep(docs, classes.filter("doc_id = component_id").select("doc_id"))
+    """Of rows linked by similar sets of n-grams one stays: of those with the smallest id, null ids last, the first.
+
+    Rows without a word are linked to none, and all stay.
+    """
+    rows = numbered(docs, "near")
+    classes, _ = jaccard.jaccard_join(rows, id_col=ROW)
+    classes = classes.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW))
+    return keep(rows, classes.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{ROW}").alias(ROW)))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return keep(docs, found.filter("not contaminated").select("doc_id"))
+    """Rows without a passage of the benchmark, whatever other rows of their id have."""
+    rows = numbered(docs, "clean")
+    found = decontam.decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col=ROW)
+    return keep(rows, found.filter("not contaminated").select(F.col("doc_id").alias(ROW)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -334,3 +334,27 @@ def test_pipeline(spark, sf_dir):
     kept = {i for i, t in rows.items() if not any(f" {w} " in f" {split(t)} " for w in windows)}
     assert {r.doc_id for r in at.select("doc_id").collect()} == kept
     assert {r.doc_id for r in cp.run(spark, sf_dir).select("doc_id").collect()} == kept
+
+
+def test_pipeline_on_odd_rows(spark, none, path):
+    """Null, repeated and shared ids: every stage keeps the rows its operator marks."""
+    import corpus_pipeline as cp
+
+    folder = path("odd")
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+    def run(stage, rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+        out = stage(spark, df, folder)
+        assert out.dtypes == df.dtypes
+        return collections.Counter((r.doc_id, r.text) for r in out.collect())
+
+    other, third = "one text of its own that nobody else has", "and yet another one with quite different words"
+    rows = [(1, other, None, None), (1, other, None, "s"), (2, other, None, None), (2, third, None, None), (3, third, None, None), (None, third, None, None), (None, "no id here", None, None), (None, "no id here", None, None)]
+    assert run(cp.exact, rows) == {(2, other): 1, (3, third): 1, (None, "no id here"): 1}
+    assert run(cp.near, rows) == {(1, other): 1, (2, third): 1, (None, "no id here"): 1}
+    rows = [(1, other, None, None), (1, "x " + PASSAGE, None, None), (None, third, None, None), (None, PASSAGE, None, None), (4, third, None, None), (4, third, None, None)]
+    assert run(cp.clean, rows) == {(1, other): 1, (None, third): 1, (4, third): 2}
+    assert run(cp.language, rows + [(5, "12 !!", None, None), (6, None, None, None)]) == collections.Counter(r[:2] for r in rows)
+    for _, stage in cp.STAGES[:-1]:
+        assert stage(spark, none, folder).count() == 0
