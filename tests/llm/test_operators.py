@@ -305,6 +305,15 @@ def test_licenses(spark, docs, none):
     assert licenses.scan_licenses(none, licenses.TEMPLATES).count() == 0
 
 
+def test_published_licenses(spark):
+    texts = ["// " + licenses.TEMPLATES[name].replace("\n", "\n// ") for name in licenses.TEMPLATES]
+    texts += ["some code here " + t + " and more code" for t in texts] + ["(Released under the MIT License, like the rest)"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.license) for r in licenses.scan_licenses(df, licenses.TEMPLATES).collect()}
+    names = [*licenses.TEMPLATES, *licenses.TEMPLATES, "MIT"]
+    assert all((i, name) in got for i, name in enumerate(names)), [n for i, n in enumerate(names) if (i, n) not in got]
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
 

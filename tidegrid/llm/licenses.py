@@ -1,15 +1,18 @@
 """Licence texts in documents: MinHash bands over overlapping windows, checked by exact containment.
 
 Texts are cut into windows of shingles, twice as long as a template and beginning at every multiple of its length, so
-that a stretch as long as the template lies within one. Windows and templates get the smallest of their shingles'
+that a stretch as long as the template lies within one. Lengths are powers of two, so a window has less than four times
+the shingles of its template. Windows and templates get the smallest of their shingles'
 hashes under each of BANDS functions, a band of one row each. A window is a candidate for the templates it shares a
 band with. A window that holds a share SHARE of a template's shingles has a similarity of at least
-SHARE / (3 - SHARE) with it, so it is missed with a chance of (1 - SHARE / (3 - SHARE)) ** BANDS at most: below 4e-6. In
+SHARE / (5 - SHARE) with it, so it is missed with a chance of (1 - SHARE / (5 - SHARE)) ** BANDS at most: below 5e-6. In
 candidates, the shingles are compared exactly.
 """
 
 from __future__ import annotations
 
+import pkgutil
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +24,13 @@ from tidegrid.llm.jaccard import U64, mixed, text_words
 
 WORDS = 5
 SHARE = 0.75
-BANDS = 32
+BANDS = 64
 TOGETHER = 1 << 16  # words hashed together, so that they stay in the processor's cache
 MOST_SHINGLES = 1_000_000  # of all templates together; they are sent to every task
 
-# Names and wordings of licences as they are published.
+SHORT = 64  # shingles; templates up to here are looked for together
+
+# Short mentions of licences; below, their full texts and the notices that are put into files.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -37,6 +42,24 @@ TEMPLATES = {
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
     "hereby granted",
 }
+PUBLISHED = ["Apache-2.0", "BSD-3-Clause", "GPL-2", "GPL-3", "ISC", "LGPL-2.1", "LGPL-3", "MIT", "MPL-2.0"]
+NOTICES = ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3"]
+
+
+def shipped(file: str) -> str:
+    return pkgutil.get_data("tidegrid.llm", f"license_texts/{file}.txt").decode("utf-8")
+
+
+TEMPLATES |= {f"{name} text": shipped(name) for name in PUBLISHED}
+TEMPLATES |= {f"{name} notice": shipped(f"{name}-notice") for name in NOTICES}
+
+MARKS = r"[!-/:-@\[-`{-~\u2010-\u2027\u00a9]+"
+AROUND = re.compile(rf"{MARKS}(?![^ \t-\r])|(?<![^ \t-\r]){MARKS}")
+
+
+def bare_words(text: str | None) -> np.ndarray:
+    """The hashes of the words without the punctuation around them; punctuation alone is no word."""
+    return text_words(AROUND.sub("", text)) if text else np.empty(0, np.uint64)
 
 
 def gram_list(words: np.ndarray, size: int) -> np.ndarray:
@@ -66,7 +89,8 @@ def scan_licenses(
 ) -> DataFrame:
     """``doc_id, license, first_word, n_words, containment`` for every stretch of a text that holds a template.
 
-    Words are split at white space and A-Z count as a-z. A template of fewer than ``words`` words is one shingle of all
+    Words are split at white space, without the punctuation around them, and A-Z count as a-z; punctuation alone is no
+    word, so comment signs before lines do no harm. A template of fewer than ``words`` words is one shingle of all
     of them. ``containment`` is the share of the template's distinct shingles in the stretch, at least ``share``;
     a stretch starts and ends with such a shingle and is at most twice as long as the template. Of overlapping
     stretches of one template the first is given, of those that start together the fullest. Null and empty texts hold nothing; a template
@@ -76,7 +100,7 @@ def scan_licenses(
     salts = band_salts(bands)
     by_shape: dict[tuple[int, int], list] = {}
     for name, text in sorted(templates.items()):
-        found = text_words(text)
+        found = bare_words(text)
         if len(found) == 0:
             raise ValueError(f"template {name} has no words")
         size = min(words, len(found))
@@ -89,14 +113,13 @@ def scan_licenses(
         shape: [[int((own * salt).min()) for _, own in group] for salt in salts] for shape, group in by_shape.items()
     }
 
-    longest = max(length for _, length in by_shape)
-
     def candidates(texts: list[np.ndarray], lengths: list[tuple[int, int]]) -> list[set[tuple[int, int, int]]]:
         """Per text the first shingle of a window, its length and the number of a template of that length, where they share a band.
 
         The texts lie in one array, each followed by at least one longest block of the largest hash, so that every
         length divides the place of a text and no window joins two of them. Minima of blocks come from those of half as long ones.
         """
+        longest = max(length for _, length in lengths)
         sizes = np.array([len(grams) for grams in texts])
         places = np.concatenate(([0], np.cumsum(-(-sizes // longest) * longest + longest)))
         laid = np.zeros(places[-1], dtype=np.uint64)
@@ -134,10 +157,14 @@ def scan_licenses(
     def matches(texts: list[np.ndarray]) -> list[list[tuple[str, int, int, float]]]:
         """Per text, given as its words, the templates it holds: name, first word, number of words, share."""
         hits = [{} for _ in texts]
-        for size in {shape[0] for shape in by_shape}:
-            long_enough = [i for i, words in enumerate(texts) if len(words) >= size]
+        # Long templates are looked for one length at a time, and only in texts that can hold enough of them.
+        groups = {}
+        for shape in by_shape:
+            groups.setdefault((shape[0], max(shape[1], SHORT)), []).append(shape)
+        for (size, _), lengths in groups.items():
+            least = min(share * len(own) for shape in lengths for _, own in by_shape[shape])
+            long_enough = [i for i, words in enumerate(texts) if len(words) - size + 1 >= max(1, least)]
             grams = [gram_list(texts[i], size) for i in long_enough]
-            lengths = [shape for shape in by_shape if shape[0] == size]
             for i, own_grams, windows in zip(long_enough, grams, candidates(grams, lengths) if grams else []):
                 for start, length, number in windows:
                     name, own = by_shape[size, length][number]
@@ -159,7 +186,7 @@ def scan_licenses(
             rows, ids, texts, held = [], [], [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids.append(doc_id)
-                texts.append(text_words(text) if text else np.empty(0, np.uint64))
+                texts.append(bare_words(text))
                 held += len(texts[-1])
                 if held > TOGETHER:
                     rows += [(i, *hit) for i, hits in zip(ids, matches(texts)) for hit in hits]
