@@ -67,7 +67,57 @@ reach as (select doc_id, doc_id r from documents union select reach.doc_id, e.b
 select doc_id, coalesce(any_value(n), 0) n_shingles, min(r) component_id from reach left join n using (doc_id) group by 1
 """
 
+FILL_IN_MIDDLE = """
+with d as (select doc_id, coalesce(text, '') text, sha256('1:' || doc_id) h from documents),
+u as (
+  select doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') w,
+         list_transform(range(4), lambda i: cast('0x' || substr(h, 8 * i + 1, 8) as bigint)) r
+  from d),
+c as (
+  select doc_id, text, w, len(w) n, least(r[1] % (len(w) + 1), r[2] % (len(w) + 1)) a, greatest(r[1] % (len(w) + 1), r[2] % (len(w) + 1)) b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or r[3] % 100 >= 90 then 'plain'
+              when r[4] % 100 < 20 then 'spm' else 'psm' end form
+  from u),
+p as (select *, array_to_string(w[1:a], '') prefix, array_to_string(w[a + 1:b], '') middle, array_to_string(w[b + 1:], '') suffix from c)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end prefix_chars, case when form <> 'plain' then length(middle) end middle_chars,
+       sha256(case form when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        when 'spm' then '<S>' || suffix || '<P>' || prefix || '<M>' || middle else text end) output_sha256,
+       sha256(text) restored_sha256
+from p
+"""
+
+
+def centroids(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    distance = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    floor = "cast((s - ((s % n) + n) % n) // n as bigint)"
+    steps = [f"""
+v as materialized (
+  select row_number() over () as i, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) v
+  from embeddings
+  where len(embedding) = {dims} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {dims}),
+c0 as materialized (
+  select cast(row_number() over (order by sha256('3:' || vec_id), v) - 1 as integer) k, v c from v
+  qualify row_number() over (order by sha256('3:' || vec_id), v) <= {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (
+  select i, vec_id, v, min({distance}) d, arg_min(k, {distance} * {k} + k) k from v, c{r} group by i, vec_id, v)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} as materialized (
+  select c{r}.k, coalesce(m.c, c{r}.c) c from c{r} left join (
+    select k, list({floor} order by pos) c from (
+      select k, pos, cast(sum(v[pos]) as bigint) s, count(*) n from a{r}, range(1, {dims + 1}) as t(pos) group by k, pos) group by k) m on m.k = c{r}.k)""")
+    return f"""with {",".join(steps)}
+select vec_id, a{rounds}.k cluster, cast(d as bigint) distance, cast(sum(d) over (partition by a{rounds}.k) as bigint) cluster_inertia,
+       cast(sum(d) over () as bigint) inertia, sha256(array_to_string(c, ',')) centroid_sha256
+from a{rounds} join c{rounds} on a{rounds}.k = c{rounds}.k
+"""
+
+
 LLM_ORACLES = {
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_centroid_clustering": centroids(),
     "op1_jaccard_join": JACCARD,
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op8_exact_dedup": DEDUP,

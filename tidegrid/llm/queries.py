@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontam, dedup, jaccard, langid, licenses, lm, packing, pii, suffix, warc
+from tidegrid.llm import decontam, dedup, fim, jaccard, langid, licenses, lm, packing, pii, suffix, tokenfiles, vafile, warc
 from tidegrid.llm.common import table
 from tidegrid.llm.oracles import LLM_ORACLES  # noqa: F401
 from tidegrid.llm.tokens import tokenizer_path
@@ -65,6 +65,22 @@ def op10_license_scans(spark, sf_dir) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.TEMPLATES)
 
 
+def op11_fill_in_middle(spark, sf_dir) -> DataFrame:
+    cut = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return cut.withColumns({"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(restored, 256)}).drop("output")
+
+
+def op12_token_files(spark, sf_dir) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    manifest = tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
+    return tokenfiles.read_documents(spark, manifest, folder)
+
+
+def op13_centroid_clustering(spark, sf_dir) -> DataFrame:
+    return vafile.cluster_vectors(table(spark, sf_dir, "embeddings"))[0]
+
+
 def pipeline(spark, sf_dir) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -82,6 +98,9 @@ LLM_QUERIES = {
         op8_exact_dedup,
         op9_warc,
         op10_license_scans,
+        op11_fill_in_middle,
+        op12_token_files,
+        op13_centroid_clustering,
         pipeline,
     )
 }

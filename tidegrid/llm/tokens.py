@@ -1,9 +1,112 @@
-"""Where the vocabularies of public tokenizers are."""
+"""Public tokenizers: where their vocabularies are, and encoders that remember the parts of texts they have met."""
 
 from __future__ import annotations
 
+import os
+import re
+import sys
+import types
+from collections.abc import Callable
+
+import numpy as np
+
+MEMO, MEMO_CHARS = 400_000, 40  # parts a process remembers, and the longest of them
+LOT_CHARS = 2_000_000  # text split into parts at once
+
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def once_a_process(key: tuple, make: Callable):
+    """What ``make()`` gives, made once in this Python process and shared by the tasks that run in it.
+
+    Functions travel to the tasks by value, and their modules with them, so a global of a module would not be
+    shared.
+    """
+    kept = sys.modules.setdefault("tidegrid_of_this_process", types.ModuleType("tidegrid_of_this_process"))
+    known = vars(kept).setdefault("made", {})
+    if key not in known:
+        known[key] = make()
+    return known[key]
+
+
+class ByteEncoder:
+    """Token ids of texts by a byte-level BPE that splits texts into words with the space before them.
+
+    Such a tokenizer never joins what lies on two sides of a space between two characters that are no white space,
+    and a line end between two such is a token of its own. So a text is split there, each different part is encoded
+    once, and new parts are encoded together, as the lines of one text. ``kind`` is the type of the ids.
+    """
+
+    between = re.compile(r"(?<=\S) (?=\S)")
+    uneven = re.compile(r"\s\s|\A\s|\s\Z")
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.line_end = self._whole(["\n"])[0]
+        self.known: dict[str, bytes] = {}  # by part, the space before it not shown
+
+    def parts(self, text: str) -> list[str]:
+        """The parts of a text; all but the first have a space before them, which is not shown."""
+        return self.between.split(text) if self.uneven.search(text) else text.split(" ")
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(encoding.ids, self.kind).tobytes() for encoding in found]
+
+    def _lines(self, lines: list[str]) -> list[bytes]:
+        """Ids of lines that are even, but for one space at the start."""
+        raw, size = self._whole(["\n".join(lines)])[0], len(self.line_end)
+        ends = np.flatnonzero(np.frombuffer(raw, self.kind) == np.frombuffer(self.line_end, self.kind)[0]) * size
+        if len(ends) != len(lines) - 1:
+            return self._whole(lines)
+        return [raw[a:b] for a, b in zip([0, *(ends + size).tolist()], [*ends.tolist(), len(raw)])]
+
+    def _new(self, parts: set[str]) -> dict[str, bytes]:
+        plain = [part for part in parts if part.isprintable() and not part.endswith(" ")]
+        found = dict(zip(plain, self._lines([" " + part for part in plain]))) if plain else {}
+        if len(plain) < len(parts):
+            others = parts.difference(plain)
+            whole = [part for part in others if self.uneven.search(part)]
+            split = {part: (" " + part).split("\n") for part in others.difference(whole)}
+            lines = list(set().union(*split.values()))
+            of_line = dict(zip(lines, self._lines(lines))) if lines else {}
+            found.update((part, self.line_end.join(map(of_line.__getitem__, own))) for part, own in split.items())
+            found.update(zip(whole, self._whole([" " + part for part in whole])))
+        return found
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = [self.parts(text) for text in texts]
+        if len(self.known) > MEMO:
+            self.known.clear()
+        found = self._new(set().union(*(parts[1:] for parts in split)) - self.known.keys())
+        self.known.update(found)
+        firsts = self._whole([parts[0] for parts in split])
+        out = [first + b"".join(map(self.known.__getitem__, parts[1:])) for first, parts in zip(firsts, split)]
+        for part in found:
+            if len(part) > MEMO_CHARS:  # long parts are forgotten
+                del self.known[part]
+        return out
+
+    def encode(self, texts: list[str]):
+        """The ids of each text, as bytes of ``kind``, in their order."""
+        lot, chars = [], 0
+        for text in texts:
+            lot.append(text)
+            chars += len(text)
+            if chars >= LOT_CHARS:
+                yield from self._encode(lot)
+                lot, chars = [], 0
+        if lot:
+            yield from self._encode(lot)
+
+
+def byte_encoder(path: str) -> ByteEncoder:
+    return once_a_process(("byte", path), lambda: ByteEncoder(path))
