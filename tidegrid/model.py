@@ -39,8 +39,20 @@ GRID = T.StructType(
 )
 
 
+# Columns that say where a cell is or where it came from; every other column is a variable of the data.
+BOOKKEEPING = ["day", *KEY, "lat", "lon", "spatial_hash", "verifier_pubkeys", "source_uri", "source_time"]
+
+
+def variables_of(df: DataFrame) -> list[str]:
+    """The variables of a grid, whatever they are called, in the order of its columns."""
+    return [c for c in df.columns if c not in BOOKKEEPING]
+
+
 def conform(df: DataFrame) -> DataFrame:
-    """Bring any grid to ``GRID``: derive ``day``, add absent columns as NULL, store missing as NULL."""
+    """Bring any grid to ``GRID``: derive ``day``, add absent columns as NULL, store missing as NULL.
+
+    Columns that ``GRID`` does not have are further variables or the file's own time; they follow, with their types.
+    """
     if "day" not in df.columns:
         df = df.withColumn("day", F.to_date("time"))
     columns = []
@@ -52,4 +64,7 @@ def conform(df: DataFrame) -> DataFrame:
         else:
             column = F.col(field.name)
         columns.append(column.cast(field.dataType).alias(field.name))
+    for name, kind in df.dtypes:
+        if name not in GRID.names:
+            columns.append(null_if_missing(name).alias(name) if kind in ("float", "double") else F.col(name))
     return df.select(*columns)

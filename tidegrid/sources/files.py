@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import time
 import traceback
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from datetime import time as clock
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +52,51 @@ FILE = T.StructType(
     ]
 )
 ROWS_PER_BATCH = 65536
+BIN_BYTES = 256 * 1024 * 1024
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
+ENTRY = "path string, kind string, name string, type string, attributes map<string,string>"
+FACTS = "path string, modificationTime timestamp, length bigint"
+
 Decoder = Callable[[bytes], pd.DataFrame]
+Opener = Callable[[str], bytes]
+
+
+def shared_path(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI as Spark lists it, and the path in it."""
+    scheme, colon, rest = path.partition(":")
+    if scheme == "file" and not rest.startswith("//"):
+        return pafs.FileSystem.from_uri(rest)
+    if not colon:
+        return pafs.FileSystem.from_uri(path)
+    # Spark shows names as they are; a URI has other than plain characters escaped.
+    return pafs.FileSystem.from_uri(quote(f"s3:{rest}" if scheme in ("s3a", "s3n") else path, safe=":/@"))
+
+
+def read_whole(path: str) -> bytes:
+    """The bytes of a file, read by the task that needs them."""
+    files, inner = shared_path(path)
+    with files.open_input_stream(inner, compression=None) as file:
+        return file.read()
+
+
+def file_facts(files: DataFrame) -> DataFrame:
+    """``path, modificationTime, length`` of files of which only the path is known, e.g. from events; asked for in tasks.
+
+    A file that is not there has NULL in both and fails when it is decoded.
+    """
+
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                system, inner = shared_path(path)
+                info = system.get_file_info(inner)
+                rows.append((path, info.mtime, info.size))
+            facts = pd.DataFrame(rows, columns=["path", "modificationTime", "length"])
+            yield facts.assign(modificationTime=pd.to_datetime(facts["modificationTime"], utc=True), length=facts["length"].astype("Int64"))
+
+    return files.select("path").distinct().mapInPandas(asked, FACTS)
 
 
 def binary_files(spark: SparkSession, paths: str | list[str], glob: str = "*.nc") -> DataFrame:
@@ -104,21 +149,35 @@ def with_file_time(files: DataFrame, suffix: str = "", name: Column | None = Non
     return files.withColumn("file_time", noon_of(file_date(named, suffix)))
 
 
-def _decode_files(decode: Decoder, on_error: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    columns = DECODED.fieldNames()
+def _contents(batch: pd.DataFrame, opener: Opener) -> Iterator[tuple]:
+    """The columns of ``FILE`` and a function that gives the bytes, for each file of a batch."""
+    for i, file in enumerate(batch[FILE.fieldNames()].itertuples(index=False)):
+        if "content" in batch.columns:
+            yield file, lambda i=i: bytes(batch["content"].iloc[i])
+        else:
+            yield file, lambda path=file.path: opener(path)
+
+
+def _decode_files(
+    decode: Decoder, on_error: str, extra: Sequence[str], opener: Opener
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    columns = [*DECODED.fieldNames(), *extra]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, modified, file_time, content in batch[[*FILE.fieldNames(), "content"]].itertuples(index=False):
+            for (path, modified, file_time), content in _contents(batch, opener):
                 started = time.monotonic()
                 file = {"path": path, "modificationTime": modified, "file_time": file_time}
                 status, error, cells = "ok", None, None
                 try:
                     if pd.isna(file_time):
                         raise ValueError(f"no valid date in the form .YYYYMMDD. in file name: {path}")
-                    cells = decode(bytes(content))
-                    absent = {c: 1 if c == "zlev" else None for c in columns if c not in cells.columns}
-                    cells = cells.assign(**absent)[columns]
+                    found = decode(content())
+                    unknown = sorted(set(found.columns) - set(columns))
+                    if unknown:
+                        raise ValueError(f"variables that were not declared: {', '.join(unknown)}")
+                    absent = {c: 1 if c == "zlev" else None for c in columns if c not in found.columns}
+                    cells = found.assign(**absent)[columns]
                 except Exception as failure:
                     if on_error == "raise":
                         raise
@@ -135,14 +194,95 @@ def _decode_files(decode: Decoder, on_error: str) -> Callable[[Iterator[pd.DataF
     return run
 
 
-def decode_files(files: DataFrame, decode: Decoder, on_error: str = "continue") -> DataFrame:
+def _spark_type(kind: pa.DataType) -> str:
+    if pa.types.is_boolean(kind):
+        return "boolean"
+    if pa.types.is_integer(kind):
+        return {8: "tinyint", 16: "smallint", 32: "int"}.get(kind.bit_width, "bigint")
+    if pa.types.is_floating(kind):
+        return "double" if kind.bit_width == 64 else "float"
+    if pa.types.is_timestamp(kind):
+        return "timestamp_ntz"
+    return "date" if pa.types.is_date(kind) else "string"
+
+
+def describe_files(files: DataFrame, decode: Decoder, opener: Opener = read_whole, on_error: str = "raise") -> DataFrame:
+    """What each file says of itself: ``path, kind, name, type, attributes``.
+
+    One row for the dataset, one for each coordinate and one for each variable. Attributes come from the ``attrs`` of
+    the decoded frame: those of the dataset, and under ``variables`` those of each column. Files are
+    decoded in tasks; only this table leaves them. With ``on_error='continue'`` a file that cannot be read says nothing.
+    """
+    axes = {"lat", "lon", "lat_idx", "lon_idx", "zlev", "source_time"}
+
+    def texts(attributes) -> dict[str, str]:
+        return {str(k): str(v) for k, v in dict(attributes or {}).items() if k != "variables"}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (path, _, _), content in _contents(batch, opener):
+                try:
+                    cells = decode(content())
+                except Exception:
+                    if on_error == "raise":
+                        raise
+                    continue
+                of_column = cells.attrs.get("variables", {})
+                rows = [(path, "dataset", None, None, texts(cells.attrs))]
+                for name in cells.columns:
+                    kind = _spark_type(pa.array(cells[name], from_pandas=True).type)
+                    rows.append((path, "coordinate" if name in axes else "variable", name, kind, texts(of_column.get(name))))
+                yield pd.DataFrame(rows, columns=["path", "kind", "name", "type", "attributes"])
+
+    kept = [c for c in (*FILE.fieldNames(), "content") if c in files.columns]
+    for field in FILE.fields:
+        if field.name not in kept:
+            files = files.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return files.select(*FILE.fieldNames(), *[c for c in kept if c == "content"]).mapInPandas(run, ENTRY)
+
+
+def further_variables(described: DataFrame) -> T.StructType:
+    """The variables of described files that ``DECODED`` does not have, each in a type that holds it in all of them."""
+    rows = described.filter("kind <> 'dataset'").groupBy("name").agg(F.sort_array(F.collect_set("type")).alias("types")).collect()
+    columns = []
+    for row in sorted(rows):
+        if row.name not in DECODED.fieldNames():
+            numbers = set(row.types) <= {"tinyint", "smallint", "int", "bigint", "float", "double"}
+            kind = row.types[0] if len(row.types) == 1 else "double" if numbers else "string"
+            columns.append(f"`{row.name.replace('`', '``')}` {kind}")
+    return T.StructType.fromDDL(", ".join(columns)) if columns else T.StructType()
+
+
+def decode_files(
+    files: DataFrame,
+    decode: Decoder,
+    on_error: str = "continue",
+    extra: T.StructType | str | int = 1,
+    opener: Opener = read_whole,
+) -> DataFrame:
     """Cells of all files plus one report row per file (``status`` not NULL).
 
-    One file is decoded by one task. A failing file gives a report row and no cells, or with
-    ``on_error='raise'`` fails the job.
+    One file is decoded by one task. A failing file gives a report row and no cells, or with ``on_error='raise'`` fails the
+    job. ``files`` has contents, or only paths, which a task opens with ``opener`` when it comes to them.
+
+    ``extra`` declares the variables beyond ``DECODED``, or is the number of files in which to look for them first. A file
+    that has others as well fails: no variable is left out in silence.
     """
-    schema = T.StructType([*DECODED.fields, *FILE.fields, *STATUS.fields])
-    return files.select(*FILE.fieldNames(), "content").mapInPandas(_decode_files(decode, on_error), schema)
+    if isinstance(extra, str):
+        extra = T.StructType.fromDDL(extra)
+    if not isinstance(extra, T.StructType):
+        # A file that cannot be read tells nothing here; it is reported when it is decoded.
+        extra = further_variables(describe_files(files.limit(extra), decode, opener, "continue"))
+    schema = T.StructType([*DECODED.fields, *extra.fields, *FILE.fields, *STATUS.fields])
+    columns = [*FILE.fieldNames(), *[c for c in files.columns if c == "content"]]
+    return files.select(*columns).mapInPandas(_decode_files(decode, on_error, extra.fieldNames(), opener), schema)
+
+
+def in_bins(files: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
+    """``files(path, length, ...)`` dealt out so that a task gets about ``bin_bytes`` of them, and any file whole."""
+    total = files.agg(F.sum("length").alias("bytes"), F.count("*").alias("files")).first()
+    bins = max(1, min(total.files, -(-(total.bytes or 0) // bin_bytes)))
+    return files.repartition(bins, "path")
 
 
 def decoded_cells(decoded: DataFrame) -> DataFrame:
@@ -173,14 +313,20 @@ class Ingested:
         self.decoded.unpersist()
 
 
-def ingest_with_status(files: DataFrame, decode: Decoder, on_error: str = "continue") -> Ingested:
+def ingest_with_status(
+    files: DataFrame,
+    decode: Decoder,
+    on_error: str = "continue",
+    extra: T.StructType | str | int = 1,
+    opener: Opener = read_whole,
+) -> Ingested:
     """Decode each file once into a grid and a status table.
 
     Of several files of one time step the last one that could be decoded counts; the others have the
     status ``superseded``. The decoded rows are kept on executor disks between grid and status; a lost
     executor's files are decoded again.
     """
-    decoded = decode_files(files, decode, on_error).persist(StorageLevel.DISK_ONLY)
+    decoded = decode_files(files, decode, on_error, extra, opener).persist(StorageLevel.DISK_ONLY)
     report = decoded_status(decoded)
     try:
         replaced = broadcast_if_small(superseded(report.filter(F.col("status") == "ok")))
@@ -200,8 +346,9 @@ def ingest_files(
     suffix: str = "",
     glob: str | None = None,
     name: Column | None = None,
+    extra: T.StructType | str | int = 1,
 ) -> DataFrame:
-    """Grid rows of daily files.
+    """Grid rows of daily files, with all their variables (``extra`` as in :func:`decode_files`).
 
     Without a decoder the files are Parquet grids and Spark reads them column by column; with one,
     ``decode(bytes)`` turns a whole binary file into a pandas DataFrame on the executors. The time is
@@ -210,8 +357,9 @@ def ingest_files(
     """
     if decode is not None:
         files = with_file_time(binary_files(spark, paths, glob or "*.nc"), suffix, name)
-        return conform(decoded_cells(decode_files(latest_per_time(files), decode, "raise")))
-    reader = spark.read.option("recursiveFileLookup", "true")
+        return conform(decoded_cells(decode_files(latest_per_time(files), decode, "raise", extra)))
+    # Files need not have the same variables.
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
     grid = (reader.option("pathGlobFilter", glob) if glob else reader).parquet(paths)
     path, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
     grid = grid.select("*", path.alias("path"), modified.alias("modificationTime"))

@@ -16,6 +16,8 @@ from tidegrid.functions.times import EPOCH, instant_to_utc
 from tidegrid.session import settle
 
 SUFFIX = ".nc"
+ATTEMPTS = 3  # how often a file is tried that fails
+WORK = "key string, last_modified timestamp_ntz, attempt int, state string, modified_day date"
 
 
 def list_objects(spark: SparkSession, path: str, glob: str = "*.nc") -> DataFrame:
@@ -132,3 +134,70 @@ def poll_state(
     new_mark = advance_mark(files if handled is None else handled, mark)
     write_mark(new_mark, state_path, mark)
     return read_mark(stored_marks(spark, state_path), start)
+
+
+def work_list(spark: SparkSession, state_path: str) -> DataFrame:
+    """What became of each attempt at each version of a file; empty before the first poll.
+
+    Partitioned by state and by the day of modification: failures are few and found without reading what is done, and of
+    what is done only the days a poll lists again are read.
+    """
+    try:
+        return spark.read.schema(WORK).parquet(f"{state_path.rstrip('/')}/_work")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], WORK)
+
+
+def due_work(listing: DataFrame, work: DataFrame, mark, suffix: str | None = SUFFIX, attempts: int = ATTEMPTS) -> DataFrame:
+    """The listed files to handle now, with the number of the ``attempt``.
+
+    A version of a file is its key and the time it was modified. Due are versions on or after the date of the mark that are not in
+    the work list, and whatever failed, however old: a version that is still there until it was tried ``attempts`` times, and
+    the version that has taken its place since, as a first attempt.
+    """
+    version = ["key", "last_modified"]
+    failed = settle(work.filter("state = 'failed'").groupBy(*version).agg(F.max("attempt").alias("attempt")))
+    day = F.to_date("last_modified")
+    since = F.least(as_instant(mark).cast("date"), failed.agg(F.min(day).alias("day")).scalar())
+    done = work.filter(F.col("state") == "done").filter(F.col("modified_day") >= since).select(*version)
+    fresh = discover_since(listing, mark, suffix).join(failed, version, "left_anti").withColumn("attempt", F.lit(1))
+    tried = failed.withColumnsRenamed({"last_modified": "_tried", "attempt": "_attempts"})
+    same = F.col("last_modified") == F.col("_tried")
+    again = listing.join(tried, "key").groupBy(*listing.columns).agg(F.max(F.when(same, F.col("_attempts"))).alias("attempt"))
+    again = again.withColumn("attempt", F.coalesce("attempt", F.lit(0)) + 1).filter(F.col("attempt") <= attempts)
+    both = fresh.unionByName(again).dropDuplicates(version)
+    return both.join(done, version, "left_anti")
+
+
+def record_work(handled: DataFrame, state_path: str) -> None:
+    """Append what became of ``handled(key, last_modified, attempt, ok)`` to the work list."""
+    state = F.when(F.col("ok"), "done").otherwise("failed").alias("state")
+    rows = handled.select("key", "last_modified", "attempt", state, F.to_date("last_modified").alias("modified_day"))
+    rows.write.partitionBy("state", "modified_day").mode("append").parquet(f"{state_path.rstrip('/')}/_work")
+
+
+def poll_work(
+    spark: SparkSession,
+    listing: DataFrame,
+    state_path: str,
+    handle,
+    start: datetime | str | None = None,
+    suffix: str | None = SUFFIX,
+    attempts: int = ATTEMPTS,
+) -> DataFrame:
+    """One poll with a work list: hand over what is due, keep what became of it, move the mark; returns the mark.
+
+    ``handle(files)`` does the work and returns ``key, ok``; a file it does not mention counts as failed. The
+    mark moves to the newest version that was handled whether or not all went well: what failed is remembered, not the time. A
+    poll that is lost before its results are kept is repeated by the next one.
+    """
+    mark = settle(read_mark(stored_marks(spark, state_path), start))
+    due = settle(due_work(listing, work_list(spark, state_path), mark, suffix, attempts))
+    outcome = handle(due).select("key", "ok")
+    handled = due.join(outcome, "key", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    record_work(settle(handled.select("key", "last_modified", "attempt", "ok")), state_path)
+    new_mark = advance_mark(due.select("key", "last_modified"), mark)
+    write_mark(new_mark, state_path, mark)
+    return read_mark(stored_marks(spark, state_path), start)

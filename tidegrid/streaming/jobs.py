@@ -1,8 +1,8 @@
-"""The jobs as streams. Every sink is idempotent, so a re-delivered batch changes nothing."""
+"""The jobs as streams. Every sink is idempotent: a batch that is run again leaves the same store."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,24 +11,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions.times import instant_to_utc
 from tidegrid.operators.stats import daily_stats
-from tidegrid.plans.convert import FILES_AT_ONCE, convert_listed
+from tidegrid.plans.convert import convert_listed
+from tidegrid.session import broadcast_if_small
+from tidegrid.sources.arrivals import stream_arrivals
 from tidegrid.sources.events import dedup_events
 from tidegrid.sources.files import BINARY_FILE, Decoder
 from tidegrid.sources.listing import as_instant
-from tidegrid.sources.store import Layout, write_store
+from tidegrid.sources.store import Layout, read_store, touched, write_merge, write_store
 
 POLL_INTERVAL = "15 minutes"
 
 
 def stream_files(
-    spark: SparkSession, path: str, glob: str = "*.nc", max_files: int = FILES_AT_ONCE, max_age: str = "100000d"
+    spark: SparkSession, path: str, glob: str = "*.nc", max_files: int | None = None, max_age: str = "7d", folders: Sequence[str] = ()
 ) -> DataFrame:
     """New files below ``path``, each exactly once, as ``path, modificationTime, length``.
 
-    Contents are not part of the stream; ``max_files`` sizes the batches, all files are taken in turn.
-    A file is taken however late it comes, unless it is older than the newest one by ``max_age``, the
-    time for which names are remembered. The default is longer than any modification time can lie back.
+    Contents are not part of the stream. A file is taken however late it comes (``stream_arrivals``); what was taken is
+    remembered in the state store, and the driver's memory does not grow with it.
+
+    With ``max_files`` the batches are bounded instead. Spark's file source, which can do that, keeps names in the driver for
+    ``max_age`` and leaves out a file older than the newest one by more than that.
     """
+    if max_files is None:
+        return stream_arrivals(spark, path, glob, folders)
     files = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
@@ -79,7 +85,8 @@ def stream_convert(
     available_now: bool = False,
     interval: str = POLL_INTERVAL,
 ) -> StreamingQuery:
-    """Convert each new file of a stream with a ``path`` into the store; file statuses are appended.
+    """Convert each new file of a stream with a ``path`` into the store and keep its status; a batch that is run again
+    replaces its statuses.
 
     The stream is :func:`stream_files`, or the addresses in object events (``event_files``).
     """
@@ -90,15 +97,30 @@ def stream_convert(
     return _start(files, _once(handle), checkpoint, available_now, interval)
 
 
+def _put(batch: DataFrame, store_path: str, whole_steps: bool, order_by: Sequence[str], grow: bool) -> None:
+    if whole_steps:
+        write_store(batch, store_path, grow=grow)
+    else:
+        write_merge(batch, store_path, order_by, grow=grow)
+
+
 def stream_upsert(
     stream: DataFrame,
     store_path: str,
     checkpoint: str,
     available_now: bool = False,
     interval: str = POLL_INTERVAL,
+    whole_steps: bool = False,
+    order_by: Sequence[str] = (),
+    grow: bool = True,
 ) -> StreamingQuery:
-    """Create, append or replace the time steps of each batch; a batch carries whole time steps."""
-    return _start(stream, _once(lambda batch: write_store(batch, store_path)), checkpoint, available_now, interval)
+    """Put the cells of each batch into the store, creating it if need be.
+
+    A time step may come in parts over several batches: cells are merged one by one (``write_merge``), the later one of a
+    cell counting, or the greater one in ``order_by``. With ``whole_steps`` a batch holds its time steps whole, and
+    they replace the stored ones with every cell.
+    """
+    return _start(stream, _once(lambda batch: _put(batch, store_path, whole_steps, order_by, grow)), checkpoint, available_now, interval)
 
 
 def stream_daily_stats(
@@ -109,17 +131,21 @@ def stream_daily_stats(
     variable: str = "sst",
     available_now: bool = False,
     interval: str = POLL_INTERVAL,
+    whole_steps: bool = False,
+    order_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """As :func:`stream_upsert`, keeping a table of daily statistics current.
 
-    Only the time steps of the batch are recomputed. The table is partitioned by year; running means
-    are computed when it is read.
+    Only the time steps of the batch are recomputed, from the store, so parts that came before count. The table is
+    partitioned by month; running means are computed when it is read.
     """
 
     def handle(batch: DataFrame) -> None:
-        write_store(batch, store_path)
-        stats = daily_stats(batch, variable).withColumn("year", F.year("time"))
-        write_store(stats, stats_path, Layout(partition="year"))
+        _put(batch, store_path, whole_steps, order_by, True)
+        steps = broadcast_if_small(batch.select("day", "time").distinct())
+        stored = touched(read_store(batch.sparkSession, store_path), steps).join(steps, ["day", "time"], "left_semi")
+        stats = daily_stats(stored, variable).withColumn("month", F.trunc("time", "month"))
+        write_store(stats, stats_path, Layout(partition="month"))
 
     return _start(stream, _once(handle), checkpoint, available_now, interval)
 
