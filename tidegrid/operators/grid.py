@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.model import KEY, VARIABLES
+from tidegrid.model import KEY, variables_of
 from tidegrid.operators.prefix import with_ordinal
 from tidegrid.session import broadcast_if_small, settle
 
@@ -29,9 +29,9 @@ def select_variables(df: DataFrame, variables: Sequence[str]) -> DataFrame:
 
 
 def all_floating(df: DataFrame, variables: Sequence[str] | None = None) -> bool:
-    """Is every variable of a floating type?"""
+    """Is every variable of a floating type? Told by the schema."""
     types = dict(df.dtypes)
-    return all(types[v] in ("float", "double") for v in (variables or [c for c in VARIABLES if c in types]))
+    return all(types[v] in ("float", "double") for v in (variables or variables_of(df)))
 
 
 def squeeze(df: DataFrame, axes: Sequence[str] | None = None) -> DataFrame:

@@ -7,21 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.model import VARIABLES
+from tidegrid.model import variables_of
 
 TARGET_CHUNK_BYTES = 100 * 1024 * 1024
-ITEM_SIZES = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8}
+ITEM_SIZES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "date": 8, "timestamp_ntz": 8}
 AXES = ["time", "zlev", "lat", "lon"]
 
 
-def profile_dataset(df: DataFrame, variables: Sequence[str] = VARIABLES, title: str | None = None) -> DataFrame:
+def variable_types(df: DataFrame, variables: Sequence[str] | None = None) -> DataFrame:
+    """``variable_no, variable, dtype`` of every variable of a grid, from its schema; no data is read."""
+    types = dict(df.dtypes)
+    present = [(i, v, types[v]) for i, v in enumerate(v for v in (variables or variables_of(df)) if v in types)]
+    return df.sparkSession.createDataFrame(present, "variable_no int, variable string, dtype string")
+
+
+def profile_dataset(df: DataFrame, variables: Sequence[str] | None = None, title: str | None = None) -> DataFrame:
     """One row per variable and axis: position and length of the axis, type and item size, title.
 
-    The axis lengths come from one pass over the key columns.
+    Without a list all variables count, whatever their type. The axis lengths come from one pass over the key columns.
+    A type without a fixed size has no item size.
     """
     types = dict(df.dtypes)
     axes = [a for a in AXES if a in types]
-    present = [v for v in variables if v in types]
+    present = [v for v in (variables or variables_of(df)) if v in types]
     lengths = df.agg(*[F.countDistinct(a).alias(a) for a in axes])
     entries = [
         F.struct(
@@ -41,8 +49,11 @@ def profile_dataset(df: DataFrame, variables: Sequence[str] = VARIABLES, title:
 
 
 def suggest_chunks(profile: DataFrame) -> DataFrame:
-    """Add ``chunk``: 1 along time, elsewhere the side of a square of 100 MiB, at most the axis."""
-    side = F.floor(F.sqrt(F.lit(TARGET_CHUNK_BYTES) / F.col("itemsize")))
+    """Add ``chunk``: 1 along time, elsewhere the side of a square of 100 MiB, at most the axis.
+
+    Where the item size is not known, values are taken for references of eight bytes.
+    """
+    side = F.floor(F.sqrt(F.lit(TARGET_CHUNK_BYTES) / F.coalesce("itemsize", F.lit(8))))
     return profile.withColumn(
         "chunk", F.when(F.col("axis") == "time", F.lit(1)).otherwise(F.least(side, "axis_size")).cast("bigint")
     )
@@ -53,14 +64,14 @@ def _floating():
 
 
 def floating_profile(profile: DataFrame) -> DataFrame:
-    """Is every variable of the profile of a floating type?"""
+    """Is every variable of a profile, or of :func:`variable_types`, of a floating type?"""
     return profile.agg(_floating().alias("all_floating"))
 
 
 def suggest_codec(profile: DataFrame) -> DataFrame:
     """Codec for the whole dataset: lz4 level 5 with bit shuffle when all variables are floating.
 
-    ``parquet_codec`` is the write option that comes closest; NULL codec fields mean no compression.
+    A profile or :func:`variable_types` tells the types. ``parquet_codec`` is the write option that comes closest; NULL codec fields mean no compression.
     """
     return floating_profile(profile).select(
         F.inline(F.array(_codec("all_floating"))),

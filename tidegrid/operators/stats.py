@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +11,7 @@ from tidegrid.functions.missing import is_missing, null_if_missing
 from tidegrid.functions.text import two_decimals
 from tidegrid.model import KEY
 from tidegrid.operators.prefix import block_of, with_ordinal, with_running_totals
-from tidegrid.session import broadcast_if_small
+from tidegrid.session import broadcast_if_small, settle
 
 
 def daily_stats(df: DataFrame, variable: str = "sst") -> DataFrame:
@@ -85,34 +83,53 @@ def running_mean(
     return summed.withColumn("running_mean", so_far).drop("_sum", "_valid")
 
 
-def running_components(
+def running_terms(
     daily: DataFrame, mean: str = "daily_mean", order_by: str = "time", unit: str = "°C"
 ) -> DataFrame:
-    """The daily means behind each running mean, as text ``Day 1: x + Day 2: y = z``.
+    """``<order_by>, day_number, term, total`` of each day: ``Day n: x`` and ``z``, what :func:`running_components` is made of.
 
-    The text of a day lists all days before it, so the output grows with the square of the number of
-    days; within that, a block's earlier days travel as one text and not as rows.
+    One short row a day, however many days there are.
     """
-    rows = running_mean(daily, mean, order_by).withColumns(
-        {
-            "_block": block_of(daily, order_by),
-            "_term": F.concat(F.lit("Day "), F.col("day_number"), F.lit(": "), two_decimals(mean), F.lit(unit)),
-        }
-    )
-    within = Window.partitionBy("_block").orderBy("day_number").rowsBetween(Window.unboundedPreceding, 0)
-    listed = rows.withColumn("_terms", F.array_join(F.collect_list("_term").over(within), " + "))
-    in_order = F.array_sort(F.collect_list(F.struct("day_number", "_term")))
-    blocks = rows.groupBy("_block").agg(F.array_join(F.transform(in_order, lambda x: x["_term"]), " + ").alias("_all"))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = blocks.select("_block", F.collect_list("_all").over(earlier).alias("_earlier"))
-    total = F.concat(F.lit(" = "), two_decimals("running_mean"), F.lit(unit))
-    terms = F.array_join(F.array_append("_earlier", F.col("_terms")), " + ")
-    joined = listed.join(before, "_block")
-    return joined.select(order_by, "day_number", F.concat(terms, total).alias("components"))
+    rows = running_mean(daily, mean, order_by)
+    term = F.concat(F.lit("Day "), F.col("day_number"), F.lit(": "), two_decimals(mean), F.lit(unit))
+    return rows.select(order_by, "day_number", term.alias("term"), F.concat(two_decimals("running_mean"), F.lit(unit)).alias("total"))
+
 
+def running_components(
+    daily: DataFrame, mean: str = "daily_mean", order_by: str = "time", unit: str = "°C", days: DataFrame | None = None
+) -> DataFrame:
+    """The daily means behind each running mean, as text ``Day 1: x + Day 2: y = z``, for ``days`` or for all days.
 
-def _draws(n: int, seed: int, key: Sequence[str]) -> list[Column]:
-    return [F.xxhash64(*key, F.lit(seed), F.lit(i)) for i in range(n)]
+    The text of a day lists all days before it, so asking for all days gives text that grows with the square of their
+    number; for ``days(<order_by>)`` it is one text for each. Terms are joined into the text of a block of days first, and
+    a day takes the texts of the blocks before its own, so what is joined to a day grows with the blocks.
+    """
+    terms = running_terms(daily, mean, order_by, unit).withColumn("_block", block_of(daily, order_by))
+    in_order = F.array_sort(F.collect_list(F.struct("day_number", "term")))
+
+    def text(entries: Column) -> Column:
+        return F.array_join(F.transform(entries, lambda x: x["term"]), " + ")
+
+    wanted = terms if days is None else terms.join(broadcast_if_small(days.select(order_by).distinct()), order_by, "left_semi")
+    blocks = settle(terms.groupBy("_block").agg(text(in_order).alias("_all"), in_order.alias("_entries")))
+    # The blocks before a day's own, one row for each, and its own one.
+    ends = F.array_sort(F.collect_set("_block"))
+    earlier = F.filter("_blocks", lambda b: b <= F.col("_block"))
+    needed = wanted.withColumn("_blocks", blocks.agg(ends.alias("_blocks")).scalar()).select("*", F.explode(earlier).alias("_part"))
+    parts = needed.join(blocks.withColumnRenamed("_block", "_part"), "_part")
+    own = F.filter("_entries", lambda x: x["day_number"] <= F.col("day_number"))
+    piece = F.when(F.col("_part") < F.col("_block"), F.col("_all")).otherwise(text(own))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("_part"), piece.alias("_text"))))
+    joined = parts.groupBy(order_by, "day_number", "total").agg(listed.alias("_parts"))
+    terms_text = F.array_join(F.transform("_parts", lambda x: x["_text"]), " + ")
+    return joined.select(order_by, "day_number", F.concat(terms_text, F.lit(" = "), F.col("total")).alias("components"))
+
+
+def _draw(key: Sequence[str], seed: int, number: int) -> Column:
+    """A number drawn for a cell: 60 bits of the MD5 of its key, the seed and the draw."""
+    texts = [F.date_format(k, "yyyy-MM-dd HH:mm:ss") if k == "time" else F.col(k).cast("string") for k in key]
+    digest = F.md5(F.concat_ws("|", *texts, F.lit(str(seed)), F.lit(str(number))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def sample_cells(
@@ -120,18 +137,16 @@ def sample_cells(
 ) -> DataFrame:
     """``n`` random cells per time step, drawn with replacement, the same ones for the same seed.
 
-    Draw ``i`` takes the cell whose seeded hash is smallest. The smallest hashes are plain partial
-    aggregates and the cells are then found by a join with one small row per time step, so no time
-    step is ever sorted or gathered.
+    Draw ``i`` takes the cell whose number is smallest. A step's smallest so far, with its cell, is all a task keeps of a draw, and
+    these combine, so the grid is read once and no time step is ever gathered.
     """
-    draws = _draws(n, seed, KEY)
-    smallest = df.groupBy("time").agg(*[F.min(d).alias(f"_smallest_{i}") for i, d in enumerate(draws)])
-    joined = df.join(broadcast_if_small(smallest), "time")
-    chosen = [d == F.col(f"_smallest_{i}") for i, d in enumerate(draws)]
-    hits = F.array(*[F.when(c, F.lit(i + 1)) for i, c in enumerate(chosen)])
-    some = joined.filter(functools.reduce(operator.or_, chosen))
-    picked = some.withColumn("draw", F.explode(F.array_compact(hits)))
-    return picked.select("time", "draw", *[c for c in columns if c in df.columns])
+    shown = [c for c in columns if c in df.columns]
+    entry = [F.col(c).alias(f"_{i}") for i, c in enumerate(shown)]
+    draws = [F.min(F.struct(_draw(KEY, seed, i).alias("_number"), *[F.col(k) for k in KEY if k != "time"], *entry)).alias(f"_draw_{i}") for i in range(1, n + 1)]
+    picked = df.groupBy("time").agg(*draws)
+    numbered = F.array(*[F.struct(F.lit(i).alias("draw"), F.col(f"_draw_{i}").alias("cell")) for i in range(1, n + 1)])
+    rows = picked.select("time", F.inline(numbered))
+    return rows.select("time", "draw", *[F.col(f"cell._{i}").alias(c) for i, c in enumerate(shown)])
 
 
 def sample_verifiers(df: DataFrame, n: int = 5, seed: int = 1) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 from tidegrid.functions.fingerprint import add_fingerprints, cell_fingerprint
 from tidegrid.functions.missing import as_column
 from tidegrid.model import HASHED, KEY, MAX_VERIFIERS
-from tidegrid.session import broadcast_if_small
+from tidegrid.session import broadcast_if_small, settle
+from tidegrid.sources.store import read_store, replace_partitions, touched
 
 
 def verify_fingerprints(store: DataFrame, algorithm: str = "blake3", name: str = "spatial_hash") -> DataFrame:
@@ -19,18 +22,80 @@ def verify_fingerprints(store: DataFrame, algorithm: str = "blake3", name: str =
     return checked.filter(~F.col(name).eqNullSafe(F.col("expected")))
 
 
-def equal_days(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Days on which two fingerprinted grids have the same cells, judged by a roll-up of each day.
+TILE = (72, 144)  # positions along latitude and longitude that one digest covers
+
 
-    A roll-up is the number of cells and two sums of 64-bit hashes over key and fingerprint; it combines
-    before the shuffle and leaves one row per day. Sums, unlike XOR, also tell repeated cells apart.
+def tile_digests(df: DataFrame, name: str = "fingerprint", tile: tuple[int, int] = TILE) -> DataFrame:
+    """``day, tile_i, tile_j, cells, h0, h1``: what a fingerprinted grid has in each tile of each day.
+
+    A digest is the number of cells and two sums of 64-bit hashes over key and fingerprint. Sums combine: before the
+    shuffle, and over tiles to the digest of a day. Unlike XOR they also tell repeated cells apart.
     """
+    hashes = [F.sum(F.xxhash64(*KEY, name, F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
+    tiled = df.select(F.to_date("time").alias("day"), *[F.floor(F.col(c) / size).cast("int").alias(t) for c, size, t in zip(("lat_idx", "lon_idx"), tile, ("tile_i", "tile_j"))], *KEY, name)
+    return tiled.groupBy("day", "tile_i", "tile_j").agg(F.count("*").alias("cells"), *hashes)
+
+
+def day_digests(tiles: DataFrame) -> DataFrame:
+    """The digests of whole days from those of their tiles."""
+    return tiles.groupBy("day").agg(*[F.sum(c).alias(c) for c in ("cells", "h0", "h1")])
+
+
+def _differing(first: DataFrame, second: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys under which two tables of digests differ, or which only one of them has."""
+    marked = [df.select(*on, F.struct(F.col("cells").cast("bigint"), "h0", "h1").alias(d)) for df, d in ((first, "_a"), (second, "_b"))]
+    both = first.select(*on).unionByName(second.select(*on)).distinct()
+    for df in marked:
+        same = [both[c].eqNullSafe(df[c]) for c in on]
+        both = both.join(df, functools.reduce(operator.and_, same), "left").select(*[both[c] for c in on], *[c for c in both.columns if c not in on], df[df.columns[-1]])
+    return both.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*on)
 
-    def rolled(df: DataFrame) -> DataFrame:
-        hashes = [F.sum(F.xxhash64(*KEY, "fingerprint", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
-        return df.groupBy(F.to_date("time").alias("day")).agg(F.count("*").alias("cells"), *hashes)
 
-    return rolled(first).join(rolled(second), ["day", "cells", "h0", "h1"], "left_semi").select("day")
+def differing_tiles(first: DataFrame, second: DataFrame) -> DataFrame:
+    """``day, tile_i, tile_j`` in which two grids differ, from their tile digests; equal days are left out first."""
+    days = broadcast_if_small(_differing(day_digests(first), day_digests(second), ["day"]))
+    kept = [df.join(days, df["day"].eqNullSafe(days["day"]), "left_semi") for df in (first, second)]
+    return _differing(*kept, ["day", "tile_i", "tile_j"])
+
+
+def compare_by_tiles(
+    store: DataFrame,
+    source: DataFrame,
+    digests: DataFrame | None = None,
+    algorithm: str = "blake3",
+    name: str = "spatial_hash",
+    tile: tuple[int, int] = TILE,
+) -> DataFrame:
+    """As :func:`compare_fingerprints`, looking at cells only in the tiles whose digests differ.
+
+    ``digests`` are the ``tile_digests`` of the store if they are kept somewhere; then of the store only the days and rows
+    are read that differ. A difference goes unseen only if two 64-bit sums collide at once.
+    """
+    kept = store.select(*[c for c in ("day",) if c in store.columns], *KEY, F.col(name).alias("fingerprint"))
+    fresh = add_fingerprints(source, algorithm, "fingerprint")
+    found = settle(differing_tiles(tile_digests(kept, tile=tile) if digests is None else digests, tile_digests(fresh, tile=tile)))
+
+    def inside(df: DataFrame) -> DataFrame:
+        if "day" in df.columns:
+            df = touched(df, found)
+        ends = found.agg(*[f(t).alias(f"{f.__name__}_{t}") for t in ("tile_i", "tile_j") for f in (F.min, F.max)]).first()
+        for c, t, size in zip(("lat_idx", "lon_idx"), ("tile_i", "tile_j"), tile):
+            low, high = ends[f"min_{t}"], ends[f"max_{t}"]
+            if low is not None:
+                df = df.filter(F.col(c).isNull() | F.col(c).between(low * size, high * size + size - 1))
+        tiles = broadcast_if_small(found)
+        same = F.to_date(df["time"]).eqNullSafe(tiles["day"])
+        for c, t, size in zip(("lat_idx", "lon_idx"), ("tile_i", "tile_j"), tile):
+            same = same & F.floor(df[c] / size).cast("int").eqNullSafe(tiles[t])
+        return df.join(tiles, same, "left_semi")
+
+    return _compared(inside(kept).select(*KEY, "fingerprint"), inside(fresh).select(*KEY, "fingerprint"))
+
+
+def equal_days(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Days on which two fingerprinted grids have the same cells, judged by a digest of each day."""
+    a, b = day_digests(tile_digests(first)), day_digests(tile_digests(second))
+    return a.join(b, ["day", "cells", "h0", "h1"], "left_semi").select("day")
 
 
 def compare_fingerprints(
@@ -51,6 +116,11 @@ def compare_fingerprints(
     if skip_equal_days:
         same = broadcast_if_small(equal_days(kept, fresh))
         kept, fresh = (df.join(same, F.to_date("time") == same["day"], "left_anti") for df in (kept, fresh))
+    return _compared(kept, fresh)
+
+
+def _compared(kept: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The cells in which two grids ``KEY, fingerprint`` differ, with a ``status``."""
     kept = kept.withColumnRenamed("fingerprint", "stored").withColumn("_stored", F.lit(True))
     fresh = fresh.withColumnRenamed("fingerprint", "expected").withColumn("_source", F.lit(True))
     joined = kept.join(fresh, KEY, "full_outer")
@@ -117,6 +187,17 @@ def append_verifier(
     return df.join(added, list(on), "left").withColumn(name, padded).drop("_added")
 
 
+def append_verifier_to_store(keys: DataFrame, path: str, order_by: str = "seq", slots: int = MAX_VERIFIERS) -> None:
+    """:func:`append_verifier` on the store at ``path``: only the days that have keys are read and written.
+
+    The days are literals in the plan, so the cost follows them and not the size of the store. Safe to run again.
+    """
+    keys = settle(keys)
+    store = read_store(keys.sparkSession, path)
+    days = touched(store, keys.select(F.to_date("time").alias("day")))
+    replace_partitions(append_verifier(days, keys, order_by, slots=slots).select(store.columns), path)
+
+
 def verifier_status(
     df: DataFrame,
     keys: DataFrame,
