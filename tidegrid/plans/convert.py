@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrid.functions.fingerprint import add_fingerprints
 from tidegrid.functions.text import format_stat
-from tidegrid.functions.times import format_day, instant_to_utc
+from tidegrid.functions.times import format_day
 from tidegrid.operators.stats import daily_stats, running_components, running_mean
 from tidegrid.operators.verify import add_verifiers
 from tidegrid.session import settle
 from tidegrid.sources.events import dedup_events, filter_object_events, parse_object_events
 from tidegrid.sources.files import (
     Decoder,
+    Opener,
     binary_files,
+    file_facts,
+    in_bins,
     ingest_with_status,
-    modified_since,
+    read_whole,
     with_file_time,
 )
-from tidegrid.sources.listing import advance_mark, read_mark, stored_marks, write_mark
-from tidegrid.sources.store import Layout, write_store
-
-FILES_AT_ONCE = 1000
+from tidegrid.sources.listing import ATTEMPTS, list_objects, poll_work, work_list
+from tidegrid.sources.store import Layout, refresh_summary, write_overwrite, write_store
 
 
 def convert_files(
@@ -35,16 +35,30 @@ def convert_files(
     name: Column | None = None,
     on_error: str = "continue",
     algorithm: str = "blake3",
+    extra: T.StructType | str | int = 1,
+    opener: Opener = read_whole,
+    new_store: bool = False,
+    summary_path: str | None = None,
 ) -> DataFrame:
     """Decode files, fingerprint every cell, add empty verifier lists, and upsert the days.
 
-    ``files`` has ``path, modificationTime, content``. Returns the status of each file. Each day sits
-    in the task that decoded it, so nothing is shuffled on the way to the store.
+    ``files`` has ``path, modificationTime`` and either ``content`` or nothing more, then each task opens the files it
+    decodes. Returns the status of each file. Each day sits in the task that decoded it, so nothing is shuffled on the way to
+    the store. All variables are kept, and a store grows by those it did not have. ``new_store`` puts a new store in the
+    place of any old one; the table at ``summary_path`` is brought up to date for the days that were written.
     """
-    ingested = ingest_with_status(with_file_time(files, suffix, name), decode, on_error)
+    ingested = ingest_with_status(with_file_time(files, suffix, name), decode, on_error, extra, opener)
     try:
-        write_store(add_verifiers(add_fingerprints(ingested.grid, algorithm)), store_path, Layout(gather=False))
-        return settle(ingested.status)
+        cells, layout = add_verifiers(add_fingerprints(ingested.grid, algorithm)), Layout(gather=False)
+        if new_store:
+            write_overwrite(cells, store_path, layout)
+        else:
+            write_store(cells, store_path, layout, grow=True)
+        status = settle(ingested.status)
+        if summary_path is not None:
+            days = status.filter("status = 'ok'").select(F.to_date("file_time").alias("day")).distinct()
+            refresh_summary(status.sparkSession, store_path, summary_path, None if new_store else days)
+        return status
     finally:
         ingested.release()
 
@@ -54,18 +68,21 @@ def convert_paths(spark: SparkSession, paths, store_path: str, decode: Decoder,
     return convert_files(binary_files(spark, paths, glob), store_path, decode, **options)
 
 
-def convert_listed(files: DataFrame, store_path: str, status_path: str, decode: Decoder, **options) -> None:
-    """Convert the files named in ``path`` and append their statuses to a table.
+def convert_listed(files: DataFrame, store_path: str, status_path: str, decode: Decoder, **options) -> DataFrame:
+    """Convert the files named in ``path`` and keep their statuses in a table; the statuses.
 
-    Names pass through the driver in slices of ``FILES_AT_ONCE``, oldest files first where their dates
-    are known; contents never do.
+    Names are dealt out by the bytes behind them and opened by the tasks that decode them; no name passes through the
+    driver. The statuses of a set of file versions are a partition of the table of their own, so the same set again, e.g. a
+    batch that is run once more, replaces them.
     """
-    spark = files.sparkSession
-    order = [c for c in ("modificationTime", "event_time") if c in files.columns]
-    names = files.orderBy(*order, "path").select("path").toLocalIterator()
-    for paths in itertools.batched((row.path for row in names), FILES_AT_ONCE):
-        contents = spark.read.format("binaryFile").load(list(paths))
-        convert_files(contents, store_path, decode, **options).write.mode("append").parquet(status_path)
+    known = {"path", "modificationTime", "length"} <= set(files.columns)
+    listed = settle(files.select("path", "modificationTime", "length").distinct() if known else file_facts(files))
+    status = convert_files(in_bins(listed), store_path, decode, **options)
+    versions = F.sum(F.xxhash64("path", "modificationTime").cast("decimal(38,0)")).cast("string")
+    batch = listed.agg(F.concat_ws("_", F.count("*"), versions).alias("batch")).first().batch
+    kept = status.withColumn("batch", F.lit(batch))
+    kept.write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(status_path)
+    return status
 
 
 def event_files(documents: DataFrame, json: str = "json", suffix: str = ".nc", on_error: str = "raise") -> DataFrame:
@@ -82,18 +99,35 @@ def poll_convert(
     decode: Decoder,
     start: str | None = None,
     glob: str = "*.nc",
+    attempts: int = ATTEMPTS,
     **options,
 ) -> DataFrame:
-    """One poll: convert the files modified since the stored mark and move the mark.
+    """One poll: convert the files modified since the stored mark that are not done yet, and move the mark.
 
-    The mark stops at the earliest file that failed, so that a later poll lists it again.
+    The mark moves with every poll. A file that failed is in the work list beside the marks and tried again by
+    later polls, ``attempts`` times in all; one that is done is not decoded again. Returns the statuses of the files of
+    this poll.
     """
-    mark = settle(read_mark(stored_marks(spark, state_path), start))
-    files = modified_since(binary_files(spark, path, glob), mark)
-    status = convert_files(files, store_path, decode, **options)
-    outcome = status.select(instant_to_utc("modificationTime").alias("last_modified"), (F.col("status") != "failed").alias("ok"))
-    write_mark(advance_mark(outcome, mark), state_path, mark)
-    return status
+    listing = list_objects(spark, path, glob)
+    suffix, name = options.get("suffix", ""), options.get("name")
+    statuses = []
+
+    def versions(files: DataFrame) -> DataFrame:
+        modified = F.to_timestamp_ltz(F.concat("last_modified", F.lit("+00:00"))).alias("modificationTime")
+        return with_file_time(files.select(F.col("key").alias("path"), modified, *[c for c in ("size",) if c in files.columns]), suffix, name)
+
+    def handle(files: DataFrame) -> DataFrame:
+        due = settle(versions(files).withColumnRenamed("size", "length"))
+        # A file that is tried again must not replace a later file of its time step that is done.
+        done = versions(work_list(spark, state_path).filter("state = 'done'")).groupBy("file_time").agg(F.max(F.struct("modificationTime", "path")).alias("_done"))
+        late = settle(due.join(done, "file_time").filter(F.struct("modificationTime", "path") < F.col("_done")).select(*due.columns))
+        status = convert_files(in_bins(due.join(late, "path", "left_anti").drop("file_time")), store_path, decode, **options)
+        left_out = late.select("path", "modificationTime", "file_time", F.lit("superseded").alias("status"))
+        statuses.append(status.unionByName(left_out, allowMissingColumns=True))
+        return statuses[0].select(F.col("path").alias("key"), (F.col("status") != "failed").alias("ok"))
+
+    poll_work(spark, listing, state_path, handle, start, suffix=None, attempts=attempts)
+    return statuses[0]
 
 
 def analyse(store: DataFrame, variable: str = "sst", sticky_nan: bool = False) -> DataFrame:

@@ -11,13 +11,14 @@ from tidegrid.model import KEY
 
 
 def grid_observations(
-    lineitem: DataFrame, step: str = "day", n_lat: int = 720, n_lon: int = 1440, levels: int = 1
+    lineitem: DataFrame, step: str = "day", n_lat: int = 720, n_lon: int = 1440, levels: int = 1, further: bool = False
 ) -> DataFrame:
     """Line items as observations on a global grid.
 
     The time step is noon of the shipping day (or of the first of its month), supplier and part number
     choose the position. A diagonal pattern of cells has no sst, err and anom, and ice is missing where
     it is low, as in real fields. Values are 32-bit, so sums of them in 64 bits are exact in any order.
+    ``further`` adds two variables of other types, the text ``flag`` and the whole number ``items``.
     """
     shipped = F.to_date("l_shipdate")
     cells = lineitem.select(
@@ -29,12 +30,15 @@ def grid_observations(
         "l_extendedprice",
         "l_discount",
         "l_tax",
+        "l_returnflag",
     )
+    more = [F.max("l_returnflag").alias("flag"), F.count("*").cast("int").alias("items")] if further else []
     binned = cells.groupBy(*KEY).agg(
         F.max("l_quantity").cast("float").alias("sst"),
         F.min("l_extendedprice").cast("float").alias("anom"),
         F.min("l_discount").cast("float").alias("err"),
         F.max("l_tax").cast("float").alias("ice"),
+        *more,
     )
     nan = F.lit(float("nan")).cast("float")
     land = (F.col("lat_idx") + F.col("lon_idx")) % 5 == 0
@@ -48,6 +52,7 @@ def grid_observations(
         F.when(land, nan).otherwise(F.col("anom")).alias("anom"),
         F.when(land, nan).otherwise(F.col("err")).alias("err"),
         F.when(F.col("ice") <= F.lit(0.04).cast("float"), nan).otherwise(F.col("ice")).alias("ice"),
+        *(["flag", "items"] if further else []),
     )
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from tidegrid.plans.blake3_sql import blake3_ctes
+
 VALUES = ("sst", "anom", "err", "ice")
 KEY = "time, zlev, lat_idx, lon_idx"
 
 
-def grid_sql(step: str = "day", n_lat: int = 720, n_lon: int = 1440, levels: int = 1) -> str:
+def grid_sql(step: str = "day", n_lat: int = 720, n_lon: int = 1440, levels: int = 1, further: bool = False) -> str:
+    counted = ", max(l_returnflag) AS flag, CAST(count(*) AS INTEGER) AS items" if further else ""
+    more = ", flag, items" if further else ""
     lat_step, lon_step = 180.0 / n_lat, 360.0 / n_lon
     return f"""
     binned AS (
@@ -15,7 +19,7 @@ def grid_sql(step: str = "day", n_lat: int = 720, n_lon: int = 1440, levels: int
                CAST(l_suppkey % {n_lat} AS INTEGER) AS lat_idx,
                CAST(l_partkey % {n_lon} AS INTEGER) AS lon_idx,
                CAST(max(l_quantity) AS FLOAT) AS sst, CAST(min(l_extendedprice) AS FLOAT) AS anom,
-               CAST(min(l_discount) AS FLOAT) AS err, CAST(max(l_tax) AS FLOAT) AS ice
+               CAST(min(l_discount) AS FLOAT) AS err, CAST(max(l_tax) AS FLOAT) AS ice{counted}
         FROM lineitem GROUP BY 1, 2, 3, 4
     ),
     grid AS (
@@ -25,12 +29,13 @@ def grid_sql(step: str = "day", n_lat: int = 720, n_lon: int = 1440, levels: int
                CASE WHEN (lat_idx + lon_idx) % 5 <> 0 THEN CAST(sst AS DOUBLE) END AS sst,
                CASE WHEN (lat_idx + lon_idx) % 5 <> 0 THEN CAST(anom AS DOUBLE) END AS anom,
                CASE WHEN (lat_idx + lon_idx) % 5 <> 0 THEN CAST(err AS DOUBLE) END AS err,
-               CASE WHEN ice > CAST(0.04 AS FLOAT) THEN CAST(ice AS DOUBLE) END AS ice
+               CASE WHEN ice > CAST(0.04 AS FLOAT) THEN CAST(ice AS DOUBLE) END AS ice{more}
         FROM binned
     )"""
 
 
 DAILY, MONTHLY = grid_sql(), grid_sql("month")
+FURTHER, FURTHER_MONTHLY = grid_sql(further=True), grid_sql("month", further=True)
 COARSE, COARSE_MONTHLY = grid_sql(n_lat=12, n_lon=16), grid_sql("month", 12, 16)
 
 
@@ -82,6 +87,22 @@ def filled(column: str) -> str:
 CELL_HASH = fingerprint("lat", "lon", *[filled(c) for c in ("sst", "err", "ice", "anom")])
 
 
+MEASURED = ("lat", "lon", *[filled(c) for c in ("sst", "err", "ice", "anom")])
+
+
+def blake3_of(source: str = "grid", keep: str = KEY, name: str = "hashed") -> str:
+    return blake3_ctes(source, MEASURED, keep, name)
+
+
+def drawn(count: int, seed: int) -> str:
+    """The position of the cell of each draw: the smallest of 60 bits of MD5."""
+    text = f"concat_ws('|', strftime(time, '%Y-%m-%d %H:%M:%S'), zlev, lat_idx, lon_idx, {seed}, draw)"
+    return f"""drawn AS (
+        SELECT time, CAST(draw AS INTEGER) AS draw, row_number() OVER (PARTITION BY time, draw ORDER BY CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT), zlev, lat_idx, lon_idx) AS place,
+            zlev, lat_idx, lon_idx, lat, lon, sst, anom, err, ice
+        FROM grid CROSS JOIN range(1, {count + 1}) AS r(draw) QUALIFY place = 1)"""
+
+
 def cents(value: str) -> str:
     """Two decimals as text from whole hundredths."""
     hundredths = f"CAST(round({value} * 100) AS BIGINT)"
@@ -126,6 +147,14 @@ def _layout() -> str:
     )
 
 
+# Whether all variables of a grid are floating, for one without and one with variables of other types.
+SCHEMAS = f"""{FURTHER},
+    kinds AS (SELECT typeof(any_value(sst)) AS a, typeof(any_value(anom)) AS b, typeof(any_value(err)) AS c,
+                     typeof(any_value(ice)) AS d, typeof(any_value(flag)) AS e, typeof(any_value(items)) AS f FROM grid),
+    listed AS (SELECT 'plain' AS grid, unnest([a, b, c, d]) AS kind FROM kinds
+               UNION ALL SELECT 'further', unnest([a, b, c, d, e, f]) FROM kinds),
+    floating AS (SELECT grid, bool_and(kind IN ('FLOAT', 'DOUBLE')) AS all_floating FROM listed GROUP BY grid)"""
+
 EVERY_FILE = "SELECT DISTINCT time AS file_time FROM grid"
 
 ORACLES = {
@@ -156,10 +185,30 @@ ORACLES = {
             min(lat_idx) AS first_lat_idx, max(lat_idx) AS last_lat_idx,
             min(lon_idx) AS first_lon_idx, max(lon_idx) AS last_lon_idx,
             min(sst) AS min_value, max(sst) AS max_value,
-            bit_xor(CAST('0x' || substr({CELL_HASH}, 1, 15) AS BIGINT)) AS checksum
+            CAST(sum(CAST('0x' || substr({CELL_HASH}, 1, 15) AS BIGINT)) AS VARCHAR) AS checksum
             FROM grid GROUP BY 1""",
         MONTHLY,
     ),
+    "catalogue_has_time": from_grid(
+        """SELECT DISTINCT CAST(o_orderdate AS DATE)::TIMESTAMP + INTERVAL 12 HOUR AS time FROM orders
+           WHERE CAST(o_orderdate AS DATE)::TIMESTAMP + INTERVAL 12 HOUR IN (SELECT time FROM grid)""",
+        MONTHLY,
+    ),
+    "ingest_all_variables": from_grid(f"SELECT {KEY}, sst, flag, CAST(items AS BIGINT) AS items, time AS source_time FROM grid", FURTHER_MONTHLY),
+    "poll_convert": from_grid(
+        """SELECT time AS file_time, CASE WHEN month(time) = 12 THEN 2 ELSE 1 END AS attempts,
+            CASE WHEN month(time) = 12 THEN 'failed' ELSE 'done' END AS state,
+            CAST(CASE WHEN month(time) = 12 THEN 2 ELSE 1 END AS BIGINT) AS polls,
+            CASE WHEN month(time) <> 12 THEN count(*) END AS cells, CASE WHEN month(time) <> 12 THEN sum(sst) END AS sum_sst
+            FROM grid GROUP BY time""",
+        MONTHLY,
+    ),
+    "merge_versions": from_grid(
+        f"""SELECT {KEY}, sst + CASE WHEN lat_idx % 3 = 0 THEN 2 WHEN lat_idx % 2 = 0 OR lat_idx % 5 > 0 THEN 1 ELSE 0 END AS sst,
+            CASE WHEN lat_idx % 3 = 0 THEN 2 WHEN lat_idx % 2 = 0 OR lat_idx % 5 > 0 THEN 1 ELSE 0 END AS version
+            FROM grid WHERE lat_idx % 3 = 0 OR lat_idx % 2 = 0 OR lat_idx % 5 > 0 OR lat_idx % 7 = 0""",
+        MONTHLY,
+    ),
     "write_profile": _layout(),
     "ingest_with_status": from_grid(
         """SELECT time AS file_time, CASE WHEN month(time) = 12 THEN 'failed' ELSE 'ok' END AS status,
@@ -192,7 +241,7 @@ ORACLES = {
     "fill_sentinel": from_grid(
         f"SELECT {KEY}, " + ", ".join(f"{filled(v)} AS {v}" for v in VALUES) + " FROM grid"
     ),
-    "all_floating": "SELECT true AS all_floating FROM (SELECT count(*) FROM lineitem) AS t",
+    "all_floating": f"WITH {SCHEMAS} SELECT grid, all_floating FROM floating",
     "squeeze": from_grid("SELECT time, lat_idx, lon_idx, lat, lon, sst FROM grid"),
     "build_grid": from_grid(
         """, lats AS (SELECT lat, row_number() OVER (ORDER BY lat) - 1 AS lat_idx FROM (SELECT DISTINCT lat FROM grid) AS a),
@@ -239,6 +288,24 @@ ORACLES = {
         SELECT {KEY}, CASE WHEN b.h IS NULL THEN 'missing' WHEN a.h IS NULL THEN 'extra' ELSE 'changed' END AS status
         FROM a FULL OUTER JOIN b USING ({KEY}) WHERE a.h IS DISTINCT FROM b.h"""
     ),
+    "compare_by_tiles": from_grid(
+        """, source AS (SELECT * FROM grid WHERE NOT (year(time) = 1996 AND lon_idx = 9)),
+        store AS (SELECT * EXCLUDE (sst), CASE WHEN lat_idx < 30 AND month(time) = 5 THEN sst + 1 ELSE sst END AS sst
+                  FROM grid WHERE NOT (year(time) = 1995 AND lon_idx = 7))
+        SELECT time, zlev, lat_idx, lon_idx, CASE WHEN b.lat IS NULL THEN 'missing' WHEN a.lat IS NULL THEN 'extra' ELSE 'changed' END AS status
+        FROM source a FULL OUTER JOIN store b USING (time, zlev, lat_idx, lon_idx)
+        WHERE a.lat IS NULL OR b.lat IS NULL OR a.sst IS DISTINCT FROM b.sst"""
+    ),
+    "tile_digests": from_grid(
+        f"""SELECT {DAY_TEXT} AS day, CAST(lat_idx // 72 AS INTEGER) AS tile_i, CAST(lon_idx // 144 AS INTEGER) AS tile_j, count(*) AS cells
+            FROM grid GROUP BY 1, 2, 3"""
+    ),
+    "add_fingerprints": from_grid(f", {blake3_of()} SELECT {KEY}, digest AS spatial_hash FROM hashed"),
+    "sample_cells": from_grid(
+        f""", {drawn(5, 0)}, {blake3_of("drawn", "time, draw, lat, lon, sst")}
+        SELECT time, draw, lat, lon, sst, digest AS spatial_hash FROM hashed"""
+    ),
+    "sample_verifiers": from_grid(f", {drawn(5, 1)} SELECT time, draw, lat, lon, ',,,,,,,,,' AS verifier_pubkeys FROM drawn"),
     "daily_stats": from_grid(f", {DAILY_MEANS} SELECT * FROM daily"),
     "dataset_overview": from_grid(
         """SELECT min(time) AS first_time, max(time) AS last_time, count(DISTINCT time) AS time_steps,
@@ -269,6 +336,26 @@ ORACLES = {
         FROM listed""",
         MONTHLY,
     ),
+    "running_terms": from_grid(
+        f""", {DAILY_MEANS},
+        numbered AS (SELECT time, daily_mean, row_number() OVER (ORDER BY time) AS day_number,
+                            avg(daily_mean) OVER (ORDER BY time ROWS UNBOUNDED PRECEDING) AS mean FROM daily)
+        SELECT time, day_number, 'Day ' || day_number || ': ' || coalesce({cents('daily_mean')}, 'nan') || '°C' AS term,
+            coalesce({cents('mean')}, 'nan') || '°C' AS total FROM numbered"""
+    ),
+    "components_of_days": from_grid(
+        f""", {DAILY_MEANS},
+        numbered AS (SELECT time, daily_mean, row_number() OVER (ORDER BY time) AS day_number,
+                            avg(daily_mean) OVER (ORDER BY time ROWS UNBOUNDED PRECEDING) AS mean FROM daily),
+        terms AS (SELECT *, 'Day ' || day_number || ': ' || coalesce({cents('daily_mean')}, 'nan') || '°C' AS term FROM numbered),
+        wanted AS (SELECT min(time) AS time FROM daily GROUP BY date_trunc('quarter', time)),
+        texts AS (
+            SELECT w.time, max(t.day_number) AS day_number, string_agg(t.term, ' + ' ORDER BY t.time) AS listed
+            FROM wanted w JOIN terms t ON t.time <= w.time GROUP BY w.time),
+        shown AS (SELECT texts.time, texts.day_number, listed || ' = ' || coalesce({cents('mean')}, 'nan') || '°C' AS components
+                  FROM texts JOIN numbered USING (time))
+        SELECT time, day_number, CAST(length(components) AS INTEGER) AS chars, sha256(components) AS sha256 FROM shown"""
+    ),
     "sort_by_time": from_grid(f"SELECT {KEY}, sst FROM grid"),
     "first_last_time": from_grid("SELECT max(time) AS first_time, min(time) AS last_time FROM grid"),
     "concat_time": from_grid(
@@ -338,6 +425,20 @@ ORACLES = {
         FROM grid JOIN lists USING (time, lat_idx, lon_idx)""",
         COARSE_MONTHLY,
     ),
+    "append_verifier_to_store": from_grid(
+        f""", firsts AS (
+            SELECT date_trunc('month', l_shipdate)::TIMESTAMP + INTERVAL 12 HOUR AS time,
+                CAST(l_suppkey % 12 AS INTEGER) AS lat_idx, CAST(l_partkey % 16 AS INTEGER) AS lon_idx,
+                'key-' || (l_orderkey % 50) AS pubkey, min(l_orderkey) AS seq
+            FROM lineitem WHERE year(l_shipdate) = 1996 GROUP BY 1, 2, 3, 4),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY time, lat_idx, lon_idx ORDER BY seq, pubkey) AS rank FROM firsts),
+        lists AS (
+            SELECT time, lat_idx, lon_idx, list(pubkey ORDER BY rank) AS keys FROM ranked WHERE rank <= 10 GROUP BY 1, 2, 3)
+        SELECT {KEY}, coalesce(array_to_string(keys, ',') || repeat(',', 10 - len(keys)), ',,,,,,,,,') AS verifier_pubkeys
+        FROM grid LEFT JOIN lists USING (time, lat_idx, lon_idx)""",
+        COARSE_MONTHLY,
+    ),
     "format_stat": from_grid(
         f""", {DAILY_MEANS}, texts AS (
             SELECT time, coalesce({cents('daily_mean')}, 'nan') AS m, coalesce({cents('daily_max')}, 'nan') || '°C' AS x FROM daily)
@@ -369,13 +470,25 @@ ORACLES = {
     "profile_dataset": from_grid(
         f", {AXES} SELECT variable, axis, n AS axis_size, 'float' AS dtype, 4 AS itemsize FROM axes CROSS JOIN {VARIABLES}"
     ),
-    "suggest_codec": """SELECT 'blosc' AS id, 'lz4' AS cname, 5 AS clevel, 2 AS shuffle, 'lz4_raw' AS parquet_codec
-        FROM (SELECT count(*) FROM lineitem) AS t""",
+    "suggest_codec": f"""WITH {SCHEMAS}
+        SELECT grid, CASE WHEN all_floating THEN 'blosc' END AS id, CASE WHEN all_floating THEN 'lz4' END AS cname,
+            CASE WHEN all_floating THEN 5 END AS clevel, CASE WHEN all_floating THEN 2 END AS shuffle,
+            CASE WHEN all_floating THEN 'lz4_raw' ELSE 'none' END AS parquet_codec FROM floating""",
+    "profile_all_variables": from_grid(
+        f""", {AXES}, typed AS (
+            SELECT variable, CASE kind WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE 'float' END AS dtype
+            FROM (SELECT unnest(['sst', 'anom', 'err', 'ice', 'flag', 'items']) AS variable,
+                         unnest([typeof(any_value(sst)), typeof(any_value(anom)), typeof(any_value(err)), typeof(any_value(ice)),
+                                 typeof(any_value(flag)), typeof(any_value(items))]) AS kind FROM grid) AS t)
+        SELECT variable, axis, n AS axis_size, dtype, CASE WHEN dtype <> 'string' THEN 4 END AS itemsize,
+            CASE WHEN axis = 'time' THEN 1 WHEN dtype = 'string' THEN least(3620, n) ELSE least(5120, n) END AS chunk
+        FROM typed CROSS JOIN axes""",
+        FURTHER,
+    ),
     "suggest_layout": _layout(),
     "stream_files": from_grid(EVERY_FILE, MONTHLY),
     "stream_convert": from_grid(
-        f"""SELECT {KEY}, sst, {CELL_HASH} AS spatial_hash, ',,,,,,,,,' AS verifier_pubkeys
-            FROM grid""",
+        f""", {blake3_of(keep=f"{KEY}, sst")} SELECT {KEY}, sst, digest AS spatial_hash, ',,,,,,,,,' AS verifier_pubkeys FROM hashed""",
         MONTHLY,
     ),
     "stream_upsert": from_grid(ALL_VALUES, MONTHLY),

@@ -22,6 +22,7 @@ from tidegrid.operators import grid as g
 from tidegrid.operators import layout, stats, tiles, verify
 from tidegrid.operators.cellwise import apply_cellwise
 from tidegrid.plans.convert import analyse
+from tidegrid.plans.convert import poll_convert as convert_poll
 from tidegrid.plans.gridding import file_name, grid_observations
 from tidegrid.session import scratch_path, settle
 from tidegrid.sources import events as ev
@@ -109,6 +110,12 @@ def day_files(spark, sf_dir, path: str) -> None:
     ).parquet(path)
 
 
+def further_files(spark, sf_dir, path: str) -> None:
+    """As ``day_files``, with two variables more."""
+    grid = monthly_grid(spark, sf_dir, further=True).withColumn("file", file_name())
+    grid.drop("day").withColumnRenamed("time", "source_time").repartition("file").write.partitionBy("file").parquet(path)
+
+
 def folder_name():
     return F.element_at(F.split("path", "/"), -2)
 
@@ -213,14 +220,27 @@ def write_overwrite(spark, sf_dir):
     return wide(st.read_store(spark, path))
 
 
+def _summarized(spark, sf_dir) -> str:
+    """A store written in two parts, its summary kept up to date with each."""
+    path, summary = scratch_path(spark, "store"), scratch_path(spark, "summary")
+    cells = conform(add_fingerprints(monthly_grid(spark, sf_dir), "sha256"))
+    st.write_create(cells.filter("year(day) < 1998"), path)
+    st.refresh_summary(spark, path, summary)
+    later = cells.filter("year(day) >= 1998")
+    st.write_store(later, path)
+    st.refresh_summary(spark, path, summary, later.select("day").distinct())
+    return summary
+
+
 def store_summary(spark, sf_dir):
-    path = scratch_path(spark, "store")
-    st.write_create(conform(add_fingerprints(monthly_grid(spark, sf_dir), "sha256")), path)
-    summary = scratch_path(spark, "summary")
-    st.write_summary(st.read_store(spark, path), summary)
-    return spark.read.parquet(summary).withColumns(
-        {"day": iso_day("day"), "min_value": F.col("min_value").cast("double"), "max_value": F.col("max_value").cast("double")}
-    )
+    rows = st.read_store(spark, _summarized(spark, sf_dir)).drop("month", "times")
+    doubles = {c: F.col(c).cast("double") for c in ("min_value", "max_value")}
+    return rows.withColumns({"day": iso_day("day"), "checksum": F.col("checksum").cast("string"), **doubles})
+
+
+def catalogue_has_time(spark, sf_dir):
+    summary = st.read_store(spark, _summarized(spark, sf_dir))
+    return st.has_time(_order_times(spark, sf_dir), st.stored_times(summary))
 
 
 def write_profile(spark, sf_dir):
@@ -249,6 +269,36 @@ def ingest_with_status(spark, sf_dir):
     return result
 
 
+def ingest_all_variables(spark, sf_dir):
+    """Variables the schema does not name, and the file's own time, from files through a store that did not have them."""
+    folder, path = scratch_path(spark, "files"), scratch_path(spark, "store")
+    further_files(spark, sf_dir, folder)
+    found = fs.with_file_time(fs.binary_files(spark, folder, "*.parquet"), name=folder_name())
+    cells = conform(fs.decoded_cells(fs.decode_files(found, decode_parquet, "raise", 3)))
+    st.write_create(conform(monthly_grid(spark, sf_dir)).filter("year(day) = 1997"), path)
+    st.write_store(cells, path, grow=True)
+    stored = st.read_store(spark, path).withColumn("items", F.col("items").cast("bigint"))
+    return wide(stored, "sst", "flag", "items", "source_time")
+
+
+def poll_convert(spark, sf_dir):
+    """Two polls of a folder in which the files of each December cannot be read, and what the work list has then."""
+    folder, store, state = scratch_path(spark, "files"), scratch_path(spark, "store"), scratch_path(spark, "marks")
+    day_files(spark, sf_dir, folder)
+    decoded = []
+    for _ in range(2):
+        status = convert_poll(spark, folder, store, state, decode_but_december, glob="*.parquet", name=folder_name(), algorithm="sha256")
+        decoded.append(status.select("file_time", F.lit(1).alias("_times")))
+    rows = st.read_store(spark, store).groupBy("time").agg(F.count("*").alias("cells"), F.sum(F.col("sst").cast("double")).alias("sum_sst"))
+    work = ls.work_list(spark, state).groupBy(F.element_at(F.split("key", "/"), -2).alias("folder")).agg(
+        F.max("attempt").alias("attempts"), F.max_by("state", "attempt").alias("state")
+    )
+    work = work.withColumn("file_time", names.noon_of(names.file_date("folder")))
+    times = decoded[0].unionByName(decoded[1]).groupBy("file_time").agg(F.sum("_times").alias("polls"))
+    joined_rows = work.join(times, "file_time").join(rows, F.col("file_time") == F.col("time"), "left")
+    return joined_rows.select("file_time", "attempts", "state", "polls", "cells", "sum_sst")
+
+
 # --- projections, filters, predicates --------------------------------------------------------------
 
 
@@ -300,8 +350,18 @@ def fill_sentinel_query(spark, sf_dir):
     return filled.select(*KEY, *[F.col(v).cast("double").alias(v) for v in VARIABLES])
 
 
+def _schemas(spark, sf_dir) -> dict[str, DataFrame]:
+    return {"plain": daily_grid(spark, sf_dir), "further": daily_grid(spark, sf_dir, further=True)}
+
+
+def _of_schemas(spark, sf_dir, answer) -> DataFrame:
+    """An answer for a grid and for one with variables of other types, told by their schemas."""
+    rows = [answer(layout.variable_types(df)).select(F.lit(name).alias("grid"), "*") for name, df in _schemas(spark, sf_dir).items()]
+    return rows[0].unionByName(rows[1])
+
+
 def all_floating(spark, sf_dir):
-    return layout.floating_profile(layout.profile_dataset(daily_grid(spark, sf_dir)))
+    return _of_schemas(spark, sf_dir, layout.floating_profile)
 
 
 def squeeze(spark, sf_dir):
@@ -375,6 +435,20 @@ def verify_fingerprints(spark, sf_dir):
     return verify.compare_fingerprints(store, cells.filter(F.year("time") != 2000), "sha256").select(*KEY, "status")
 
 
+def compare_by_tiles(spark, sf_dir):
+    """A store against its source by digests of tiles, with the default fingerprint."""
+    cells = daily_grid(spark, sf_dir)
+    few = (F.col("lat_idx") < 30) & (F.month("time") == 5)
+    store = cells.withColumn("sst", F.when(few, F.col("sst") + 1).otherwise(F.col("sst"))).filter("not (year(time) = 1995 and lon_idx = 7)")
+    source = cells.filter("not (year(time) = 1996 and lon_idx = 9)")
+    return verify.compare_by_tiles(add_fingerprints(store), source).select(*KEY, "status")
+
+
+def tile_digests(spark, sf_dir):
+    digests = verify.tile_digests(add_fingerprints(daily_grid(spark, sf_dir)), "spatial_hash")
+    return digests.select(iso_day("day").alias("day"), "tile_i", "tile_j", "cells")
+
+
 # --- aggregations and windows ----------------------------------------------------------------------
 
 
@@ -419,6 +493,18 @@ def running_components(spark, sf_dir):
     return stats.running_components(settle(stats.daily_stats(monthly_grid(spark, sf_dir))))
 
 
+def running_terms(spark, sf_dir):
+    return stats.running_terms(settle(stats.daily_stats(daily_grid(spark, sf_dir))))
+
+
+def components_of_days(spark, sf_dir):
+    """The components of the first day of each quarter that has one, over all days of the grid."""
+    daily = settle(stats.daily_stats(daily_grid(spark, sf_dir)))
+    first = daily.groupBy(F.trunc("time", "quarter").alias("quarter")).agg(F.min("time").alias("time"))
+    shown = stats.running_components(daily, days=first)
+    return shown.select("time", "day_number", F.length("components").alias("chars"), F.sha2("components", 256).alias("sha256"))
+
+
 # --- order, samples, sets --------------------------------------------------------------------------
 
 
@@ -428,11 +514,13 @@ def sort_by_time(spark, sf_dir):
 
 def sample_cells(spark, sf_dir):
     picked = stats.sample_cells(daily_grid(spark, sf_dir), columns=HASHED)
-    return add_fingerprints(picked).select("time", "draw", "lat", "lon", "sst", "spatial_hash")
+    shown = add_fingerprints(picked).select("time", "draw", "lat", "lon", "sst", "spatial_hash")
+    return shown.withColumn("sst", null_if_missing("sst").cast("double"))
 
 
 def sample_verifiers(spark, sf_dir):
-    return stats.sample_verifiers(verify.add_verifiers(daily_grid(spark, sf_dir)))
+    picked = stats.sample_verifiers(verify.add_verifiers(daily_grid(spark, sf_dir)))
+    return picked.withColumn("verifier_pubkeys", joined("verifier_pubkeys"))
 
 
 def first_last_time(spark, sf_dir):
@@ -554,6 +642,14 @@ def append_verifier(spark, sf_dir):
     return appended.select(*KEY, joined("verifier_pubkeys").alias("verifier_pubkeys"))
 
 
+def append_verifier_to_store(spark, sf_dir):
+    """Keys for the cells of one year, put into a store of all years."""
+    path = scratch_path(spark, "store")
+    st.write_create(conform(verify.add_verifiers(monthly_grid(spark, sf_dir, **COARSE))), path)
+    verify.append_verifier_to_store(_verifier_keys(spark, sf_dir).filter("year(time) = 1996"), path)
+    return st.read_store(spark, path).select(*KEY, joined("verifier_pubkeys").alias("verifier_pubkeys"))
+
+
 def format_stat(spark, sf_dir):
     daily = stats.daily_stats(daily_grid(spark, sf_dir))
     return daily.select("time", text.format_stat("daily_mean", 10).alias("shown"), text.format_stat("daily_max", 10, "°C").alias("shown_max"))
@@ -600,7 +696,12 @@ def profile_dataset(spark, sf_dir):
 
 
 def suggest_codec(spark, sf_dir):
-    return layout.suggest_codec(_profile(spark, sf_dir))
+    return _of_schemas(spark, sf_dir, layout.suggest_codec)
+
+
+def profile_all_variables(spark, sf_dir):
+    profile = layout.suggest_chunks(layout.profile_dataset(daily_grid(spark, sf_dir, further=True)))
+    return profile.select("variable", "axis", "axis_size", "dtype", "itemsize", "chunk")
 
 
 def suggest_layout(spark, sf_dir):
@@ -631,7 +732,6 @@ def stream_convert(spark, sf_dir):
             decode_parquet,
             scratch_path(spark, "cp"),
             name=folder_name(),
-            algorithm="sha256",
             available_now=True,
         )
     )
@@ -640,10 +740,11 @@ def stream_convert(spark, sf_dir):
 
 
 def _grid_stream(spark, sf_dir, per_trigger: int):
-    """The monthly grid as a stream of files, each holding whole time steps."""
+    """The monthly grid as a stream of files in which every time step is split, with a third of the cells coming twice."""
     source = scratch_path(spark, "batches")
     cells = conform(monthly_grid(spark, sf_dir))
-    cells.repartition(12, "day").write.parquet(source)
+    cells.repartition(12, *KEY).write.parquet(source)
+    cells.filter("lon_idx % 3 = 0").repartition(3, *KEY).write.mode("append").parquet(source)
     return spark.readStream.schema(cells.schema).option("maxFilesPerTrigger", per_trigger).parquet(source)
 
 
@@ -654,6 +755,23 @@ def stream_upsert(spark, sf_dir):
     return wide(st.read_store(spark, store))
 
 
+def merge_versions(spark, sf_dir):
+    """Cells that come in three batches; the last one brings old versions of cells and one version twice."""
+    store = scratch_path(spark, "store")
+    cells = conform(monthly_grid(spark, sf_dir))
+
+    def version(number: int, kept: str) -> DataFrame:
+        return cells.filter(kept).withColumns({"sst": (F.col("sst") + number).cast("float"), "version": F.lit(number)})
+
+    for batch in (
+        version(1, "lat_idx % 2 = 0"),
+        version(2, "lat_idx % 3 = 0"),
+        version(1, "lat_idx % 5 > 0").unionByName(version(1, "lat_idx % 5 = 1")).unionByName(version(0, "lat_idx % 7 = 0")),
+    ):
+        st.write_merge(batch, store, ["version"])
+    return wide(st.read_store(spark, store), "sst", "version")
+
+
 def dedup_events(spark, sf_dir):
     source, out = scratch_path(spark, "events"), scratch_path(spark, "unique")
     parsed = parsed_events(spark, sf_dir)
@@ -673,7 +791,7 @@ def stream_daily_stats(spark, sf_dir):
     store, table_path = scratch_path(spark, "store"), scratch_path(spark, "stats")
     stream = _grid_stream(spark, sf_dir, 6)
     finished(jobs.stream_daily_stats(stream, store, table_path, scratch_path(spark, "cp"), available_now=True))
-    kept = stats.running_mean(st.read_store(spark, table_path).drop("year"))
+    kept = stats.running_mean(st.read_store(spark, table_path).drop("month"))
     return kept.select("time", "day_number", "daily_min", "daily_max", F.round("running_mean", 6).alias("running_mean"))
 
 
@@ -717,6 +835,9 @@ QUERIES = {
     "store_summary": store_summary,
     "write_profile": write_profile,
     "ingest_with_status": ingest_with_status,
+    "ingest_all_variables": ingest_all_variables,
+    "poll_convert": poll_convert,
+    "catalogue_has_time": catalogue_has_time,
     "ensure_zlev": ensure_zlev,
     "select_first_level": select_first_level,
     "select_time": select_time,
@@ -737,6 +858,8 @@ QUERIES = {
     "lookup_config": lookup_config,
     "reconcile_stats": reconcile_stats,
     "verify_fingerprints": verify_fingerprints,
+    "compare_by_tiles": compare_by_tiles,
+    "tile_digests": tile_digests,
     "daily_stats": daily_stats,
     "dataset_overview": dataset_overview,
     "array_shapes": array_shapes,
@@ -746,6 +869,8 @@ QUERIES = {
     "running_mean": running_mean,
     "day_number": day_number,
     "running_components": running_components,
+    "running_terms": running_terms,
+    "components_of_days": components_of_days,
     "sort_by_time": sort_by_time,
     "sample_cells": sample_cells,
     "sample_verifiers": sample_verifiers,
@@ -765,6 +890,7 @@ QUERIES = {
     "fingerprint_fallback": fingerprint_fallback_query,
     "empty_verifiers": empty_verifiers,
     "append_verifier": append_verifier,
+    "append_verifier_to_store": append_verifier_to_store,
     "format_stat": format_stat,
     "json_text": json_text,
     "tile_ids": tile_ids,
@@ -773,10 +899,12 @@ QUERIES = {
     "suggest_chunks": suggest_chunks,
     "profile_dataset": profile_dataset,
     "suggest_codec": suggest_codec,
+    "profile_all_variables": profile_all_variables,
     "suggest_layout": suggest_layout,
     "stream_files": stream_files,
     "stream_convert": stream_convert,
     "stream_upsert": stream_upsert,
+    "merge_versions": merge_versions,
     "dedup_events": dedup_events,
     "late_files": late_files,
     "stream_daily_stats": stream_daily_stats,
