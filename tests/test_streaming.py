@@ -37,6 +37,24 @@ def test_each_file_once(spark, tmp_path, path):
     assert set(spark.read.parquet(out).columns) == {"path", "modificationTime", "length"}
 
 
+def test_late_and_replaced_files(spark, tmp_path, path):
+    """Older than anything seen so far by months, in a sub-folder, or replaced in place: taken, and once."""
+    folder, out, checkpoint = str(tmp_path / "in"), path("out"), path("cp")
+
+    def run():
+        stream = jobs.stream_files(spark, folder, folders=["a", "b"])
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        finish(writer.trigger(availableNow=True).start())
+        return sorted(r.path.split("/")[-1] for r in spark.read.parquet(out).collect())
+
+    save(folder + "/a", "grid.20250102.nc", 1.0)
+    assert run() == ["grid.20250102.nc"]
+    save(folder + "/b/deep", "grid.20240101.nc", 1.0, age=200 * 86400)
+    assert run() == ["grid.20240101.nc", "grid.20250102.nc"]
+    save(folder + "/a", "grid.20250102.nc", 2.0, age=1)
+    assert run() == run() == ["grid.20240101.nc", "grid.20250102.nc", "grid.20250102.nc"]
+
+
 def test_files_to_store(spark, tmp_path, path):
     folder = str(tmp_path / "in")
     store, status, checkpoint = path("store"), path("status"), path("cp")
@@ -105,7 +123,7 @@ def test_redelivered_day_replaces_itself(spark, tmp_path, path):
     folder, store, stats, checkpoint = str(tmp_path / "in"), path("store"), path("stats"), path("cp")
 
     def run():
-        finish(jobs.stream_daily_stats(day_batches(spark, folder), store, stats, checkpoint, available_now=True))
+        finish(jobs.stream_daily_stats(day_batches(spark, folder), store, stats, checkpoint, available_now=True, whole_steps=True))
         kept = running_mean(read_store(spark, stats))
         return values(kept, "time", "daily_mean", "running_mean")
 
