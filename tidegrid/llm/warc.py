@@ -102,9 +102,11 @@ def write_archives(pages: DataFrame, path: str) -> DataFrame:
     """Write rows of ``with_originals`` as one archive per task into the folder ``path``; the files and their records.
 
     A file is written under a name of its own and then renamed, so a task that is run again replaces what an
-    earlier run left, and a lost one leaves nothing that is read. ``path`` has to be a folder that every executor
-    reaches through a file system that pyarrow knows.
+    earlier run left, and a lost one leaves nothing that is read. ``path`` has to be a folder that the driver and every
+    executor reach through a file system that pyarrow knows; it is there, and empty, when there is no page.
     """
+    files, root = open_path(path)
+    files.create_dir(root, recursive=True)
 
     def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name = f"part-{TaskContext.get().partitionId():06d}.warc.gz"
