@@ -53,8 +53,9 @@ def shipped(file: str) -> str:
 TEMPLATES |= {f"{name} text": shipped(name) for name in PUBLISHED}
 TEMPLATES |= {f"{name} notice": shipped(f"{name}-notice") for name in NOTICES}
 
-MARKS = r"[!-/:-@\[-`{-~\u2010-\u2027\u00a9]+"
-AROUND = re.compile(rf"{MARKS}(?![^ \t-\r])|(?<![^ \t-\r]){MARKS}")
+MARK = r"[!-/:-@\[-`{-~\u2010-\u2027\u00a9]"
+# A run of marks is looked at once, from its start, and never given up piece by piece: linear in any text.
+AROUND = re.compile(rf"(?<!{MARK}){MARK}++(?![^ \t-\r])|(?<![^ \t-\r]){MARK}++")
 
 
 def bare_words(text: str | None) -> np.ndarray:
