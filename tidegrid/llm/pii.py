@@ -15,9 +15,9 @@ ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", (300, 250)  # the dates that are permuted among themselves, up to 2105
 EDGE, END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 KINDS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,20}[A-Za-z]{2,63}",
     "ip": EDGE + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])\+?[0-9]{1,3}[ -]\(?[0-9]{3}\)?[ -][0-9]{3}-[0-9]{4}" + END,
+    "phone": r"(?<![0-9A-Za-z+])(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4}" + END,
     "ssn": EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + END,
     "date": EDGE + r"(?:19|20|21)[0-9]{2}-[0-9]{2}-[0-9]{2}" + END,
     "secret": EDGE + r"(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})" + END,
@@ -107,10 +107,24 @@ def ip(value: Column, key: str) -> Column:
 
 
 def phone(value: Column, key: str) -> Column:
-    """The ten digits behind the country code are permuted."""
+    """The ten digits behind the country code are permuted, the country code stays.
+
+    Numbers whose area code and exchange both begin with 2 to 9, as the North American plan has it, are permuted among
+    themselves; those of other plans among all ten digits that are not of that kind.
+    """
     digits = digits_of(value)
-    code = F.length(digits) - 10
-    return in_format(value, F.concat(F.substr(digits, F.lit(1), code), permuted_digits(F.substr(digits, code + 1, F.lit(10)), key, "phone")))
+    code, ten = F.length(digits) - 10, F.substr(digits, F.length(digits) - 9, F.lit(10))
+    area, exchange, line = (F.substr(ten, F.lit(a), F.lit(n)).cast("bigint") for a, n in ((1, 3), (4, 3), (7, 4)))
+    planned = (area >= 200) & (exchange >= 200)
+    pair = feistel(area - 200, (exchange - 200) * 10_000 + line, F.lit(800), F.lit(8_000_000), key, F.lit("phone"))
+    made = F.concat((pair["a"] + 200).cast("string"), (F.floor(pair["b"] / 10_000) + 200).cast("string"), F.lpad((pair["b"] % 10_000).cast("string"), 4, "0"))
+    # Others: an area code below 200 with any exchange (200 x 1,000), then one from 200 on with an exchange below 200 (800 x 200).
+    place = F.when(area < 200, area * 1000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange)
+    other = feistel(place, line, F.lit(360_000), F.lit(10_000), key, F.lit("phone of another plan"))
+    rest = other["a"] - 200_000
+    front = F.when(rest < 0, other["a"]).otherwise((F.floor(rest / 200) + 200) * 1000 + rest % 200)
+    made_other = F.concat(F.lpad(front.cast("string"), 6, "0"), F.lpad(other["b"].cast("string"), 4, "0"))
+    return in_format(value, F.concat(F.substr(digits, F.lit(1), code), F.when(planned, made).otherwise(made_other)))
 
 
 def secret(value: Column, key: str) -> Column:
@@ -130,7 +144,14 @@ def email(value: Column, key: str) -> Column:
 
 
 def ssn(value: Column, key: str) -> Column:
-    return in_format(value, permuted_digits(digits_of(value), key, "ssn"))
+    """Valid numbers (area 1 to 899 but 666, group and serial not 0) are permuted among themselves; others are left alone."""
+    digits = digits_of(value)
+    area, group, serial = (F.substr(digits, F.lit(a), F.lit(n)).cast("bigint") for a, n in ((1, 3), (4, 2), (6, 4)))
+    valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+    place = F.when(area > 666, area - 2).otherwise(area - 1)
+    pair = feistel(place, (group - 1) * 9_999 + serial - 1, F.lit(898), F.lit(99 * 9_999), key, F.lit("ssn"))
+    made = (F.when(pair["a"] >= 665, pair["a"] + 2).otherwise(pair["a"] + 1), F.floor(pair["b"] / 9_999) + 1, pair["b"] % 9_999 + 1)
+    return F.when(valid, in_format(value, F.concat(*[F.lpad(x.cast("string"), n, "0") for x, n in zip(made, (3, 2, 4))]))).otherwise(value)
 
 
 def pseudonym(value: Column, key: str) -> Column:
