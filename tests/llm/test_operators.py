@@ -124,7 +124,7 @@ def test_packing(spark, docs, none, sf_dir):
     assert packing.pack(none, tokenizer_path()).count() == 0
 
 
-@pytest.mark.parametrize("text", ["It's 12 o'CLOCK, (Ünïcode) naïve: été", "a<|endoftext|>b <|startoftext|>", "İSTANBUL ΣΑΣ. x́y !!?? a,b", "x" * 300])
+@pytest.mark.parametrize("text", ["It's 12 o'CLOCK, (Ünïcode) naïve: été", "a<|endoftext|>b <|startoftext|>", "İSTANBUL ΣΑΣ. x́y !!?? a,b", "x" * 300, "İ,", "AİB. straße, ﬁn! ǅ; ß."])
 def test_encoder(text):
     from tokenizers import Tokenizer
 
@@ -367,3 +367,72 @@ def test_pipeline_on_odd_rows(spark, none, path):
     assert run(cp.language, rows + [(5, "12 !!", None, None), (6, None, None, None)]) == collections.Counter(r[:2] for r in rows)
     for _, stage in cp.STAGES[:-1]:
         assert stage(spark, none, folder).count() == 0
+
+
+def test_ids_of_a_whole_table(spark, sf_dir):
+    """Pieces, starts and checksums of every document against the tokenizer."""
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = set()
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        expected |= {(doc_id, i, s, len(ids[s : s + 2048]), zlib.crc32(ids[s : s + 2048].tobytes())) for i, s in enumerate(range(0, len(ids), 2048))}
+    found = packing.pack(docs, tokenizer_path())
+    assert {tuple(r)[:5] for r in found.collect()} == expected
+
+
+def test_pseudonyms_of_hard_texts(spark):
+    """A megabyte of letters, labels, digits or at signs neither stalls nor ends a task; repeated rows, clashing columns."""
+    texts = ["a" * 1_000_000, "a@" + "b." * 100_000, "b." * 100_000 + "a@", "a@" * 300_000, "1-" * 500_000, "1." * 500_000, "x" * 100 + "@example.com", "a@b.example.com"]
+    rows = [(i, t) for i, t in enumerate(texts)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit("x").alias(c) for c in ("found", "made", "parts", "a", "b")]).repartition(8)
+    got = by_id(pii.pseudonymize(df, "k"))
+    assert len(got) == len(texts) and got[7].n_replaced == 1 and got[6].n_found == 1 and got[0].text == texts[0]
+
+
+def test_pseudonyms_stay_valid(spark):
+    ssns = ["000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"] + [f"{1 + i * 7 % 899:03d}-{1 + i % 99:02d}-{1 + i:04d}" for i in range(400) if 1 + i * 7 % 899 != 666]
+    phones = ["555-123-4567", "(743) 555-3824", "743.555.3824", "+1 (743) 555-3824", "1-743-555-3824", "+9 (043) 155-3824", "(999) 199-0000"] + [f"({200 + i}) {i:03d}-{i:04d}" for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(ssns + phones)), "doc_id long, text string")
+    got = [r.text for r in pii.pseudonymize(df, "k").orderBy("doc_id").collect()]
+    assert got[:5] == ssns[:5] and len(set(got[: len(ssns)])) == len(ssns)
+    for text in got[5 : len(ssns)]:
+        area, group, serial = map(int, text.split("-"))
+        assert 1 <= area <= 899 and area != 666 and group and serial
+    for old, new in zip(phones, got[len(ssns) :]):
+        assert re.sub("[0-9]", "0", old) == re.sub("[0-9]", "0", new)
+        ten, made = (re.sub("[^0-9]", "", x)[-10:] for x in (old, new))
+        assert (ten[0] in "23456789" and ten[3] in "23456789") == (made[0] in "23456789" and made[3] in "23456789")
+    assert len(set(got)) == len(set(ssns + phones)) and sum(a != b for a, b in zip(phones, got[len(ssns) :])) > 400
+
+
+def test_archives_of_no_pages(spark, path):
+    """The folder is there and empty; repeated rows and clashing columns are read like others."""
+    schema = "page_id long, url string, html string"
+    folder = path("warc")
+    empty = spark.createDataFrame([], schema)
+    assert not sum(r.records for r in warc.write_archives(warc.with_originals(empty), folder).collect())
+    assert warc.resolve_revisits(warc.read_archives(spark, folder)).count() == 0
+    rows = spark.createDataFrame([(1, "u", "<p>"), (1, "u", "<p>"), (2, None, None)], schema).select("*", *[F.lit("x").alias(c) for c in ("key", "refers_to", "pages", "file", "records")])
+    folder = path("warc")
+    assert sum(r.records for r in warc.write_archives(warc.with_originals(rows), folder).collect()) == 3
+    assert sorted(r.record_id for r in warc.read_archives(spark, folder).collect()) == ["urn:record:1", "urn:record:1", "urn:record:2"]
+
+
+def test_licenses_of_hard_texts(spark):
+    """A megabyte of marks in a word is looked at once."""
+    texts = ["a" + "!" * 1_000_000 + "b", "!" * 1_000_000, "Released under the MIT License. " + "-" * 500_000, "Released under the MIT License. " * 2]
+    df = spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id long, text string").select("*", F.lit("x").alias("license"), F.lit(1).alias("words"))
+    got = licenses.scan_licenses(df, licenses.TEMPLATES).collect()
+    assert {(r.doc_id, r.license) for r in got} == {(2, "MIT"), (3, "MIT")}
+
+
+@pytest.mark.parametrize("text", ["", "!", "a!!b", "!!a!! b", "a !! b", "...x...", "(a) [b], c's", "x!-?\ty", "“a” — b", "!" * 9 + "a" + "!" * 9])
+def test_marks_around_words(text):
+    marks = r"[!-/:-@\[-`{-~\u2010-\u2027\u00a9]"
+    words = [re.sub(f"^{marks}+|{marks}+$", "", w) for w in re.split(r"[ \t-\r]+", text)]
+    assert [w for w in re.split(r"[ \t-\r]+", licenses.AROUND.sub("", text)) if w] == [w for w in words if w]

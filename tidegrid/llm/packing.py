@@ -53,9 +53,9 @@ class Encoder(dict):
 
     def __missing__(self, part: str) -> bytes:
         word = part.rstrip(MARKS)
-        lower = word.lower() if word.isascii() else word
-        if word.isalpha() and (lower != part):
-            found = self[lower] + self[part[len(word) :]]
+        # Only of ASCII words is it certain how the tokenizer lowers them and that punctuation behind stays apart.
+        if word.isascii() and word.isalpha() and word.lower() != part:
+            found = self[word.lower()] + self[part[len(word) :]]
         else:
             found = self.ids(part)
         if len(part) <= MEMO_CHARS:
