@@ -72,6 +72,7 @@ def test_counts(listing):
     assert ls.max_modified(listing).first().max_modified == at(25)
 
 
+# The fields of a notification document.
 def record(key, name="ObjectCreated:Put", bucket="b"):
     return {
         "eventVersion": "2.1",

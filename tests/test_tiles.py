@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.fixtures import cell, dense, noon, raw_grid, values
 from tidegrid.operators import layout, tiles
 
+# Chunk sizes as a configuration has them, and the defaults expected below.
 CONFIG = {"variables": {"sst": {"chunks": {"time": 1, "lat": 180, "lon": 360, "depth": 9}}, "ice": {}}}
 
 

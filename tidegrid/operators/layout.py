@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.model import variables_of
 
+# The size a chunk should have, and below the settings of the codec and the fields of the layout document.
 TARGET_CHUNK_BYTES = 100 * 1024 * 1024
 ITEM_SIZES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "date": 8, "timestamp_ntz": 8}
 AXES = ["time", "zlev", "lat", "lon"]

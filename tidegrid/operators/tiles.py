@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.functions.missing import null_if_missing
+from tidegrid.model import variables_of
+
 # The layout used when the configuration names none.
 DEFAULT_CHUNKS = {"time": 1, "zlev": 1, "lat": 72, "lon": 144}
 AXES = ["time", "zlev", "lat", "lon"]
 
 
-def chunk_sizes(config: Mapping | None, variable: str, axes=AXES) -> dict[str, int] | None:
-    """Chunk sizes of a variable for the axes it has; None when the configuration leaves it whole."""
-    layouts = dict(config or {}).get("variables", {variable: {"chunks": DEFAULT_CHUNKS}})
-    wanted = [layout.get("chunks", {}) for name, layout in layouts.items() if name == variable]
-    sizes = {axis: chunks[axis] for chunks in wanted for axis in axes if axis in chunks}
-    return sizes or None
+def config_table(spark: SparkSession, config: Mapping | None, variables: Sequence[str], axes: Sequence[str] = AXES) -> DataFrame:
+    """A configuration as rows ``variable, chunks``: the chunk sizes of each variable for the axes it has.
+
+    Without configured variables all have the default sizes. NULL: the variable is left whole.
+    """
+    wanted = (config or {}).get("variables")
+    rows = [(v, DEFAULT_CHUNKS if wanted is None else wanted.get(v, {}).get("chunks", {})) for v in variables]
+    table = spark.createDataFrame(rows, "variable string, chunks map<string,int>")
+    kept = F.map_filter("chunks", lambda axis, size: axis.isin(list(axes)))
+    return table.select("variable", F.when(F.size(kept) > 0, kept).alias("chunks"))
+
+
+def chunk_sizes(config: Mapping | None, variable: str, axes: Sequence[str] = AXES) -> dict[str, int] | None:
+    """Chunk sizes of one variable for the axes it has; None when the configuration leaves it whole."""
+    if "variables" not in (config or {}):
+        wanted = DEFAULT_CHUNKS
+    else:
+        wanted = config["variables"].get(variable, {}).get("chunks", {})
+    return {axis: wanted[axis] for axis in axes if axis in wanted} or None
 
 
 def tile_ids(df: DataFrame, config: Mapping | None = None, variable: str = "sst") -> DataFrame:
@@ -30,13 +46,13 @@ def tile_ids(df: DataFrame, config: Mapping | None = None, variable: str = "sst"
     return df.withColumns({"tile_i": tile("lat_idx", sizes.get("lat")), "tile_j": tile("lon_idx", sizes.get("lon"))})
 
 
-def _dense(entries: Column, slots: int, kind: str) -> Column:
+def _dense(entries: Column, slots: Column, kind: str) -> Column:
     """Values of ``array<struct<pos, value>>`` sorted by position, NULL in the gaps.
 
     A complete tile is taken as it is. Otherwise each entry brings the gap before it along, which stays
     linear in the tile; two entries at one position fail.
     """
-    complete = entries["pos"] == F.sequence(F.lit(0), F.lit(slots - 1))
+    complete = entries["pos"] == F.sequence(F.lit(0), slots - 1)
     null = F.lit(None).cast(kind)
 
     def with_gap(entry: Column, i: Column) -> Column:
@@ -45,7 +61,7 @@ def _dense(entries: Column, slots: int, kind: str) -> Column:
         gap = F.when(entry["pos"] > previous, entry["pos"] - previous - 1).otherwise(twice)
         return F.concat(F.array_repeat(null, gap), F.array(entry["value"]))
 
-    tail = F.array_repeat(null, F.lit(slots - 1) - F.get(entries, F.size(entries) - 1)["pos"])
+    tail = F.array_repeat(null, slots - 1 - F.get(entries, F.size(entries) - 1)["pos"])
     padded = F.concat(F.flatten(F.transform(entries, with_gap)), tail)
     return F.when(complete, entries["value"]).otherwise(padded)
 
@@ -70,7 +86,42 @@ def pack_tiles(
     gathered = cells.groupBy("time", "zlev", "tile_i", "tile_j").agg(
         F.sort_array(F.collect_list("_entry")).alias("_entries")
     )
-    return gathered.withColumn("values", _dense(F.col("_entries"), slots, dict(df.dtypes)[variable])).drop("_entries")
+    return gathered.withColumn("values", _dense(F.col("_entries"), F.lit(slots), dict(df.dtypes)[variable])).drop("_entries")
+
+
+def pack_variables(df: DataFrame, config: Mapping | None = None, variables: Sequence[str] | None = None) -> DataFrame:
+    """The dense tiles of all numeric variables: ``variable, day, time, zlev, tile_i, tile_j, lat_size, lon_size, values``.
+
+    Sizes are those of the configuration; along an axis for which it has none, a variable is one tile. All variables go through
+    one shuffle, gathered into tiles inside each map task first. Missing values are NULL.
+    """
+    types = dict(df.dtypes)
+    numeric = [v for v in (variables or variables_of(df)) if types[v] in ("tinyint", "smallint", "int", "bigint", "float", "double")]
+    kind = "float" if all(types[v] == "float" for v in numeric) else "double"
+    ends = df.agg(F.max("lat_idx").alias("lat"), F.max("lon_idx").alias("lon")).first()
+    whole = {"lat": (ends.lat or 0) + 1, "lon": (ends.lon or 0) + 1}
+    # A tile never reaches further than the grid needs, counted in whole tiles.
+    entries = []
+    for v in numeric:
+        sizes = {**whole, **(chunk_sizes(config, v) or {})}
+        value = null_if_missing(v) if types[v] in ("float", "double") else F.col(v)
+        entries.append(F.struct(F.lit(v).alias("variable"), F.lit(sizes["lat"]).alias("lat_size"), F.lit(sizes["lon"]).alias("lon_size"), value.cast(kind).alias("value")))
+    cells = df.select("time", "zlev", "lat_idx", "lon_idx", F.inline(F.array(*entries)))
+    position = (F.col("lat_idx") % F.col("lat_size")) * F.col("lon_size") + F.col("lon_idx") % F.col("lon_size")
+    keys = ["variable", "time", "zlev", "tile_i", "tile_j", "lat_size", "lon_size"]
+    placed = cells.select(
+        "variable",
+        "time",
+        "zlev",
+        F.floor(F.col("lat_idx") / F.col("lat_size")).cast("int").alias("tile_i"),
+        F.floor(F.col("lon_idx") / F.col("lon_size")).cast("int").alias("tile_j"),
+        "lat_size",
+        "lon_size",
+        F.struct(position.cast("int").alias("pos"), "value").alias("_entry"),
+    )
+    gathered = placed.groupBy(*keys).agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
+    dense = _dense(F.col("_entries"), F.col("lat_size") * F.col("lon_size"), kind)
+    return gathered.select(F.to_date("time").alias("day"), *keys, dense.alias("values"))
 
 
 def unpack_tiles(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from json import loads
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,9 +13,10 @@ from tidegrid.functions.fingerprint import add_fingerprints
 from tidegrid.functions.text import format_stat
 from tidegrid.functions.times import format_day
 from tidegrid.operators.stats import daily_stats, running_components, running_mean
+from tidegrid.operators.tiles import pack_variables
 from tidegrid.operators.verify import add_verifiers
 from tidegrid.session import settle
-from tidegrid.sources.events import dedup_events, filter_object_events, parse_object_events
+from tidegrid.sources.events import dedup_events, filter_object_events, lookup_config, parse_object_events
 from tidegrid.sources.files import (
     Decoder,
     Opener,
@@ -39,13 +43,16 @@ def convert_files(
     opener: Opener = read_whole,
     new_store: bool = False,
     summary_path: str | None = None,
+    tiles_path: str | None = None,
+    config: Mapping | None = None,
 ) -> DataFrame:
     """Decode files, fingerprint every cell, add empty verifier lists, and upsert the days.
 
     ``files`` has ``path, modificationTime`` and either ``content`` or nothing more, then each task opens the files it
     decodes. Returns the status of each file. Each day sits in the task that decoded it, so nothing is shuffled on the way to
     the store. All variables are kept, and a store grows by those it did not have. ``new_store`` puts a new store in the
-    place of any old one; the table at ``summary_path`` is brought up to date for the days that were written.
+    place of any old one; the table at ``summary_path`` is brought up to date for the days that were written. With ``tiles_path``
+    the variables are kept as dense tiles as well, of the sizes in ``config``.
     """
     ingested = ingest_with_status(with_file_time(files, suffix, name), decode, on_error, extra, opener)
     try:
@@ -54,6 +61,9 @@ def convert_files(
             write_overwrite(cells, store_path, layout)
         else:
             write_store(cells, store_path, layout, grow=True)
+        if tiles_path is not None:
+            tiles = pack_variables(ingested.grid, config)
+            (write_overwrite if new_store else write_store)(tiles, tiles_path)
         status = settle(ingested.status)
         if summary_path is not None:
             days = status.filter("status = 'ok'").select(F.to_date("file_time").alias("day")).distinct()
@@ -91,6 +101,26 @@ def event_files(documents: DataFrame, json: str = "json", suffix: str = ".nc", o
     return dedup_events(created).select(F.col("uri").alias("path"), "event_time")
 
 
+def convert_events(
+    documents: DataFrame, configs: DataFrame, status_path: str, decode: Decoder, json: str = "json", on_error: str = "raise", **options
+) -> None:
+    """Convert the files named by object events, each bucket as its configuration says.
+
+    ``configs`` has ``bucket, store_path``, and optionally ``suffix`` (what is struck out of file names), ``tiles_path`` and
+    ``conversion`` (a JSON document with chunk sizes by variable). It is a small table, and each of its rows is one
+    conversion. Events of buckets without a configuration are left out.
+    """
+    created = filter_object_events(parse_object_events(documents, json, on_error))
+    events = settle(dedup_events(lookup_config(created, configs.select("bucket", "store_path"))).filter("store_path is not null"))
+    for row in configs.collect():
+        given = row.asDict()
+        own = {k: given[k] for k in ("suffix", "tiles_path") if given.get(k)}
+        if given.get("conversion"):
+            own["config"] = loads(given["conversion"])
+        files = events.filter(F.col("bucket").eqNullSafe(F.lit(given["bucket"]))).select(F.col("uri").alias("path"))
+        convert_listed(files, given["store_path"], status_path, decode, **own, **options)
+
+
 def poll_convert(
     spark: SparkSession,
     path: str,

@@ -133,6 +133,7 @@ CHUNK = "CASE WHEN axis = 'time' THEN 1 ELSE least(5120, n) END"
 
 
 def _layout() -> str:
+    # Names and settings of the layout document.
     one = (
         "'{\"chunks\":{\"time\":1,\"zlev\":' || least(5120, max(n) FILTER (axis = 'zlev')) || ',\"lat\":' || "
         "least(5120, max(n) FILTER (axis = 'lat')) || ',\"lon\":' || least(5120, max(n) FILTER (axis = 'lon')) || '}}'"
@@ -465,6 +466,24 @@ ORACLES = {
         FROM every LEFT JOIN slots USING (time, zlev, tile_i, tile_j, pos) GROUP BY ALL""",
         COARSE,
     ),
+    "convert_tiles": from_grid(
+        """, ends AS (SELECT max(lat_idx) + 1 AS n_lat, max(lon_idx) + 1 AS n_lon FROM grid),
+        sizes AS (SELECT v.variable, CAST(coalesce(la, n_lat) AS INTEGER) AS lat_size, CAST(coalesce(lo, n_lon) AS INTEGER) AS lon_size
+                  FROM (VALUES ('sst', 6, 8), ('anom', 4, NULL), ('err', NULL, NULL), ('ice', NULL, NULL)) AS v(variable, la, lo) CROSS JOIN ends),
+        cells AS (SELECT 'sst' AS variable, time, zlev, lat_idx, lon_idx, sst AS value FROM grid
+                  UNION ALL SELECT 'anom', time, zlev, lat_idx, lon_idx, anom FROM grid
+                  UNION ALL SELECT 'err', time, zlev, lat_idx, lon_idx, err FROM grid
+                  UNION ALL SELECT 'ice', time, zlev, lat_idx, lon_idx, ice FROM grid),
+        slots AS (SELECT variable, time, zlev, CAST(lat_idx // lat_size AS INTEGER) AS tile_i, CAST(lon_idx // lon_size AS INTEGER) AS tile_j,
+                         lat_size, lon_size, (lat_idx % lat_size) * lon_size + lon_idx % lon_size AS pos, value
+                  FROM cells JOIN sizes USING (variable)),
+        present AS (SELECT DISTINCT variable, time, zlev, tile_i, tile_j, lat_size, lon_size FROM slots),
+        every AS (SELECT *, unnest(range(lat_size * lon_size)) AS pos FROM present)
+        SELECT variable, time, zlev, tile_i, tile_j, lat_size, lon_size,
+            string_agg(coalesce(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), '-'), ',' ORDER BY pos) AS "values"
+        FROM every LEFT JOIN slots USING (variable, time, zlev, tile_i, tile_j, lat_size, lon_size, pos) GROUP BY ALL""",
+        COARSE_MONTHLY,
+    ),
     "unpack_tiles": from_grid(f"SELECT {KEY}, sst FROM grid WHERE sst IS NOT NULL", COARSE),
     "suggest_chunks": from_grid(f", {AXES} SELECT variable, axis, 4 AS itemsize, {CHUNK} AS chunk FROM axes CROSS JOIN {VARIABLES}"),
     "profile_dataset": from_grid(

@@ -21,7 +21,7 @@ from tidegrid.model import HASHED, KEY, VARIABLES, conform
 from tidegrid.operators import grid as g
 from tidegrid.operators import layout, stats, tiles, verify
 from tidegrid.operators.cellwise import apply_cellwise
-from tidegrid.plans.convert import analyse
+from tidegrid.plans.convert import analyse, convert_files
 from tidegrid.plans.convert import poll_convert as convert_poll
 from tidegrid.plans.gridding import file_name, grid_observations
 from tidegrid.session import scratch_path, settle
@@ -35,6 +35,7 @@ MARK = "2024-01-15 18:00:00"
 START = "2024-01-10 00:00:00"
 TILE = (6, 8)
 COARSE = {"n_lat": 12, "n_lon": 16}
+# A configuration as users write it.
 CONFIG = {"variables": {"sst": {"chunks": {"time": 1, "zlev": 1, "lat": 180, "lon": 360}}}}
 
 
@@ -199,14 +200,14 @@ def write_create(spark, sf_dir):
 
 
 def write_append(spark, sf_dir):
-    grid, path = settle(conform(monthly_grid(spark, sf_dir))), scratch_path(spark, "store")
+    grid, path = conform(monthly_grid(spark, sf_dir)), scratch_path(spark, "store")
     st.write_create(grid.filter("day < date '1998-01-01'"), path)
     st.write_append(grid.filter("day >= date '1998-01-01'"), path)
     return wide(st.read_store(spark, path))
 
 
 def write_upsert(spark, sf_dir):
-    grid, path = settle(conform(monthly_grid(spark, sf_dir))), scratch_path(spark, "store")
+    grid, path = conform(monthly_grid(spark, sf_dir)), scratch_path(spark, "store")
     st.write_create(grid, path)
     newer = grid.filter("year(day) = 1998").withColumn("sst", F.col("sst") + 100)
     st.write_upsert(newer, path)
@@ -372,12 +373,12 @@ def squeeze(spark, sf_dir):
 
 
 def build_grid(spark, sf_dir):
-    cells = settle(daily_grid(spark, sf_dir))
+    cells = daily_grid(spark, sf_dir)
     return g.build_grid(g.axis(cells, "lat"), g.axis(cells, "lon"))
 
 
 def expand_time(spark, sf_dir):
-    cells = settle(daily_grid(spark, sf_dir, **COARSE))
+    cells = daily_grid(spark, sf_dir, **COARSE)
     plane = g.build_grid(g.axis(cells, "lat"), g.axis(cells, "lon"))
     return g.expand_time(plane, g.axis(cells, "time"))
 
@@ -396,7 +397,7 @@ def drop_time(spark, sf_dir):
 
 
 def align_variables(spark, sf_dir):
-    cells = settle(daily_grid(spark, sf_dir))
+    cells = daily_grid(spark, sf_dir)
     return wide(g.align_variables({v: cells.select(*KEY, v) for v in VARIABLES}))
 
 
@@ -678,6 +679,20 @@ def pack_tiles(spark, sf_dir):
     return _packed(spark, sf_dir).withColumn("values", F.array_join(whole, ",", "-"))
 
 
+def convert_tiles(spark, sf_dir):
+    """Tiles of all variables, kept by a conversion of files with a configuration, in two polls' worth of files."""
+    folder, store, tiled = scratch_path(spark, "files"), scratch_path(spark, "store"), scratch_path(spark, "tiles")
+    grid = monthly_grid(spark, sf_dir, **COARSE).withColumn("file", file_name())
+    grid.drop("day").withColumnRenamed("time", "source_time").repartition("file").write.partitionBy("file").parquet(folder)
+    config = {"variables": {"sst": {"chunks": {"lat": TILE[0], "lon": TILE[1]}}, "anom": {"chunks": {"time": 1, "lat": 4}}}}
+    files = fs.binary_files(spark, folder, "*.parquet")
+    for half in ("file_time < '1998-01-01'", "file_time >= '1998-01-01'"):
+        chosen = fs.with_file_time(files, name=folder_name()).filter(half).drop("file_time")
+        convert_files(chosen, store, decode_parquet, name=folder_name(), algorithm="sha256", tiles_path=tiled, config=config)
+    hundredths = F.transform("values", lambda v: F.round(v.cast("double") * 100).cast("bigint").cast("string"))
+    return st.read_store(spark, tiled).drop("day").withColumn("values", F.array_join(hundredths, ",", "-"))
+
+
 def unpack_tiles(spark, sf_dir):
     cells = tiles.unpack_tiles(_packed(spark, sf_dir), *TILE)
     return cells.withColumn("sst", F.col("sst").cast("double"))
@@ -895,6 +910,7 @@ QUERIES = {
     "json_text": json_text,
     "tile_ids": tile_ids,
     "pack_tiles": pack_tiles,
+    "convert_tiles": convert_tiles,
     "unpack_tiles": unpack_tiles,
     "suggest_chunks": suggest_chunks,
     "profile_dataset": profile_dataset,

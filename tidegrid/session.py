@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 * 1024 * 1024
 
 _local_roots: dict[str, str] = {}
 
@@ -73,10 +73,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` computed once, marked for broadcast when it has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` computed once, marked for broadcast when it has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    A larger one is joined by shuffling both sides, where adaptive execution splits a dominating key.
+    Numbers count with eight bytes, texts and lists with what they hold. A larger table is joined by shuffling both sides, where
+    adaptive execution splits a dominating key.
     """
     settled = settle(df)
-    return F.broadcast(settled) if settled.count() <= max_rows else settled
+    size = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.octet_length(F.to_json(F.struct(F.col(f"`{name}`"))))
+    total = settled.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size.cast("bigint")), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(settled) if total.rows <= max_rows and total.bytes <= max_bytes else settled

@@ -25,26 +25,21 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
 
     When the first record is an envelope, its message is the document and later envelope records are
     ignored. ``on_error='raise'`` fails on a document without records or with one that lacks a bucket or key; ``'keep'`` keeps it as
-    one row with NULL fields and ``parsed`` false.
+    one row with NULL fields and ``parsed`` false. A document is parsed once, and its records are checked one by one.
     """
     kept = df.columns
     source = as_column(json)
     opened = df.withColumn("_outer", F.from_json(source, OBJECT_EVENT)["Records"])
     message = F.try_element_at("_outer", F.lit(1))["Sns"]["Message"]
     inner = F.from_json(message, OBJECT_EVENT)["Records"]
-    opened = opened.withColumn("_records", F.when(message.isNotNull(), inner).otherwise(F.col("_outer")))
-    if on_error == "raise":
-        failure = F.raise_error(F.concat(F.lit("not an object event: "), F.coalesce(source, F.lit("NULL"))))
-        usable = F.exists("_records", lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
-        usable = (F.size("_records") > 0) & ~usable
-        records = F.when(usable, F.col("_records")).otherwise(failure.cast(RECORDS))
-        explode = F.explode
-    else:
-        records = F.col("_records")
-        explode = F.explode_outer
+    records = F.when(message.isNotNull(), inner).otherwise(F.col("_outer"))
+    rows = opened.select(*kept, source.alias("_document"), F.explode_outer(records).alias("_record"))
     record = F.col("_record")
     bucket, key = record["s3"]["bucket"]["name"], record["s3"]["object"]["key"]
-    rows = opened.select(*kept, explode(records).alias("_record"))
+    parsed = bucket.isNotNull() & key.isNotNull()
+    if on_error == "raise":
+        failure = F.raise_error(F.concat(F.lit("not an object event: "), F.coalesce("_document", F.lit("NULL"))))
+        rows = rows.filter(F.when(parsed, F.lit(True)).otherwise(failure.cast("boolean")))
     return rows.select(
         *kept,
         record["eventName"].alias("event_name"),
@@ -54,7 +49,7 @@ def parse_object_events(df: DataFrame, json: Column | str = "json", on_error: st
         record["s3"]["object"]["size"].alias("size"),
         record["s3"]["object"]["eTag"].alias("etag"),
         object_uri(bucket, key).alias("uri"),
-        (bucket.isNotNull() & key.isNotNull()).alias("parsed"),
+        parsed.alias("parsed"),
     )
 
 
