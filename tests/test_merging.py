@@ -272,3 +272,29 @@ def test_summary_sees_repeated_cells(spark):
     one, other = (conform(add_fingerprints(grid(spark, [cell(noon(1), lon_idx=i)] * 2), "sha256")) for i in (0, 1))
     sums = [st.store_summary(df).first().checksum for df in (one, other)]
     assert sums[0] != sums[1] and 0 not in sums
+
+
+def test_superseded_files_are_not_opened(spark, tmp_path):
+    """Chosen by name; opened only where the last file of the step fails."""
+    folder = str(tmp_path / "in")
+    save(folder, "grid.20250101_preliminary.nc", 1.0, age=100)
+    save(folder, "grid.20250101.nc", 2.0, age=50)
+    save(folder, "grid.20250102_preliminary.nc", 3.0, age=100)
+    with open(save(folder, "grid.20250102.nc", 4.0), "wb") as out:
+        out.write(b"broken")
+
+    def strict(content):
+        cells = decode(content)
+        if cells["sst"].iloc[0] == 1.0:
+            raise AssertionError("opened")
+        return cells
+
+    ingested = fs.ingest_with_status(fs.with_file_time(fs.binary_files(spark, folder), "_preliminary"), strict)
+    assert {r.path.split("/")[-1]: r.status for r in ingested.status.collect()} == {
+        "grid.20250101_preliminary.nc": "superseded",
+        "grid.20250101.nc": "ok",
+        "grid.20250102_preliminary.nc": "ok",
+        "grid.20250102.nc": "failed",
+    }
+    assert values(ingested.grid.select("time", "sst").distinct(), "time", "sst") == [(noon(1), 2.0), (noon(2), 3.0)]
+    ingested.release()

@@ -271,13 +271,17 @@ def decode_files(
     if isinstance(extra, str):
         extra = T.StructType.fromDDL(extra)
     if not isinstance(extra, T.StructType):
-        # A file that cannot be read tells nothing here; it is reported when it is decoded.
-        extra = further_variables(describe_files(files.limit(extra), decode, opener, "continue"))
+        extra = discovered(files, decode, extra, opener)
     schema = T.StructType([*DECODED.fields, *extra.fields, *FILE.fields, *STATUS.fields])
     columns = [*FILE.fieldNames(), *[c for c in files.columns if c == "content"]]
     return files.select(*columns).mapInPandas(_decode_files(decode, on_error, extra.fieldNames(), opener), schema)
 
 
+def discovered(files: DataFrame, decode: Decoder, count: int, opener: Opener = read_whole) -> T.StructType:
+    """The variables beyond ``DECODED`` in some of the files. One that cannot be read tells nothing; it is reported when it is decoded."""
+    return further_variables(describe_files(files.limit(count), decode, opener, "continue"))
+
+
 def in_bins(files: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
     """``files(path, length, ...)`` dealt out so that a task gets about ``bin_bytes`` of them, and any file whole."""
     total = files.agg(F.sum("length").alias("bytes"), F.count("*").alias("files")).first()
@@ -307,10 +311,11 @@ class Ingested:
 
     grid: DataFrame
     status: DataFrame
-    decoded: DataFrame
+    decoded: list[DataFrame]
 
     def release(self) -> None:
-        self.decoded.unpersist()
+        for part in self.decoded:
+            part.unpersist()
 
 
 def ingest_with_status(
@@ -320,23 +325,39 @@ def ingest_with_status(
     extra: T.StructType | str | int = 1,
     opener: Opener = read_whole,
 ) -> Ingested:
-    """Decode each file once into a grid and a status table.
+    """Decode files into a grid and a status table, no file twice.
 
-    Of several files of one time step the last one that could be decoded counts; the others have the
-    status ``superseded``. The decoded rows are kept on executor disks between grid and status; a lost
+    Of several files of one time step the last one that can be decoded counts. That is chosen by name and date before anything is
+    decoded; only where it fails are the others of its step decoded, too. The others have the status ``superseded``, without a
+    number of cells if they were not opened. The decoded rows are kept on executor disks between grid and status; a lost
     executor's files are decoded again.
     """
-    decoded = decode_files(files, decode, on_error, extra, opener).persist(StorageLevel.DISK_ONLY)
-    report = decoded_status(decoded)
+    if isinstance(extra, int):
+        extra = discovered(files, decode, extra, opener)
+    older = broadcast_if_small(superseded(files))
+    decoded = decode_files(files.join(older, "path", "left_anti"), decode, on_error, extra, opener).persist(StorageLevel.DISK_ONLY)
+    kept = [decoded]
     try:
-        replaced = broadcast_if_small(superseded(report.filter(F.col("status") == "ok")))
+        report = decoded_status(decoded)
+        replaced = older.limit(0)
+        unopened = files.select(*FILE.fieldNames()).join(older, "path", "left_semi")
+        if not older.isEmpty():
+            failed = broadcast_if_small(report.filter("status = 'failed'").select("file_time").distinct())
+            again = files.join(older, "path", "left_semi").join(failed, "file_time", "left_semi")
+            second = decode_files(again, decode, on_error, extra, opener).persist(StorageLevel.DISK_ONLY)
+            kept.append(second)
+            decoded, report = decoded.unionAll(second), report.unionAll(decoded_status(second))
+            unopened = unopened.join(failed, "file_time", "left_anti")
+            replaced = broadcast_if_small(superseded(report.filter("status = 'ok'")))
+        cells = decoded_cells(decoded.join(replaced, "path", "left_anti"))
     except Exception:
-        decoded.unpersist()
+        for part in kept:
+            part.unpersist()
         raise
-    cells = decoded_cells(decoded.join(replaced, "path", "left_anti"))
     flagged = report.join(replaced.withColumn("_replaced", F.lit(True)), "path", "left")
-    status = flagged.withColumn("status", F.when(F.col("_replaced"), "superseded").otherwise(F.col("status")))
-    return Ingested(conform(cells), status.select(*report.columns), decoded)
+    status = flagged.withColumn("status", F.when(F.col("_replaced"), "superseded").otherwise(F.col("status"))).select(*report.columns)
+    status = status.unionByName(unopened.withColumn("status", F.lit("superseded")), allowMissingColumns=True)
+    return Ingested(conform(cells), status, kept)
 
 
 def ingest_files(
