@@ -124,8 +124,7 @@ def test_one_changed_value_changes_one_fingerprint(spark, algorithm):
     ]
 
 
-@pytest.mark.parametrize("vectorized", [True, False])
-def test_apply_cellwise(spark, vectorized):
+def test_apply_cellwise(spark):
     cells = dense(spark, 1, 3, 4)
-    got = apply_cellwise(cells, lambda a, b: a * 2.0 + b, ["sst", "err"], "twice", "double", vectorized).collect()
+    got = apply_cellwise(cells, lambda a, b: a * 2.0 + b, ["sst", "err"], "twice", "double").collect()
     assert [r.twice for r in got] == [r.sst * 2 + r.err for r in got]

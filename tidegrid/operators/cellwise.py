@@ -10,19 +10,12 @@ from pyspark.sql import functions as F
 
 
 def apply_cellwise(
-    df: DataFrame, function: Callable, columns: Sequence[str], name: str, return_type: str = "double", vectorized: bool = True
+    df: DataFrame, function: Callable, columns: Sequence[str], name: str, return_type: str = "double"
 ) -> DataFrame:
-    """Add ``name = function(*columns)``.
-
-    A vectorized function gets pandas Series of a whole Arrow batch; otherwise it is called once per
-    cell with plain values, the slow way.
-    """
-
-    def whole_batch(*series: pd.Series) -> pd.Series:
-        return function(*series) if vectorized else pd.Series([function(*cell) for cell in zip(*series)], dtype=object)
+    """Add ``name = function(*columns)``; the function gets pandas Series of a whole Arrow batch."""
 
     def batches(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for part in parts:
-            yield whole_batch(*part) if isinstance(part, tuple) else whole_batch(part)
+            yield function(*part) if isinstance(part, tuple) else function(part)
 
     return df.withColumn(name, F.pandas_udf(batches, return_type)(*columns))

@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from tidegrid.functions.missing import null_if_missing
 from tidegrid.functions.names import base_name, file_date, noon_of
-from tidegrid.functions.times import instant_to_utc
 from tidegrid.model import VARIABLES, conform
 from tidegrid.session import broadcast_if_small
 
