@@ -436,3 +436,13 @@ def test_marks_around_words(text):
     marks = r"[!-/:-@\[-`{-~\u2010-\u2027\u00a9]"
     words = [re.sub(f"^{marks}+|{marks}+$", "", w) for w in re.split(r"[ \t-\r]+", text)]
     assert [w for w in re.split(r"[ \t-\r]+", licenses.AROUND.sub("", text)) if w] == [w for w in words if w]
+
+
+def test_very_many_texts_of_one_id(spark):
+    """Over 32,767 of them, and an earlier document that has the end of each; clashing columns."""
+    passage = "".join(f"{i:03d}." for i in range(20))
+    texts = [(7, f"{i:06d}{passage}") for i in range(33_000)]
+    df = spark.createDataFrame([(1, passage), *texts], "doc_id long, text string")
+    got = suffix.remove_repeats(df.select("*", *[F.lit("x").alias(c) for c in ("key", "variant", "run", "shape", "place")]).repartition(4)).toPandas()
+    assert len(got) == 33_001 and (got[got.doc_id == 7].n_removed == len(passage)).all() and (got[got.doc_id == 1].n_removed == 0).all()
+    assert set(got[got.doc_id == 7].kept_sha256) == {hashlib.sha256(t[:6].encode()).hexdigest() for _, t in texts}

@@ -93,10 +93,11 @@ def text_runs(data: np.ndarray, length: int, gram: int) -> Iterator[list[np.ndar
         yield [x + start for x in found[:3]] + found[3:]
 
 
-def all_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def all_runs(docs: DataFrame, length: int, gram: int, wide: bool = False) -> DataFrame:
     """``anchor, run, doc_id, place, shape`` of every run of windows of every text (``doc_id, variant, text``).
 
-    ``shape`` packs the variant, the bytes before the anchor and those from it on. Of equal texts that a task reads
+    ``shape`` packs the variant, the bytes before the anchor and those from it on, in 64 bits if ``wide``: variants are many
+    when very many texts share an id. Of equal texts that a task reads
     together, only the one with the smallest id is looked at; of the others all is known, and they get one row
     of which ``place`` is minus their size.
     """
@@ -132,11 +133,11 @@ def all_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def rows(held):
         names = ["anchor", "run", "doc_id", "place", "shape"]
-        kinds = [np.int64, np.int64, np.int64, np.int32, np.int32]
+        kinds = [np.int64, np.int64, np.int64, np.int32, np.int64 if wide else np.int32]
         columns = [pa.array(np.concatenate(x).astype(kind)) for x, kind in zip(zip(*held), kinds)]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(found, "anchor bigint, run bigint, doc_id bigint, place int, shape int")
+    return docs.mapInArrow(found, f"anchor bigint, run bigint, doc_id bigint, place int, shape {'bigint' if wide else 'int'}")
 
 
 def shared_runs(runs: DataFrame) -> DataFrame:
@@ -187,7 +188,7 @@ def shared_runs(runs: DataFrame) -> DataFrame:
         if len(anchor):
             whole, left, right = place < 0, shape // 256 % 256, shape % 256
             start, size = np.where(whole, 0, place - left), np.where(whole, -place, left + right)
-            arrays = [doc_id, shape >> 16, start.astype(np.int32), size.astype(np.int32), anchor, left]
+            arrays = [doc_id, (shape >> 16).astype(np.int32), start.astype(np.int32), size.astype(np.int32), anchor, left.astype(np.int32)]
             arrays = [pa.array(x) for x in arrays]
             arrays[4] = pa.array(anchor, mask=removed[removed | compare])
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "variant", "start", "size", "anchor", "left"])
@@ -414,7 +415,7 @@ def remove_repeats(
         rows = rows.select("doc_id", "text", F.coalesce("variant", F.lit(0)).alias("variant"))
     named = rows.filter("doc_id is not null").select("doc_id", "variant", "text")
 
-    shared = stored(shared_runs(all_runs(named, length, gram)), "suffix-shared")
+    shared = stored(shared_runs(all_runs(named, length, gram, not twice.isEmpty())), "suffix-shared")
     open_runs = shared.filter("anchor is not null")
     buckets = max(1, -(-open_runs.count() // SUFFIXES))
     per_doc = open_runs.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("start", "size", "anchor", "left")).alias("runs"))
