@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.session import scratch_path
+from tidegrid.session import discard, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -24,6 +24,12 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(table: DataFrame) -> None:
+    """Delete a :func:`stored` table that nothing is computed from any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        discard(table.sparkSession, folder)
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z lower-cased and every other character as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -1,7 +1,7 @@
 """Joining documents whose sets of word n-grams have a large Jaccard similarity, and their classes.
 
-All sets are put in one order: n-grams that very many documents share come last, the others in the order of
-their hashes. Two sets that are similar enough share an n-gram among their first ones, the prefix, so the join is
+All sets are put in one order: n-grams met more than once come last, as far as a bitmap of bounded size tells them, the others
+in the order of their hashes. Two sets that are similar enough share an n-gram among their first ones, the prefix, so the join is
 dealt out by prefix n-grams: a first level of the tree of ordered sets. What meets there is only the
 hash and the size of a set. In a run of sets that share an n-gram, every set is compared with one of fitting size, not each with
 each. The sets found similar enough become classes; further rounds compare members of a run that are still
@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import stored
+from tidegrid.llm.common import free, stored
 from tidegrid.llm.components import star_components
 
 WORDS = 5
 SHARE = (3, 4)  # similarity as a fraction
-COMMON = 1 << 18  # at most so many n-grams are put last, 8 bytes each
+COMMON = 1 << 24  # so many n-grams are put last at most
+MAX_BITS, BITS_EACH = 1 << 27, 16  # of the bitmap that tells them: 16 MB at most, less while each can have so many bits
+PAGE_BITS = 1 << 16
 COMMON_STEPS = 1000  # counts above are one step
 FLUSH = 2_000_000  # n-grams counted together in a task
 LEAVES = 64  # sets of a block that are compared together
@@ -201,16 +203,40 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
 
 
 def common_grams(about: DataFrame) -> np.ndarray:
-    """The n-grams met most often, ascending, at most COMMON: as many whole steps of the count as fit."""
+    """A bitmap of at most MAX_BITS bits in which the n-grams met most often have theirs set, at most COMMON of them unless more
+    are met COMMON_STEPS times: as many whole steps of the count as fit, and always the highest.
+
+    An n-gram's bit is given by its hash alone. So all sets are put in the same order by it, whichever bits are set, and one
+    that an uncommon n-gram shares with a common one does no harm.
+    """
     often = about.filter("gram is not null").groupBy("gram").agg(F.sum("times").alias("times"))
     often = stored(often, "jaccard-common")
-    left, least = COMMON, COMMON_STEPS + 1
+    count, least = 0, COMMON_STEPS + 1
     steps = often.groupBy(F.least("times", F.lit(COMMON_STEPS)).alias("step")).agg(F.count(F.lit(1)).alias("grams"))
     for times, grams in steps.sort(F.desc("step")).collect():
-        if grams > left:
+        if count and count + grams > COMMON:
             break
-        left, least = left - grams, times
-    return np.sort(often.filter(F.col("times") >= least).select("gram").toArrow()["gram"].to_numpy().view(np.uint64))
+        count, least = count + grams, times
+    bits = min(MAX_BITS, max(PAGE_BITS, 1 << (BITS_EACH * count).bit_length()))
+    shift = 64 - bits.bit_length() + 1
+
+    def page(rows: pd.DataFrame) -> pd.DataFrame:
+        marks = np.zeros(PAGE_BITS, np.uint8)
+        marks[rows["place"].to_numpy()] = 1
+        return pd.DataFrame({"page": rows["page"].iloc[:1], "bits": [np.packbits(marks, bitorder="little").tobytes()]})
+
+    place = F.shiftrightunsigned("gram", shift)
+    chosen = often.filter(F.col("times") >= least)
+    placed = chosen.select(F.floor(place / PAGE_BITS).alias("page"), (place % PAGE_BITS).alias("place")).distinct()
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for row in placed.groupBy("page").applyInPandas(page, "page bigint, bits binary").toLocalIterator():
+        bitmap[row.page * PAGE_BITS // 8 : (row.page + 1) * PAGE_BITS // 8] = np.frombuffer(row.bits, np.uint8)
+    return bitmap
+
+
+def is_common(grams: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    place = grams >> U64(64 - (8 * len(bitmap)).bit_length() + 1)
+    return (bitmap[place >> U64(3)] >> (place & U64(7)).astype(np.uint8)) & 1 == 1
 
 
 def prefixes(docs: DataFrame, common: np.ndarray, words: int, share: tuple[int, int]) -> DataFrame:
@@ -229,11 +255,8 @@ def prefixes(docs: DataFrame, common: np.ndarray, words: int, share: tuple[int,
                     continue
                 seen.add(fp)
                 take = prefix_length(len(own), share)
-                if len(common):
-                    last = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
-                    own_prefix = np.concatenate((own[~last], own[last]))[:take]
-                else:
-                    own_prefix = own[:take]
+                last = is_common(own, common)
+                own_prefix = np.concatenate((own[~last], own[last]))[:take]
                 grams.append(own_prefix)
                 sizes.append(len(own))
                 fps.append(fp)
@@ -364,17 +387,21 @@ def possible(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
     return pairs.join(one, "hub").join(other, "fp").mapInArrow(kept, "hub bigint, fp bigint")
 
 
-def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
-    """``hub, fp, overlap`` for the ``pairs`` (``hub, fp``) that are similar enough.
-
-    ``sets`` names a document of each set. Texts are sent to the blocks they are needed in, LEAVES sets or so
-    against one in each, so that no block grows with the number of copies.
-    """
+def blocks(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Which texts are needed in which block to compare ``pairs``: ``hub, part, fp`` and a document of the set ``fp``."""
     many = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LEAVES).alias("parts"))
     pairs = pairs.join(many, "hub").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
     leaves = pairs.select("hub", "part", "fp")
     heads = many.select("hub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("fp"))
-    needed = stored(leaves.unionByName(heads).join(sets.select("fp", "doc_id", "text_key"), "fp"), "jaccard-needed")
+    return stored(leaves.unionByName(heads).join(sets.select("fp", "doc_id", "text_key"), "fp"), "jaccard-needed")
+
+
+def similar(docs: DataFrame, needed: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """``hub, fp, overlap`` for the pairs in ``blocks`` that are similar enough.
+
+    Texts are sent to the blocks they are needed in, LEAVES sets or so against one in each, so that no block grows with the
+    number of copies.
+    """
     ids = needed.select("doc_id", "text_key").distinct()
     texts = docs.select("doc_id", "text_key", "text")
     same = texts["text_key"].eqNullSafe(ids["text_key"]) & texts["doc_id"].eqNullSafe(ids["doc_id"])
@@ -508,11 +535,14 @@ def jaccard_join(
             pairs = pairs.join(tried, ["hub", "fp"], "left_anti")
         pairs = stored(pairs if step == ROUNDS - 1 else possible(pairs, sets, share), "jaccard-pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
-        new = stored(similar(rows, sets, pairs, words, share), "jaccard-links")
+        needed = blocks(sets, pairs)
+        new = stored(similar(rows, needed, words, share), "jaccard-links")
+        free(needed)
         links = new if links is None else links.unionAll(new)
         joined = new.select("hub", "fp")
         classes = star_components(joined if classes is None else joined.unionAll(classes.select("root", "node")), "hub", "fp")
 
+    free(runs)
     degree = links.select(F.col("hub").alias("fp")).unionAll(links.select("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
     named = sets.join(classes, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
