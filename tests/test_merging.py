@@ -244,6 +244,16 @@ def test_files_in_bins(spark):
     assert fs.in_bins(files.limit(0), 1000).count() == 0 and fs.in_bins(files, 1).rdd.getNumPartitions() == 40
 
 
+def test_few_files_take_all_cores(spark):
+    """Far below the bytes of a task, and still no task has several of them; many are a few to a task."""
+    files = spark.range(40).select(F.concat(F.lit("f"), "id").alias("path"), F.lit(100).alias("length"))
+    assert [len(part) for part in fs.in_bins(files).rdd.glom().collect()] == [1] * 40
+    tasks = fs.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    many = spark.range(20 * tasks).select(F.concat(F.lit("f"), "id").alias("path"), F.lit(100).alias("length"))
+    sizes = [len(part) for part in fs.in_bins(many).rdd.glom().collect()]
+    assert len(sizes) == tasks and sum(sizes) == 20 * tasks and max(sizes) <= 40
+
+
 def test_names_with_odd_characters(spark, tmp_path, path):
     folder, store, status = str(tmp_path / "a b%20c"), path("store"), path("status")
     save(folder, "grid é.20250101.nc", 1.0)

@@ -51,7 +51,8 @@ FILE = T.StructType(
     ]
 )
 ROWS_PER_BATCH = 65536
-BIN_BYTES = 256 * 1024 * 1024
+BIN_BYTES = 32 * 1024 * 1024
+TASKS_PER_CORE = 8  # up to so many files for each core have a task of their own
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 ENTRY = "path string, kind string, name string, type string, attributes map<string,string>"
@@ -281,11 +282,17 @@ def discovered(files: DataFrame, decode: Decoder, count: int, opener: Opener = r
     return further_variables(describe_files(files.limit(count), decode, opener, "continue"))
 
 
-def in_bins(files: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
-    """``files(path, length, ...)`` dealt out so that a task gets about ``bin_bytes`` of them, and any file whole."""
+def in_bins(files: DataFrame, bin_bytes: int | None = None) -> DataFrame:
+    """``files(path, length, ...)`` dealt out so that a task gets about ``bin_bytes`` of them, and any file whole.
+
+    Without ``bin_bytes`` a task gets ``BIN_BYTES``, or less where files are few: they are dealt out to all cores, however small
+    they are, since what a file holds can be many times its length and cells stay in the task that decoded them. Ranges of paths
+    are even in number, whereas a hash would leave some tasks with several of few files.
+    """
     total = files.agg(F.sum("length").alias("bytes"), F.count("*").alias("files")).first()
-    bins = max(1, min(total.files, -(-(total.bytes or 0) // bin_bytes)))
-    return files.repartition(bins, "path")
+    least = 1 if bin_bytes else TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism
+    bins = max(1, min(total.files, max(least, -(-(total.bytes or 0) // (bin_bytes or BIN_BYTES)))))
+    return files.repartitionByRange(bins, "path")
 
 
 def decoded_cells(decoded: DataFrame) -> DataFrame:
