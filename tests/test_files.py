@@ -1,6 +1,7 @@
 import io
 import os
 import time
+import weakref
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
@@ -182,3 +183,20 @@ def test_metrics_while_writing(spark):
     observed, seen = fs.ingest_metrics(df, "metrics-test")
     observed.write.format("noop").mode("overwrite").save()
     assert seen.get == {"cells": 3, "valid_cells": 1}
+
+
+def test_one_frame_at_a_time():
+    """A file's frame is gone when the next one is decoded, also after one with undeclared variables."""
+    alive, most = [], []
+
+    def decode_watched(content):
+        most.append(sum(frame() is not None for frame in alive))
+        cells = pd.DataFrame({"lat_idx": range(3), "lon_idx": 0, **({"odd": 1} if content == b"odd" else {})})
+        alive.append(weakref.ref(cells))
+        return cells
+
+    files = pd.DataFrame({"path": ["a", "odd", "b", "c"], "modificationTime": pd.Timestamp("2025-01-01"), "file_time": pd.Timestamp("2025-01-01")})
+    run = fs._decode_files(decode_watched, "continue", [], lambda path: path.encode())
+    rows = [(piece["path"].iloc[0], len(piece), piece["status"].iloc[0]) for piece in run(iter([files]))]
+    assert rows == [("a", 3, None), ("a", 1, "ok"), ("odd", 1, "failed"), ("b", 3, None), ("b", 1, "ok"), ("c", 3, None), ("c", 1, "ok")]
+    assert most == [0, 0, 0, 0]

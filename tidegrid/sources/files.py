@@ -168,24 +168,28 @@ def _decode_files(
             for (path, modified, file_time), content in _contents(batch, opener):
                 started = time.monotonic()
                 file = {"path": path, "modificationTime": modified, "file_time": file_time}
-                status, error, cells = "ok", None, None
+                status, error, found, absent = "ok", None, None, {}
                 try:
                     if pd.isna(file_time):
                         raise ValueError(f"no valid date in the form .YYYYMMDD. in file name: {path}")
                     found = decode(content())
                     unknown = sorted(set(found.columns) - set(columns))
                     if unknown:
+                        found = None
                         raise ValueError(f"variables that were not declared: {', '.join(unknown)}")
                     absent = {c: 1 if c == "zlev" else None for c in columns if c not in found.columns}
-                    cells = found.assign(**absent)[columns]
                 except Exception as failure:
                     if on_error == "raise":
                         raise
                     status, error = "failed", "".join(traceback.format_exception_only(failure)).strip()
-                count = 0 if cells is None else len(cells)
+                # Columns are added piece by piece, and a file is let go of before the next one is decoded: the whole frame is
+                # there once, as the decoder made it.
+                count = 0 if found is None else len(found)
                 for start in range(0, count, ROWS_PER_BATCH):
-                    piece = cells.iloc[start : start + ROWS_PER_BATCH].reset_index(drop=True)
-                    yield piece.assign(**file, **dict.fromkeys(STATUS.fieldNames()))
+                    piece = found.iloc[start : start + ROWS_PER_BATCH].reset_index(drop=True)
+                    yield piece.assign(**absent)[columns].assign(**file, **dict.fromkeys(STATUS.fieldNames()))
+                found = piece = None
+                pa.default_memory_pool().release_unused()
                 report = pd.DataFrame([dict.fromkeys(columns)])
                 yield report.assign(
                     **file, status=status, error=error, cells=count, seconds=time.monotonic() - started
