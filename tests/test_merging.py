@@ -308,3 +308,27 @@ def test_superseded_files_are_not_opened(spark, tmp_path):
     }
     assert values(ingested.grid.select("time", "sst").distinct(), "time", "sst") == [(noon(1), 2.0), (noon(2), 3.0)]
     ingested.release()
+
+
+def test_merging_holds_values_once(spark):
+    """Ranks of cells hold their values; only a map, which has no order, travels beside them."""
+    cells = grid(spark, [cell(noon(1), lon_idx=i % 2, sst=float(i)) for i in range(6)])
+    newest = st.newest_cells(cells, [F.col("sst")])
+    assert "max_by" not in newest._jdf.queryExecution().optimizedPlan().toString()
+    assert values(newest, "lon_idx", "sst") == [(0, 4.0), (1, 5.0)]
+    mapped = st.newest_cells(cells.withColumn("more", F.create_map(F.lit("n"), F.col("sst"))), [F.col("sst")])
+    assert values(mapped.select("lon_idx", F.col("more")["n"].alias("n")), "lon_idx", "n") == [(0, 4.0), (1, 5.0)]
+
+
+def test_publishing_does_not_gather_again(spark, path, monkeypatch):
+    gathered, plain = [], st._write
+
+    def watched(df, target, mode, layout, **options):
+        gathered.append(layout.gather)
+        plain(df, target, mode, layout, **options)
+
+    store = path()
+    st.write_merge(grid(spark, [cell(noon(1), sst=1.0)]), store)
+    monkeypatch.setattr(st, "_write", watched)
+    st.write_merge(grid(spark, [cell(noon(1), lon_idx=1, sst=2.0)]), store)
+    assert gathered == [True, False] and cells_of(spark, store) == [(noon(1), 0, 1.0), (noon(1), 1, 2.0)]

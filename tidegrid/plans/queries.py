@@ -760,7 +760,8 @@ def _grid_stream(spark, sf_dir, per_trigger: int):
     source = scratch_path(spark, "batches")
     cells = conform(monthly_grid(spark, sf_dir))
     cells.repartition(12, *KEY).write.parquet(source)
-    cells.filter("lon_idx % 3 = 0").repartition(3, *KEY).write.mode("append").parquet(source)
+    written = spark.read.schema(cells.schema).parquet(source)  # not gridded again
+    written.filter("lon_idx % 3 = 0").repartition(3, *KEY).write.mode("append").parquet(source)
     return spark.readStream.schema(cells.schema).option("maxFilesPerTrigger", per_trigger).parquet(source)
 
 

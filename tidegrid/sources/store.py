@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -164,7 +164,8 @@ def finish_replacement(spark: SparkSession, path: str, layout: Layout = DAILY) -
     if not under_way or under_way.get("published"):
         return False
     staged = spark.read.schema(T.StructType.fromJson(under_way["schema"])).parquet(under_way["staged"])
-    _write(staged, path, "overwrite", layout, partitionOverwriteMode="dynamic")
+    # What was staged is laid out already; it is copied file by file, without a shuffle.
+    _write(staged, path, "overwrite", replace(layout, gather=False), partitionOverwriteMode="dynamic")
     records.put(spark, path, "replacement", {"published": True})
     discard(spark, under_way["staged"])
     return True
@@ -188,7 +189,9 @@ def newest_cells(df: DataFrame, order: Sequence[Column], key: Sequence[str] = ("
     """
     others = [c for c in df.columns if c not in key]
     plain = [c for c, kind in df.dtypes if c not in key and not kind.startswith("map")]
-    best = F.max_by(F.struct(*others), F.struct(*order, *plain))
+    rank = F.struct(*[o.alias(f"_order{i}") for i, o in enumerate(order)], *plain)
+    # The greatest rank holds the values as well, so they are sorted and shuffled once; maps have no order and go beside it.
+    best = F.max(rank) if plain == others else F.max_by(F.struct(*others), rank)
     return df.groupBy(*key).agg(best.alias("_best")).select(*[c if c in key else F.col(f"_best.`{c}`").alias(c) for c in df.columns])
 
 
