@@ -774,8 +774,9 @@ def stream_upsert(spark, sf_dir):
 
 def merge_versions(spark, sf_dir):
     """Cells that come in three batches; the last one brings old versions of cells and one version twice."""
-    store = scratch_path(spark, "store")
-    cells = conform(monthly_grid(spark, sf_dir))
+    store, gridded = scratch_path(spark, "store"), scratch_path(spark, "cells")
+    conform(monthly_grid(spark, sf_dir)).write.parquet(gridded)
+    cells = spark.read.parquet(gridded)  # every batch reads it several times
 
     def version(number: int, kept: str) -> DataFrame:
         return cells.filter(kept).withColumns({"sst": (F.col("sst") + number).cast("float"), "version": F.lit(number)})
