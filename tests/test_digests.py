@@ -52,6 +52,21 @@ def test_tiles_agree_with_the_whole_comparison(spark, path):
     assert verify.differing_tiles(a, b).count() == 1 and verify.differing_tiles(a, a).isEmpty()
 
 
+def test_a_side_is_read_once_for_its_digests_and_once_where_it_differs(spark):
+    cells = dense(spark, 4, 6, 9)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = cells.mapInArrow(counted, cells.schema)
+    store = add_fingerprints(cells.withColumn("sst", F.when(F.col("lat_idx") == 5, 0.5).otherwise(F.col("sst")).cast("float")))
+    assert verify.compare_by_tiles(store, source, tile=TILE).count() == 4 * 9
+    assert read.value <= 2 * cells.count()
+
+
 def test_verifiers_touch_the_days_of_their_keys(spark, path):
     p = path()
     stored(spark, p)

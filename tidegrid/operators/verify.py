@@ -69,11 +69,13 @@ def compare_by_tiles(
     """As :func:`compare_fingerprints`, looking at cells only in the tiles whose digests differ.
 
     ``digests`` are the ``tile_digests`` of the store if they are kept somewhere; then of the store only the days and rows
-    are read that differ. A difference goes unseen only if two 64-bit sums collide at once.
+    are read that differ. Digests that are not given are computed once, so either side is read twice: whole for its digests, and
+    where it differs. A difference goes unseen only if two 64-bit sums collide at once.
     """
     kept = store.select(*[c for c in ("day",) if c in store.columns], *KEY, F.col(name).alias("fingerprint"))
     fresh = add_fingerprints(source, algorithm, "fingerprint")
-    found = settle(differing_tiles(tile_digests(kept, tile=tile) if digests is None else digests, tile_digests(fresh, tile=tile)))
+    stored = settle(tile_digests(kept, tile=tile)) if digests is None else digests
+    found = settle(differing_tiles(stored, settle(tile_digests(fresh, tile=tile))))
 
     def inside(df: DataFrame) -> DataFrame:
         if "day" in df.columns:
