@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.fixtures import NAN, cell, dense, noon, raw_grid, values
 from tidegrid.functions.blake3 import INITIAL, PERMUTATION, digest_messages
-from tidegrid.functions.fingerprint import add_fingerprints, cell_fingerprint, fingerprint_fallback
+from tidegrid.functions.fingerprint import _half_up, add_fingerprints, cell_fingerprint, fingerprint_fallback
 from tidegrid.model import HASHED
 from tidegrid.operators.cellwise import apply_cellwise
 from tidegrid.operators.verify import compare_fingerprints, equal_days, verify_fingerprints
@@ -128,3 +128,12 @@ def test_apply_cellwise(spark):
     cells = dense(spark, 1, 3, 4)
     got = apply_cellwise(cells, lambda a, b: a * 2.0 + b, ["sst", "err"], "twice", "double").collect()
     assert [r.twice for r in got] == [r.sst * 2 + r.err for r in got]
+
+
+def test_halves_are_rounded_as_round_does_without_decimal_numbers(spark):
+    edges = [0.49999999999999994, 4503599627370495.5, 4503599627370497.0, 1e300, -0.0, float("nan"), float("inf")]
+    numbers = spark.createDataFrame([(s * v,) for v in edges for s in (1.0, -1.0)], "x double")
+    numbers = numbers.unionAll(spark.range(-5001, 5001).select(F.col("id") * 0.25)).unionAll(spark.range(1000).select(F.randn(3) * 1000))
+    assert numbers.filter(~_half_up(F.col("x")).eqNullSafe(F.round("x"))).isEmpty()
+    hashed = dense(spark, 1, 2, 2).select(cell_fingerprint(HASHED, "sha256"))
+    assert "round(" not in hashed._jdf.queryExecution().optimizedPlan().toString()

@@ -43,8 +43,18 @@ def _blake3_of_batch(
 _blake3 = F.arrow_udf(_blake3_of_batch, T.StringType())
 
 
+def _half_up(value: Column) -> Column:
+    """``F.round`` of a double to whole numbers, halves away from zero, without a decimal number for each.
+
+    ``rint`` puts halves to the even neighbour; the difference to it is exact and tells the halves that go the other way.
+    """
+    even = F.rint(value)
+    half = value - even
+    return even + F.when((half == 0.5) & (value > 0), 1.0).when((half == -0.5) & (value < 0), -1.0).otherwise(0.0)
+
+
 def _scaled(value: Column) -> Column:
-    return F.round(value.cast("double") * SCALE).cast("bigint").cast("string")
+    return _half_up(value.cast("double") * SCALE).cast("bigint").cast("string")
 
 
 def _sha256(columns: Sequence[Column]) -> Column:
