@@ -88,6 +88,34 @@ def test_jaccard_join(spark, docs, none):
     assert jaccard.jaccard_join(none)[0].count() == 0
 
 
+def test_sets_that_share_many_ngrams_are_paired_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    shared = np.unique(rng.integers(0, 1 << 62, 88))
+    sets = {fp: np.concatenate((shared, rng.integers(0, 1 << 62, 12))).astype(np.uint64) for fp in range(1, 21)}
+    known = spark.createDataFrame([(fp, jaccard.signature(g), len(g)) for fp, g in sets.items()], "fp bigint, bits binary, n bigint")
+    rows = [(int(g), 100, fp, 1) for g in shared for fp in sets] + [(1 << 62, n, fp, 20) for n, fp in ((100, 20), (100, 21), (400, 22))]
+    runs = spark.createDataFrame(rows, "gram bigint, n int, fp bigint, hub bigint")
+    classes = spark.createDataFrame([(2, 1), (3, 1)], "node bigint, root bigint")
+    monkeypatch.setattr(type(runs), "distinct", lambda self: self)
+    found = sorted(tuple(r) for r in jaccard.cross_pairs(runs, classes, known, (3, 4), None).collect())
+    assert found == [(a, b) for a in sets for b in sets if a < b and not b <= 3]
+
+
+def test_runs_leave_out_sets_of_unfit_size(spark, monkeypatch):
+    index = spark.createDataFrame([(1, 10, 1), (1, 13, 2), (1, 20, 3), (2, 5, 1), (2, 9, 2), (3, 7, 1)], "gram bigint, n int, fp bigint")
+    assert sorted(tuple(r)[:3] for r in jaccard.runs_of(index, (3, 4)).collect()) == [(1, 10, 1), (1, 13, 2)]
+    # In a run that is read in pieces, those of another piece are not known.
+    monkeypatch.setattr(jaccard, "LONG_RUN", 2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        sizes = [100, 130, 150, 170, 190, 250, 300, 500, 510]
+        long = spark.createDataFrame([(1, n, n) for n in sizes], "gram bigint, n int, fp bigint")
+        assert {r.fp for r in jaccard.runs_of(long, (3, 4)).collect()} >= set(sizes)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_path_overlaps():
     rng = np.random.default_rng(0)
     one = np.unique(rng.integers(0, 1 << 60, 900).astype(np.uint64))

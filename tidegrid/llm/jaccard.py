@@ -22,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import free, stored
@@ -41,6 +41,8 @@ PIECE = 1 << 17  # bytes of a text handled at once, so that what is computed of
 LONG_RUN = 200_000  # rows of a run handled at once
 STEP = 256  # n-grams of a path between two looks at the bound
 BITS = 1024  # of a set's signature
+EARLY = 4  # n-grams of a set by which pairs are told that meet under several
+NO_GRAM = (1 << 63) - 1  # stands behind the last of fewer
 ROUNDS = 3  # of comparing; all but the last take one set of a run against the others
 U64 = np.uint64
 
@@ -296,11 +298,12 @@ def hubs(n: np.ndarray, start: np.ndarray, share: tuple[int, int]) -> np.ndarray
 def runs_of(index: DataFrame, share: tuple[int, int]) -> DataFrame:
     """``gram, n, fp, hub`` for the runs of at least two different sets that share a prefix n-gram.
 
-    ``index`` is dealt out by n-gram and sorted in the partitions, so a run is read in pieces, not gathered.
+    Sets that fit no other of their run in size are left out: they can be similar to none of it. ``index`` is dealt out by n-gram
+    and sorted in the partitions, so a run is read in pieces, not gathered.
     """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = [np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)]
+        carry, went_on = [np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)], False
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "n", "fp")]
             gram, n, fp = (np.concatenate(x) for x in zip(carry, new))
@@ -311,23 +314,30 @@ def runs_of(index: DataFrame, share: tuple[int, int]) -> DataFrame:
                 continue
             last = int(np.searchsorted(gram, gram[-1]))
             whole = last if len(gram) - last <= LONG_RUN else len(gram)
-            out, seed = runs(gram[:whole], n[:whole], fp[:whole])
+            out, seed = runs(gram[:whole], n[:whole], fp[:whole], went_on, whole != last)
             if out is not None:
                 yield out
+            went_on = whole != last or went_on and last == 0
             # Of a very long run that was handled, the hub goes on to stand for it.
             carry = [gram[last:], n[last:], fp[last:]] if whole == last else [x[seed : seed + 1] for x in (gram, n, fp)]
-        out, _ = runs(*carry)
+        out, _ = runs(*carry, went_on, False)
         if out is not None:
             yield out
 
-    def runs(gram, n, fp):
+    def runs(gram, n, fp, went_on, goes_on):
+        """``went_on`` and ``goes_on`` tell that the first and the last run are pieces, whose sets may fit those of another piece."""
         if len(gram) == 0:
             return None, 0
         first = np.concatenate(([True], gram[1:] != gram[:-1]))
         start = np.flatnonzero(first)[np.cumsum(first) - 1]
         hub = hubs(n, start, share)
-        size = np.bincount(np.cumsum(first) - 1)
-        many = np.repeat(size > 1, size)
+        # In a run that ascends in size, a set that fits any fits the one before or after it.
+        next_fits = ~first[1:] & fits(n[:-1], n[1:], share)
+        many = np.append(next_fits, False) | np.append(False, next_fits)
+        if went_on:
+            many |= start == 0
+        if goes_on:
+            many |= start == start[-1]
         seed = int(hub[-1])
         if not many.any():
             return None, seed
@@ -443,13 +453,26 @@ def similar(docs: DataFrame, needed: DataFrame, words: int, share: tuple[int, in
     return placed.mapInPandas(compared, "hub bigint, fp bigint, overlap bigint")
 
 
+def early_grams(runs: DataFrame) -> DataFrame:
+    """``fp, early``: the first EARLY n-grams, by their numbers, that a set shares with others in ``runs``."""
+    place = F.row_number().over(Window.partitionBy("fp").orderBy("gram"))
+    first = runs.select("fp", "gram").withColumn("place", place).filter(F.col("place") <= EARLY)
+    return first.groupBy("fp").agg(F.sort_array(F.collect_set("gram")).alias("early"))
+
+
+def met_before(gram: int, one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether each of ``others`` (rows of early n-grams) shares an early n-gram with ``one`` that comes before ``gram``."""
+    return (others[:, :, None] == one[one < gram]).any(axis=(1, 2))
+
+
 def cross_pairs(
     runs: DataFrame, classes: DataFrame, sets: DataFrame, share: tuple[int, int], one_each: int | None
 ) -> DataFrame:
     """Pairs ``hub, fp`` of sets in one run, of fitting sizes and different classes.
 
     With ``one_each``, a run's sets are only paired with one of them, drawn by a hash with that seed; else all.
-    Of all pairs, only those are written whose signatures allow it.
+    Of all pairs, only those are written whose signatures allow it. Two sets that share many n-grams meet in many runs, and are
+    not written under one if an earlier one is known that both have: the first one they share always writes them.
     """
     rows = runs.select("gram", "n", "fp").join(classes, F.col("fp") == F.col("node"), "left")
     rows = rows.select("gram", "n", "fp", F.coalesce("root", "fp").alias("root"))
@@ -468,6 +491,10 @@ def cross_pairs(
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "n", "fp", "root")]
             new.append(signatures(batch.column("bits")))
+            new.append(np.full((batch.num_rows, EARLY), NO_GRAM))
+            lists = batch.column("early")
+            own = lists.value_lengths().to_numpy(zero_copy_only=False)
+            new[-1][np.arange(EARLY) < own[:, None]] = lists.flatten().to_numpy()
             parts = new if carry is None else [np.concatenate(x) for x in zip(carry, new)]
             last = int(np.searchsorted(parts[0], parts[0][-1])) if len(parts[0]) else 0
             yield from pairs(*[x[:last] for x in parts])
@@ -475,7 +502,7 @@ def cross_pairs(
         if carry is not None:
             yield from pairs(*carry)
 
-    def pairs(gram, n, fp, root, bits):
+    def pairs(gram, n, fp, root, bits, early):
         first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))) if len(gram) else []
         ends = np.append(first[1:], len(gram)) if len(gram) else []
         got, held = [], 0
@@ -484,6 +511,7 @@ def cross_pairs(
                 stop = row + 1 + int(np.searchsorted(n[row + 1 : end].astype(np.int64) * share[0], int(n[row]) * share[1], side="right"))
                 other = np.flatnonzero(root[row + 1 : stop] != root[row]) + row + 1
                 other = other[could_be(bits[other], bits[row], n[other], n[row], share)] if len(other) else other
+                other = other[~met_before(gram[row], early[row], early[other])] if len(other) else other
                 if len(other):
                     got.append((np.full(len(other), fp[row]), fp[other]))
                     held += len(other)
@@ -498,7 +526,8 @@ def cross_pairs(
         both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["hub", "fp"])
 
-    rows = rows.join(sets.select("fp", "bits"), "fp").select("gram", "n", "fp", "root", "bits")
+    known = sets.select("fp", "bits").join(early_grams(runs), "fp")
+    rows = rows.join(known, "fp").select("gram", "n", "fp", "root", "bits", "early")
     dealt = rows.repartition("gram").sortWithinPartitions("gram", "n", "fp")
     return dealt.mapInArrow(paired, "hub bigint, fp bigint").distinct()
 
