@@ -116,6 +116,28 @@ def test_runs_leave_out_sets_of_unfit_size(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_least_shared(spark):
+    for share in ((3, 4), (1, 2), (9, 10), (1, 7)):
+        over, under = share
+        got = spark.range(1, 300).select("id", jaccard.least_shared("id", share).alias("least")).collect()
+        assert [r.least for r in got] == [1 + jaccard.spare(-(-r.id * over // under), share) for r in got]
+        spares = [jaccard.spare(n, share) for n in range(1, 300)]
+        assert spares == sorted(spares) and all(s < -(-n * over // under) for n, s in enumerate(spares, 1))
+
+
+def test_long_texts_that_share_few_ngrams_are_not_paired(spark, monkeypatch):
+    def text(i):
+        passages = [f"p{min(i, j)}x{max(i, j)}x{k}x{w}" for j in range(8) if j != i for k in range(40) for w in range(6)]
+        return " ".join([x if at % 6 else f"own{i}y{at}" for at, x in enumerate(passages)] + [f"own{i}x{k}" for k in range(1600)])
+
+    docs = spark.createDataFrame([(i, text(i)) for i in range(8)] + [(8, text(0) + " more")], "doc_id long, text string").repartition(9)
+    pairs, write = [], jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: pairs.append(write(df, name)) or pairs[-1] if name == "jaccard-pairs" else write(df, name))
+    got = jaccard.jaccard_join(docs)[0].collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i % 8) for i in range(9)]
+    assert sum(p.count() for p in pairs) == 1
+
+
 def test_path_overlaps():
     rng = np.random.default_rng(0)
     one = np.unique(rng.integers(0, 1 << 60, 900).astype(np.uint64))

@@ -3,7 +3,8 @@
 All sets are put in one order: n-grams met more than once come last, as far as a bitmap of bounded size tells them, the others
 in the order of their hashes. Two sets that are similar enough share an n-gram among their first ones, the prefix, so the join is
 dealt out by prefix n-grams: a first level of the tree of ordered sets. What meets there is only the
-hash and the size of a set. In a run of sets that share an n-gram, every set is compared with one of fitting size, not each with
+hash and the size of a set. The prefix is a quarter longer than one shared n-gram needs, so that similar sets share several n-grams
+in it, and a set that meets too few others there by chance is left out. In a run of sets that share an n-gram, every set is compared with one of fitting size, not each with
 each. The sets found similar enough become classes; further rounds compare members of a run that are still
 in different classes, at last all of them. So every link between different classes is looked for,
 and links inside a class that is already known are not. Of the pairs, only those are compared whose signatures of
@@ -22,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import free, stored
@@ -43,7 +44,8 @@ STEP = 256  # n-grams of a path between two looks at the bound
 BITS = 1024  # of a set's signature
 EARLY = 4  # n-grams of a set by which pairs are told that meet under several
 NO_GRAM = (1 << 63) - 1  # stands behind the last of fewer
-ROUNDS = 3  # of comparing; all but the last take one set of a run against the others
+SPARE = 4  # the prefix is longer by one n-gram for so many
+ROUNDS = 4  # of comparing; all but the last take one set of a run against the others
 U64 = np.uint64
 
 
@@ -167,6 +169,22 @@ def prefix_length(size: int, share: tuple[int, int]) -> int:
     return size - -(-size * over // under) + 1
 
 
+def spare(size: int, share: tuple[int, int]) -> int:
+    """So many n-grams behind the prefix are dealt out as well, fewer than two similar sets share. Both sets of a similar pair
+    have one more shared n-gram than the smaller's number in what is dealt out of them."""
+    prefix = prefix_length(size, share)
+    return min(prefix // SPARE, size - prefix)
+
+
+def least_shared(n: str, share: tuple[int, int]) -> Column:
+    """How many n-grams a set of size ``n`` shares at least with a similar one in what is dealt out of both: one more than
+    :func:`spare` of the smallest size that fits."""
+    over, under = (F.lit(x).cast("bigint") for x in share)
+    least = F.floor((F.col(n) * over + under - 1) / under)
+    prefix = least - F.floor((least * over + under - 1) / under) + 1
+    return F.least(F.floor(prefix / SPARE), least - prefix) + 1
+
+
 def describe(docs: DataFrame, words: int) -> DataFrame:
     """A row ``doc_id, text_key, n, fp, bits`` per document, and rows ``gram, times`` of n-grams met often in a task."""
 
@@ -256,7 +274,7 @@ def prefixes(docs: DataFrame, common: np.ndarray, words: int, share: tuple[int,
                 if fp in seen:
                     continue
                 seen.add(fp)
-                take = prefix_length(len(own), share)
+                take = prefix_length(len(own), share) + spare(len(own), share)
                 last = is_common(own, common)
                 own_prefix = np.concatenate((own[~last], own[last]))[:take]
                 grams.append(own_prefix)
@@ -453,6 +471,27 @@ def similar(docs: DataFrame, needed: DataFrame, words: int, share: tuple[int, in
     return placed.mapInPandas(compared, "hub bigint, fp bigint, overlap bigint")
 
 
+def enough(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The ``rows`` (``n, fp`` and others, one for each n-gram that a set shares) of sets that have as many as a similar set would share."""
+    shared = F.count(F.lit(1)).over(Window.partitionBy("fp"))
+    return rows.withColumn("shared", shared).filter(F.col("shared") >= least_shared("n", share)).drop("shared")
+
+
+def open_runs(runs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The rows ``gram, n, fp`` of ``runs`` in which sets of different classes meet, of sets that meet there often enough.
+
+    Classes only grow, so what is left out here needs no comparing later.
+    """
+    rows = with_root(runs, classes)
+    several = rows.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("gram")
+    return enough(rows.join(several, "gram"), share).select("gram", "n", "fp")
+
+
+def with_root(runs: DataFrame, classes: DataFrame) -> DataFrame:
+    rows = runs.select("gram", "n", "fp").join(classes, F.col("fp") == F.col("node"), "left")
+    return rows.select("gram", "n", "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def early_grams(runs: DataFrame) -> DataFrame:
     """``fp, early``: the first EARLY n-grams, by their numbers, that a set shares with others in ``runs``."""
     place = F.row_number().over(Window.partitionBy("fp").orderBy("gram"))
@@ -470,16 +509,13 @@ def cross_pairs(
 ) -> DataFrame:
     """Pairs ``hub, fp`` of sets in one run, of fitting sizes and different classes.
 
-    With ``one_each``, a run's sets are only paired with one of them, drawn by a hash with that seed; else all.
+    With ``one_each``, a run's sets are only paired with one of them, drawn by a hash with that seed, another in every run; else all.
     Of all pairs, only those are written whose signatures allow it. Two sets that share many n-grams meet in many runs, and are
     not written under one if an earlier one is known that both have: the first one they share always writes them.
     """
-    rows = runs.select("gram", "n", "fp").join(classes, F.col("fp") == F.col("node"), "left")
-    rows = rows.select("gram", "n", "fp", F.coalesce("root", "fp").alias("root"))
-    several = rows.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("gram")
-    rows = rows.join(several, "gram")
+    rows = with_root(runs, classes)
     if one_each is not None:
-        draw = F.min(F.struct(F.xxhash64(F.col("fp"), F.lit(one_each)).alias("draw"), "fp", "n", "root")).alias("one")
+        draw = F.min(F.struct(F.xxhash64("fp", "gram", F.lit(one_each)).alias("draw"), "fp", "n", "root")).alias("one")
         ones = rows.groupBy("gram").agg(draw).select("gram", F.col("one.fp").alias("hub"), F.col("one.n").alias("m"), F.col("one.root").alias("other"))
         over, under = share
         size = (F.least("n", "m") * under) >= (F.greatest("n", "m") * over)
@@ -554,12 +590,20 @@ def jaccard_join(
     sets = per_doc.filter("n > 0").groupBy("fp").agg(first, F.min("n").alias("n"), F.min("bits").alias("bits"))
     sets = stored(sets.select("fp", "first.doc_id", "first.text_key", "n", "bits"), "jaccard-firsts")
 
-    runs = stored(runs_of(prefixes(rows.select("text"), common, words, share), share), "jaccard-runs")
+    met = stored(runs_of(prefixes(rows.select("text"), common, words, share), share), "jaccard-met")
+    runs = stored(runs_of(enough(met, share).select("gram", "n", "fp"), share), "jaccard-runs")
+    free(met)
     tried = links = classes = None
     for step in range(ROUNDS):
         if step == 0:
-            pairs = runs.filter("hub <> fp").select(F.least("hub", "fp").alias("hub"), F.greatest("hub", "fp").alias("fp")).distinct()
+            # Large sets that meet their hub only once met it by chance; if not, a later round finds them.
+            found = runs.filter("hub <> fp").select(F.least("hub", "fp").alias("hub"), F.greatest("hub", "fp").alias("fp"), least_shared("n", share).alias("least"))
+            times = found.groupBy("hub", "fp").agg(F.count(F.lit(1)).alias("times"), F.min("least").alias("least"))
+            pairs = times.filter("times > 1 or least = 1").select("hub", "fp")
         else:
+            still = stored(open_runs(runs, classes, share), "jaccard-runs")
+            free(runs)
+            runs = still
             pairs = cross_pairs(runs, classes, sets, share, step if step < ROUNDS - 1 else None)
             pairs = pairs.join(tried, ["hub", "fp"], "left_anti")
         pairs = stored(pairs if step == ROUNDS - 1 else possible(pairs, sets, share), "jaccard-pairs")
