@@ -18,9 +18,13 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), f"pipeline-{name}-rows")
 
 
-def keep(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The rows whose ROW is among the distinct ones of ``chosen``, as they were before they were numbered."""
-    return rows.join(chosen, ROW, "left_semi").drop(ROW)
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose ROW is not among those of ``dropped``, as they were before they were numbered.
+
+    Rows that go are far fewer than rows that stay. Their numbers are written first, so that their size is known: while they are few
+    enough to broadcast, the texts are not shuffled.
+    """
+    return rows.join(stored(dropped, "pipeline-dropped"), ROW, "left_anti").drop(ROW)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +45,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rows = numbered(docs, "exact")
     found = dedup.exact_dedup(rows.withColumn("__id", F.struct("doc_id", ROW)), id_col="__id", keep="largest")
-    return keep(rows, found.filter("kept").select(F.col(f"doc_id.{ROW}").alias(ROW)))
+    return without(rows, found.filter("not kept").select(F.col(f"doc_id.{ROW}").alias(ROW)))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,14 +57,15 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes, _ = jaccard.jaccard_join(rows, id_col=ROW)
     classes = classes.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW))
-    return keep(rows, classes.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{ROW}").alias(ROW)))
+    firsts = classes.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    return without(rows, classes.select(ROW).join(firsts, ROW, "left_anti"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a passage of the benchmark, whatever other rows of their id have."""
     rows = numbered(docs, "clean")
     found = decontam.decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col=ROW)
-    return keep(rows, found.filter("not contaminated").select(F.col("doc_id").alias(ROW)))
+    return without(rows, found.filter("contaminated").select(F.col("doc_id").alias(ROW)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -419,6 +419,20 @@ def test_pipeline_on_odd_rows(spark, none, path):
         assert stage(spark, none, folder).count() == 0
 
 
+def test_stages_shuffle_no_texts_to_drop_few_rows(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        for stage in (cp.exact, cp.clean):
+            plan = stage(spark, docs, sf_dir)._jdf.queryExecution().executedPlan().toString()
+            assert "LeftAnti, BuildRight" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_ids_of_a_whole_table(spark, sf_dir):
     """Pieces, starts and checksums of every document against the tokenizer."""
     import zlib
