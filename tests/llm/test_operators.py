@@ -510,3 +510,20 @@ def test_very_many_texts_of_one_id(spark):
     got = suffix.remove_repeats(df.select("*", *[F.lit("x").alias(c) for c in ("key", "variant", "run", "shape", "place")]).repartition(4)).toPandas()
     assert len(got) == 33_001 and (got[got.doc_id == 7].n_removed == len(passage)).all() and (got[got.doc_id == 1].n_removed == 0).all()
     assert set(got[got.doc_id == 7].kept_sha256) == {hashlib.sha256(t[:6].encode()).hexdigest() for _, t in texts}
+
+
+def test_only_runs_that_may_share_a_window_send_bytes(spark):
+    """Texts that have 16 to 110 bytes in common at all kinds of places; those with phrases alone send no bytes."""
+    rng = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz\0 ", dtype=np.uint8)
+    word = lambda n: bytes(letters[rng.integers(0, len(letters), n)]).decode()
+    phrases, passages = [word(20) for _ in range(30)], [word(110) for _ in range(6)]
+    plain = [(i, "".join(word(rng.integers(30, 60)) + phrases[p] for p in rng.integers(0, 30, 12))) for i in range(40)]
+    df = spark.createDataFrame([(i, 0, t) for i, t in plain], "doc_id long, variant int, text string").repartition(3)
+    assert suffix.shared_runs(suffix.all_runs(df, 50, 16)).filter("anchor is not null").count() == 0
+    rows = list(plain)
+    for i in range(40, 160):
+        start, size = rng.integers(0, 60), rng.integers(20, 111)
+        rows.append((i, word(rng.integers(0, 40)) + passages[rng.integers(6)][start : start + size] + phrases[rng.integers(30)] + word(9)))
+    got = by_id(suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert {i: tuple(r)[2:] for i, r in got.items()} == plain_repeats(rows)

@@ -7,7 +7,9 @@ comparing suffixes at equal anchors, with the bytes before them. Neighbouring wi
 make a run.
 
 First the hashes of anchors and of whole runs meet. A run whose anchor no other document has is done. One that an earlier
-document holds as a whole is removed as a whole. Only where documents agree on the anchor but not on the run, which
+document holds as a whole is removed as a whole. A window holds the bytes at its anchor and as many again as two or
+three times that either before or behind it; a run none of whose two such strings another document has is done as well.
+Only where documents agree on one of them but not on the run, which
 is where shared passages begin and end, are the bytes themselves sent: every task sorts its suffixes, codes
 each as the length it shares with the one before and the rest, and the sorted runs are merged by a loser
 tree that remembers these lengths and compares only what lies behind them.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +34,7 @@ from tidegrid.llm.jaccard import mixed, powers
 LENGTH = 50
 GRAM = 16  # bytes that are hashed to choose anchors; a power of two
 PIECE = 4 << 20  # bytes of a text handled at once
+PLACES = (8 << 20) - 1  # a piece's places, the last windows' bytes behind it included
 FLUSH = 1_000_000  # rows of runs written together
 LONG_GROUP = 200_000  # rows of one anchor before those of later documents are let go
 SUFFIXES = 100_000  # suffixes that one task merges
@@ -62,28 +66,33 @@ def window_least(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchored_runs(data: np.ndarray, length: int, gram: int) -> list[np.ndarray]:
-    """Anchor, first window, last window, anchor hash and run hash of every run of windows."""
+    """Anchor, first window, last window, anchor hash, run hash and sides of every run of windows.
+
+    The sides are 16 bits each of the hashes of two strings, or 0: one begins at the anchor and is in all windows that begin less than
+    half a window's anchors before it, the other ends with the anchor's bytes and is in all other windows.
+    """
     values = byte_values()[data]
     hashes = gram_hashes(values, gram)
     width = length - gram + 1
-    least = window_least(hashes, width)
-    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    last = np.concatenate((first[1:] - 1, [len(least) - 1]))
-    parts = []
-    while len(first):
-        inside = hashes[first[:, None] + np.arange(width)] == least[first][:, None]
-        anchor = first + np.argmax(inside, axis=1)
-        parts.append((anchor, first, np.minimum(last, anchor)))
-        # Where the same bytes follow again, the windows behind the first anchor have the next one.
-        more = last > anchor
-        first, last = anchor[more] + 1, last[more]
-    anchor, first, last = (np.concatenate(x) for x in zip(*parts))
+    # With its place in the low bits, the smallest hash of a window tells the first place that has it.
+    ranked = (hashes & ~U64(PLACES)) | np.arange(len(hashes), dtype=np.uint64)
+    anchors = (window_least(ranked, width) & U64(PLACES)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
+    last = np.concatenate((first[1:] - 1, [len(anchors) - 1]))
+    anchor = anchors[first]
     up, down = powers(1 << max(12, int(len(data)).bit_length()))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[: len(data)], dtype=np.uint64)))
     end = last + length
     shape = (anchor - first).astype(np.uint64) * U64(1 << 20) + (end - first).astype(np.uint64)
     run = mixed(mixed((sums[end] - sums[first]) * down[first]) ^ shape)
-    return [anchor, first, last, hashes[anchor].view(np.int64), run.view(np.int64)]
+    half = width // 2
+    sides = np.zeros(len(first), np.uint32)
+    for shift, start, stop in ((0, anchor, anchor + length - half + 1), (16, anchor - half, anchor + gram)):
+        inside = (start >= first) & (stop <= end)
+        start, stop = start[inside], stop[inside]
+        side = mixed((sums[stop] - sums[start]) * down[start]) >> U64(48)
+        sides[inside] |= np.maximum(side, U64(1)).astype(np.uint32) << np.uint32(shift)
+    return [anchor, first, last, hashes[anchor].view(np.int64), run.view(np.int64), sides.view(np.int32)]
 
 
 def text_runs(data: np.ndarray, length: int, gram: int) -> Iterator[list[np.ndarray]]:
@@ -94,7 +103,7 @@ def text_runs(data: np.ndarray, length: int, gram: int) -> Iterator[list[np.ndar
 
 
 def all_runs(docs: DataFrame, length: int, gram: int, wide: bool = False) -> DataFrame:
-    """``anchor, run, doc_id, place, shape`` of every run of windows of every text (``doc_id, variant, text``).
+    """``anchor, run, doc_id, place, shape, sides`` of every run of windows of every text (``doc_id, variant, text``).
 
     ``shape`` packs the variant, the bytes before the anchor and those from it on, in 64 bits if ``wide``: variants are many
     when very many texts share an id. Of equal texts that a task reads
@@ -118,12 +127,12 @@ def all_runs(docs: DataFrame, length: int, gram: int, wide: bool = False) -> Dat
                     continue
                 data, variant = np.frombuffer(texts[i].as_buffer(), dtype=np.uint8), variants[i] << 16
                 if firsts[keys[i]] < doc_id:
-                    held.append([np.array([x]) for x in (hash((doc_id, variants[i])), 0, doc_id, -len(data), variant)])
+                    held.append([np.array([x]) for x in (hash((doc_id, variants[i])), 0, doc_id, -len(data), variant, 0)])
                     count += 1
                     continue
-                for anchor, first, last, key, run in text_runs(data, length, gram):
+                for anchor, first, last, key, run, sides in text_runs(data, length, gram):
                     shape = variant + (anchor - first) * 256 + (last + length - anchor)
-                    held.append([key, run, np.full(len(key), doc_id), anchor, shape])
+                    held.append([key, run, np.full(len(key), doc_id), anchor, shape, sides])
                     count += len(key)
                 if count > FLUSH:
                     yield rows(held)
@@ -132,18 +141,19 @@ def all_runs(docs: DataFrame, length: int, gram: int, wide: bool = False) -> Dat
             yield rows(held)
 
     def rows(held):
-        names = ["anchor", "run", "doc_id", "place", "shape"]
-        kinds = [np.int64, np.int64, np.int64, np.int32, np.int64 if wide else np.int32]
+        names = ["anchor", "run", "doc_id", "place", "shape", "sides"]
+        kinds = [np.int64, np.int64, np.int64, np.int32, np.int64 if wide else np.int32, np.int32]
         columns = [pa.array(np.concatenate(x).astype(kind)) for x, kind in zip(zip(*held), kinds)]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(found, f"anchor bigint, run bigint, doc_id bigint, place int, shape {'bigint' if wide else 'int'}")
+    shape = "bigint" if wide else "int"
+    return docs.mapInArrow(found, f"anchor bigint, run bigint, doc_id bigint, place int, shape {shape}, sides int")
 
 
 def shared_runs(runs: DataFrame) -> DataFrame:
     """``doc_id, variant, start, size, anchor, left``: with a null ``anchor``, a stretch of a text that an earlier
-    document has; else a run (its bytes, its anchor's hash, the bytes before it) whose anchor is in other
-    runs of other documents.
+    document has; else a run (its bytes, its anchor's hash, the bytes before it) whose anchor and one of whose
+    sides are in other runs of other documents.
 
     The runs are dealt out by anchor and sorted in the partitions, so that those of an anchor are read in pieces. Of
     equal runs only those of the first document are held on to.
@@ -152,7 +162,7 @@ def shared_runs(runs: DataFrame) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, most = None, LONG_GROUP
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "run", "doc_id", "place", "shape")]
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "run", "doc_id", "place", "shape", "sides")]
             rows = new if carry is None else [np.concatenate(x) for x in zip(carry, new)]
             last = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
             yield from decided([x[:last] for x in rows])
@@ -167,24 +177,38 @@ def shared_runs(runs: DataFrame) -> DataFrame:
 
     def later_rows(rows):
         """Rows whose run the first document of that run has as well; the rows are sorted."""
-        anchor, run, doc_id, place, _ = rows
+        anchor, run, doc_id, place, *_ = rows
         new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (run[1:] != run[:-1])))
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
         return (doc_id > doc_id[head]) | (place < 0)
 
     def decided(rows):
-        anchor, _, doc_id, _, _ = rows
+        anchor, _, doc_id, _, _, sides = rows
         if len(anchor):
             later = later_rows(rows)
-            new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
-            starts = np.flatnonzero(new)
+            group = np.cumsum(np.concatenate(([True], anchor[1:] != anchor[:-1])))
             # The first row of every run is of its first document, so these are all there are.
-            low = np.minimum.reduceat(doc_id, starts)
-            high = np.maximum.reduceat(np.where(later, low[np.cumsum(new) - 1], doc_id), starts)
-            yield from written(rows, later, (low < high)[np.cumsum(new) - 1] & ~later)
+            first = np.flatnonzero(~later)
+            first = first[in_two_documents(group[first], doc_id[first])]
+            compare = np.zeros(len(anchor), bool)
+            for shift in (0, 16):
+                side = sides[first] >> shift & 0xFFFF
+                some = first[side > 0]
+                key = group[some] << 16 | side[side > 0]
+                order = np.argsort(key, kind="stable")
+                compare[some[order]] |= in_two_documents(key[order], doc_id[some[order]])
+            yield from written(rows, later, compare)
+
+    def in_two_documents(key, doc_id):
+        """For each of the ascending keys, whether it comes with more than one document."""
+        new = np.concatenate(([True], key[1:] != key[:-1]))[: len(key)]
+        starts = np.flatnonzero(new)
+        if len(starts) == 0:
+            return np.zeros(0, bool)
+        return (np.minimum.reduceat(doc_id, starts) < np.maximum.reduceat(doc_id, starts))[np.cumsum(new) - 1]
 
     def written(rows, removed, compare):
-        anchor, _, doc_id, place, shape = (x[removed | compare] for x in rows)
+        anchor, _, doc_id, place, shape, _ = (x[removed | compare] for x in rows)
         if len(anchor):
             whole, left, right = place < 0, shape // 256 % 256, shape % 256
             start, size = np.where(whole, 0, place - left), np.where(whole, -place, left + right)
@@ -291,33 +315,50 @@ def merge_runs(blobs: list[bytes]) -> Iterator[tuple[int, bytes, bytes]]:
             top, losers[at] = play(top, losers[at])
 
 
-def boundary_windows(records: list[tuple], length: int) -> Iterator[tuple]:
-    """Stretches ``doc_id, variant, start, size`` of which every window is in a record of a smaller document too.
+LOAD = "<qiq"  # id, variant and place of an anchor
+KEY = 8  # bytes of an anchor's hash, with which a key begins
+LOADED = np.dtype([("doc_id", "<i8"), ("variant", "<i4"), ("place", "<i8")])
 
-    ``records`` are ``(right, left, doc_id, variant, place)`` of one anchor: the bytes from the anchor on and those before.
-    """
-    removed: dict[int, list[int]] = {}
-    for back in range(max(len(r[1]) for r in records) + 1):
-        first: dict[bytes, int] = {}
-        windows = []
-        for i, (right, left, doc_id, *_) in enumerate(records):
-            if back <= len(left) and length - back <= len(right):
-                window = left[len(left) - back :] + right[: length - back]
-                windows.append((i, window))
-                first[window] = min(doc_id, first.get(window, doc_id))
-        for i, window in windows:
-            if first[window] < records[i][2]:
-                removed.setdefault(i, []).append(back)
-    for i, backs in removed.items():
-        _, _, doc_id, variant, place = records[i]
-        low = backs[0]
-        for back, after in zip(backs, [*backs[1:], None]):
-            if after != back + 1:
-                yield doc_id, variant, place - back, back - low + length
-                low = after
 
+def boundary_windows(shared: np.ndarray, sizes: np.ndarray, loads: list[bytes], length: int) -> pd.DataFrame:
+    """``doc_id, variant, start, size`` of stretches of which every window is in a record of a smaller document too.
 
-LOAD = "<qiq"  # id, variant and place of an anchor
+    Records are in the order of their keys, ``sizes`` bytes long, each of which has ``shared`` bytes in common with the one before. A
+    window that begins so many bytes before the anchor is told by the keys' common beginning and by the common end of the bytes before the
+    anchors, which are put in order as well, from their last byte on.
+    """
+    fixed = LOADED.itemsize
+    heads = np.frombuffer(b"".join(x[:fixed] for x in loads), LOADED)
+    doc_id, place = heads["doc_id"].astype(np.int64), heads["place"].astype(np.int64)
+    lefts = np.array([len(x) - fixed for x in loads])
+    widest = max(1, int(lefts.max()))
+    ends = np.frombuffer(b"".join(x[: fixed - 1 : -1].ljust(widest, b"\0") for x in loads), f"S{widest}")
+    by = np.argsort(ends, kind="stable")
+    ends = ends[by].view(np.uint8).reshape(len(by), widest)
+    differ = ends[1:] != ends[:-1]
+    agreed = np.concatenate(([-1], np.where(differ.any(axis=1), differ.argmax(axis=1), widest)))
+    before, records, backs = np.empty(len(by), np.int64), [], []
+    for back in range(int(lefts.max()) + 1):
+        behind = np.cumsum(shared < KEY + length - back)
+        before[by] = np.cumsum(agreed < back)
+        at = np.flatnonzero((lefts >= back) & (sizes >= KEY + length - back))
+        if len(at) == 0:
+            continue
+        window = behind[at] * (len(by) + 1) + before[at]
+        order = np.argsort(window, kind="stable")
+        window, at = window[order], at[order]
+        starts = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
+        least = np.repeat(np.minimum.reduceat(doc_id[at], starts), np.diff(starts, append=len(at)))
+        records.append(at[least < doc_id[at]])
+        backs.append(np.full(len(records[-1]), back))
+    record, back = (np.concatenate([np.empty(0, np.int64), *x]) for x in (records, backs))
+    order = np.argsort(record, kind="stable")
+    record, back = record[order], back[order]
+    low = np.flatnonzero(np.concatenate(([True], (record[1:] != record[:-1]) | (back[1:] != back[:-1] + 1)))[: len(record)])
+    high = np.append(low[1:], len(record))[: len(low)] - 1
+    found = record[low]
+    columns = [doc_id[found], heads["variant"][found], place[found] - back[high], back[high] - back[low] + length]
+    return pd.DataFrame(dict(zip(["doc_id", "variant", "start", "size"], columns)))
 
 
 def sorted_suffixes(docs: DataFrame, buckets: int) -> DataFrame:
@@ -357,15 +398,12 @@ def merged_windows(blobs: DataFrame, length: int) -> DataFrame:
     """``doc_id, variant, start, size`` of stretches found by merging the suffixes of every bucket."""
 
     def merged(runs: pd.DataFrame) -> pd.DataFrame:
-        found, records, fixed = [], [], struct.calcsize(LOAD)
+        shares, sizes, loads = array("B"), array("B"), []
         for shared, key, load in merge_runs(list(runs["blob"])):
-            if shared < 8 and records:
-                found.extend(boundary_windows(records, length))
-                records = []
-            records.append((key[8:], load[fixed:], *struct.unpack(LOAD, load[:fixed])))
-        if records:
-            found.extend(boundary_windows(records, length))
-        return pd.DataFrame(found, columns=["doc_id", "variant", "start", "size"])
+            shares.append(shared)
+            sizes.append(len(key))
+            loads.append(load)
+        return boundary_windows(*(np.array(x, np.int64) for x in (shares, sizes)), loads, length)
 
     return blobs.groupBy("bucket").applyInPandas(merged, "doc_id bigint, variant int, start int, size int")
 
