@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import math
+import pathlib
 import re
 import string
+import time
 
 import numpy as np
 import pandas as pd
@@ -12,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import differences
-from tidegrid.llm import decontam, dedup, jaccard, langid, licenses, lm, packing, pii, suffix, warc
+from tidegrid.llm import common, decontam, dedup, jaccard, langid, licenses, lm, packing, pii, suffix, warc
 from tidegrid.llm.components import star_components
 from tidegrid.llm.oracles import LLM_ORACLES
 from tidegrid.llm.queries import LLM_QUERIES
@@ -527,3 +529,25 @@ def test_only_runs_that_may_share_a_window_send_bytes(spark):
         rows.append((i, word(rng.integers(0, 40)) + passages[rng.integers(6)][start : start + size] + phrases[rng.integers(30)] + word(9)))
     got = by_id(suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
     assert {i: tuple(r)[2:] for i, r in got.items()} == plain_repeats(rows)
+
+
+def test_ngrams_of_one_length_are_gone_before_the_next(spark, monkeypatch):
+    """What scoring sends to count n-grams is in no shuffle of its result and leaves no shuffle files."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffles = lambda: {p for d in dirs for p in pathlib.Path(d).rglob("shuffle_*")}
+    setting, left = spark.conf.get(common.CLEANUP), []
+
+    def watched(df, name, stored_alone=lm.stored_alone):
+        before, out = shuffles(), stored_alone(df, name)
+        until = time.time() + 10  # they are deleted in the background
+        while shuffles() - before and time.time() < until:
+            time.sleep(0.1)
+        left.append(shuffles() - before)
+        return out
+
+    monkeypatch.setattr(lm, "stored_alone", watched)
+    rows = [(i, " ".join(f"w{(i * j) % 91}" for j in range(200))) for i in range(300)]
+    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), chunk_bytes=4000)
+    assert left == [set()] * 3 and spark.conf.get(common.CLEANUP) == setting
+    assert "grams" not in got._jdf.queryExecution().toString()
+    assert got.count() == 300

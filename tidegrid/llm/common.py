@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.session import discard, scratch_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -24,6 +25,17 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """:func:`stored`, with the files of its shuffles deleted at the end, not when the driver next collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name, **options)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def free(table: DataFrame) -> None:
     """Delete a :func:`stored` table that nothing is computed from any more."""
     for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:

@@ -4,7 +4,9 @@ The score of a word is the share of times it follows the words before it, in all
 that another document has counts, and each shorter one costs a factor of ALPHA. Every word and every n-gram has its own
 count. Texts are written in chunks of a bounded size. A chunk sends its different n-grams, counted, to the hash ranges
 they belong to: one row holds what a chunk has in a range. A range adds up the counts and answers every row with
-those of the other chunks, in the order of its n-grams. With them a chunk scores its documents, without each one's own.
+those of the other chunks, in the order of its n-grams. This is done for n-grams of one length after those of another, and the
+answers are stored, so that what was sent for one length is gone from the disks before the next. With the
+answers a chunk scores its documents, without each one's own.
 So an n-gram is sent once by each chunk that has it, however many of its documents do, and no list of words or
 n-grams is held in one place.
 """
@@ -12,6 +14,7 @@ n-grams is held in one place.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm.common import stored
+from tidegrid.llm.common import stored, stored_alone
 from tidegrid.llm.jaccard import U64, byte_tables, distinct_counts, mixed, text_words
 
 ORDER = 3
 ALPHA = 0.4
 FLUSH = 2_000_000
 CHUNK = 7 << 20  # bytes of text in a chunk; a longer text is one of its own
-RANGES = 1024  # hash ranges at least
-RANGE_BYTES = 4 << 20  # bytes of text for each range and order: about 700,000 n-grams of each order
+RANGES = 512  # hash ranges at least
+RANGE_BYTES = 4 << 20  # bytes of text for each range: about 700,000 n-grams of one length
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -109,35 +112,36 @@ def unfolded(blob: bytes) -> list[str]:
 
 
 class Grams:
-    """The n-grams of a chunk: hashes of all orders one after the other, and of each order the places where they end."""
+    """The words of a chunk, the documents and places they are at, and the hashes of its n-grams."""
 
-    def __init__(self, texts: list[str], order: int, known: np.ndarray | None):
+    def __init__(self, texts: list[str], known: np.ndarray | None):
         found = [text_words(text) if text else np.empty(0, np.uint64) for text in texts]
         self.lengths = np.array([len(x) for x in found], dtype=np.int64)
         words = np.concatenate([np.empty(0, np.uint64), *found])
         if known is not None:
             at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
             words = np.where(known[at] == words, words, U64(0)) if len(known) else np.zeros_like(words)
+        self.words = words
         self.doc = np.repeat(np.arange(len(found)), self.lengths)
         self.place = np.arange(len(words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        self.ends = [np.flatnonzero(self.place >= n - 1) for n in range(1, order + 1)]
-        hashes = []
-        for n, ends in enumerate(self.ends, 1):
-            total = np.full(len(ends), n, dtype=np.uint64)
-            for back in range(n - 1, -1, -1):
-                total *= U64(0xD6E8FEB86659FD93)
-                total += words[ends - back]
-            hashes.append(mixed(total))
-        self.hashes = np.concatenate(hashes)
 
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places where n-grams of ``n`` words end, and their hashes."""
+        ends = np.flatnonzero(self.place >= n - 1)
+        total = np.full(len(ends), n, dtype=np.uint64)
+        for back in range(n - 1, -1, -1):
+            total *= U64(0xD6E8FEB86659FD93)
+            total += self.words[ends - back]
+        return ends, mixed(total)
 
-def counted_grams(chunks: DataFrame, order: int, ranges: int, known: np.ndarray | None) -> DataFrame:
-    """``range, chunk, grams, times``: a chunk's different n-grams of a hash range, ascending, and how often it has each."""
+
+def counted_grams(chunks: DataFrame, n: int, ranges: int, known: np.ndarray | None) -> DataFrame:
+    """``range, chunk, grams, times``: a chunk's different n-grams of ``n`` words in a hash range, ascending, and how often it has each."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, texts in zip(batch.column("chunk").to_pylist(), batch.column("texts")):
-                grams, times = distinct_counts(Grams(unfolded(texts.as_py()), order, known).hashes)
+                grams, times = distinct_counts(Grams(unfolded(texts.as_py()), known).of(n)[1])
                 number = ((grams >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
                 starts = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1]))) if len(number) else np.empty(0, np.int64)
                 steps = np.diff(grams, prepend=U64(0))
@@ -209,42 +213,43 @@ def score_documents(
     # Rows are large: the writer looks at its memory after a few, not after 100.
     chunks = stored(chunks_of(rows, chunk_bytes), "lm-chunks", **{"parquet.page.size.row.check.min": "2"})
     size, total = chunks.agg(F.sum("bytes"), F.sum("words")).first()
-    ranges = max(RANGES, -(-(size or 0) * order // RANGE_BYTES))
+    ranges = max(RANGES, -(-(size or 0) // RANGE_BYTES))
     total, known = total or 0, None
     if vocabulary is not None:
         top = word_counts(rows.select("text")).orderBy(F.desc("times"), "word").limit(vocabulary).toPandas()
         known = np.sort(top["word"].to_numpy(np.int64).view(np.uint64))
-    answers = others_of(counted_grams(chunks, order, ranges, known))
+    lengths = range(1, order + 1)
+    answers = [stored_alone(others_of(counted_grams(chunks, n, ranges, known)), f"lm-counts-{n}") for n in lengths]
+    answers = reduce(DataFrame.unionByName, [x.withColumn("n", F.lit(n)) for n, x in zip(lengths, answers)])
 
     def scored(chunk: pa.Table, answer: pa.Table) -> pa.Table:
         ids = chunk.column("ids").combine_chunks().flatten()
-        grams = Grams(unfolded(chunk.column("texts")[0].as_py()), order, known)
-        blobs = answer.column("others").to_pylist()
-        counts = [restored(blobs[i]) for i in np.argsort(answer.column("range").to_numpy())]
-        scores, seen = score(grams, np.concatenate([np.empty(0, np.uint64), *counts]).astype(np.int64))
+        grams = Grams(unfolded(chunk.column("texts")[0].as_py()), known)
+        blobs, n, part = answer.column("others").to_pylist(), answer.column("n").to_numpy(), answer.column("range").to_numpy()
+        by = np.lexsort((part, n))
+        counts = [[restored(blobs[i]) for i in by[n[by] == k]] for k in lengths]
+        scores, seen = score(grams, [np.concatenate([np.empty(0, np.uint64), *x]).astype(np.int64) for x in counts])
         n = pa.array(grams.lengths)
         mean = pa.array(scores / np.maximum(grams.lengths, 1), mask=grams.lengths == 0)
         return pa.table({"doc_id": ids, "n_words": n, "n_seen": pa.array(seen), "log_score": pa.array(scores), "mean_log_score": mean})
 
-    def score(grams: Grams, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        owner = np.concatenate([grams.doc[ends] for ends in grams.ends])
-        by = np.argsort(grams.hashes, kind="stable")  # equal n-grams stay in the order of their documents
-        hashes, owner, grams.hashes = grams.hashes[by], owner[by], None
+    def elsewhere_of(grams: Grams, n: int, counts: np.ndarray) -> np.ndarray:
+        """How often other documents have the n-gram of ``n`` words that ends at a place; ``counts`` are those of other chunks."""
+        ends, hashes = grams.of(n)
+        by = np.argsort(hashes, kind="stable")  # equal n-grams stay in the order of their documents
+        hashes, owner = hashes[by], grams.doc[ends[by]]
         first = np.concatenate(([True], hashes[1:] != hashes[:-1])) if len(by) else np.empty(0, bool)
         if np.count_nonzero(first) != len(counts):
             raise ValueError("the counts are not those of the chunk's n-grams")
         counts = counts + np.diff(np.flatnonzero(first), append=len(by))
         starts = np.flatnonzero(first | np.concatenate(([True], owner[1:] != owner[:-1]))) if len(by) else np.empty(0, np.int64)
         own = np.diff(starts, append=len(by))
-        other = np.empty(len(by), dtype=np.int64)
-        other[by] = np.repeat(counts[np.cumsum(first)[starts] - 1] - own, own)
-        del by, hashes, owner, first, starts, own, counts
-        # Per order, how often other documents have the n-gram that ends at a place.
-        elsewhere, at = [], 0
-        for ends in grams.ends:
-            elsewhere.append(np.zeros(len(grams.doc), dtype=np.int64))
-            elsewhere[-1][ends] = other[at : at + len(ends)]
-            at += len(ends)
+        other = np.zeros(len(grams.doc), dtype=np.int64)
+        other[ends[by]] = np.repeat(counts[np.cumsum(first)[starts] - 1] - own, own)
+        return other
+
+    def score(grams: Grams, counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        elsewhere = [elsewhere_of(grams, n, x) for n, x in zip(lengths, counts)]
         longest = np.minimum(grams.place + 1, order)
         others = np.maximum(1, total - grams.lengths)[grams.doc]
         gain = np.log(np.maximum(elsewhere[0], 1) / others) + (longest - 1) * np.log(alpha)
